@@ -1,0 +1,105 @@
+"""The newest (or oldest) n rows, exactly, without funnelling the table through one task.
+
+Spark's top-k keeps n rows in every task and merges them all in one place:
+tasks x n rows.  That is the right plan while the input is small.  On a large
+input it is narrowed first: rows are counted per time bucket (a map-side
+aggregate of at most ``BUCKETS`` groups), the bucket in which the n-th row
+lies gives a cut-off, and only rows past the cut-off reach the top-k.  A second
+round splits the cut-off bucket again, so that a bucket holding a large share of
+the table does not matter.  Cut-offs are scalar subqueries: the plan stays lazy,
+and at run time Spark pushes them into the Parquet scan and its ``day`` partitions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from logframe.functions.timebounds import Window, day_of
+from logframe.model import DAY, LINE, METADATA, TS_NS, canonical_map, labels_key_of, quoted
+from logframe.plans import estimated_bytes, split_bytes
+
+DIRECTIONS = ("backward", "forward")
+
+BUCKETS = 4096
+ROUNDS = 2
+# Rows that may meet in the single merging task of the direct plan.
+DIRECT_ROWS = 1_000_000
+
+
+def check_direction(direction: str) -> str:
+    lowered = str(direction).lower()
+    if lowered not in DIRECTIONS:
+        raise ValueError("direction must be 'backward' or 'forward'")
+    return lowered
+
+
+def check_limit(limit: int | None) -> int | None:
+    if limit is None:
+        return None
+    if isinstance(limit, bool) or not isinstance(limit, int) or limit <= 0:
+        raise ValueError("limit must be a positive integer")
+    return limit
+
+
+def newest(
+    df: DataFrame,
+    n: int,
+    direction: str = "backward",
+    window: Window = Window(),
+    tie_breakers: Iterable[str] = (),
+    narrow: bool | None = None,
+) -> DataFrame:
+    """The first n rows in time order: newest first (``backward``) or oldest first.
+
+    Rows of one instant are ordered by labels, line, metadata and ``tie_breakers``,
+    so the result does not depend on how the data is partitioned.  ``narrow``
+    forces or forbids the cut-off; by default the size estimate decides.
+    """
+    backward = check_direction(direction) == "backward"
+    check_limit(n)
+    if narrow is None:
+        narrow = _merged_rows(df, n) > DIRECT_ROWS
+    if narrow:
+        df = _past_cut_off(df, n, backward, window)
+    order = [F.col(TS_NS), labels_key_of(df), F.col(LINE)]
+    if METADATA in df.columns:
+        order.append(canonical_map(F.col(METADATA)))
+    order += [F.col(quoted(c)) for c in tie_breakers]
+    return df.orderBy(*[c.desc() if backward else c.asc() for c in order]).limit(n)
+
+
+def _merged_rows(df: DataFrame, n: int) -> float:
+    size = estimated_bytes(df)
+    return float("inf") if size is None else n * max(1, size / split_bytes(df))
+
+
+def _past_cut_off(df: DataFrame, n: int, backward: bool, window: Window) -> DataFrame:
+    """Rows at or past an instant that at least n rows reach, or all rows if there are fewer.
+
+    Rows are placed by their distance from ``origin``, the far end of the window;
+    the n rows asked for are those with the largest distances.
+    """
+    lowest = F.lit(window.start_ns) if window.start_ns is not None else df.agg(F.min(TS_NS)).scalar()
+    highest = F.lit(window.end_ns - 1) if window.end_ns is not None else df.agg(F.max(TS_NS)).scalar()
+    origin = (lowest if backward else highest).cast("bigint")
+    span = (highest - lowest).cast("bigint") + 1
+    for _ in range(ROUNDS):
+        width = F.greatest(F.lit(1).cast("bigint"), _div(span + (BUCKETS - 1), F.lit(BUCKETS).cast("bigint")))
+        distance = F.col(TS_NS) - origin if backward else origin - F.col(TS_NS)
+        # Past the first round everything beyond the bucket being split shares the top number.
+        bucket = F.least(_div(distance, width), F.lit(BUCKETS).cast("bigint"))
+        counted = df.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("rows"))
+        reached = counted.select("bucket", F.sum("rows").over(W.orderBy(F.desc("bucket"))).alias("rows"))
+        cut = F.coalesce(reached.where(F.col("rows") >= n).agg(F.max("bucket")).scalar(), F.lit(0).cast("bigint"))
+        origin = origin + cut * width if backward else origin - cut * width
+        span = width
+        df = df.where(F.col(TS_NS) >= origin if backward else F.col(TS_NS) <= origin)
+        if DAY in df.columns:
+            df = df.where(F.col(DAY) >= day_of(origin) if backward else F.col(DAY) <= day_of(origin))
+    return df
+
+
+def _div(dividend: Column, divisor: Column) -> Column:
+    return F.call_function("div", dividend, divisor)
