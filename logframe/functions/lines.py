@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, functions as F
 
@@ -48,8 +50,5 @@ def line_filter_column(line_filter: LineFilter) -> Column:
 
 def line_filters_column(line_filters: Iterable[LineFilter]) -> Column | None:
     """All filters have to hold, in the given order."""
-    result = None
-    for line_filter in line_filters:
-        column = line_filter_column(line_filter)
-        result = column if result is None else result & column
-    return result
+    columns = [line_filter_column(line_filter) for line_filter in line_filters]
+    return reduce(and_, columns) if columns else None

@@ -8,6 +8,8 @@ Label predicates, by contrast, follow SQL: a missing label is NULL and drops out
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -79,11 +81,8 @@ def _anchored_match(column: Column, pattern: str) -> Column:
 
 def selector_column(df: DataFrame, matchers: Iterable[Matcher]) -> Column | None:
     """All matchers have to hold, in the given order."""
-    result = None
-    for matcher in matchers:
-        column = matcher_column(df, matcher)
-        result = column if result is None else result & column
-    return result
+    columns = [matcher_column(df, matcher) for matcher in matchers]
+    return reduce(and_, columns) if columns else None
 
 
 def predicate_as_matcher(predicate) -> Matcher:

@@ -7,10 +7,13 @@ epoch) is what every comparison uses.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 NANOS_PER_MICRO = 1_000
 NANOS_PER_SECOND = 1_000_000_000
@@ -141,24 +144,35 @@ def _utc_day(ns: int) -> date:
     return _EPOCH.date() + timedelta(days=ns // NANOS_PER_DAY)
 
 
-def time_filter(window: Window, columns) -> Column | None:
-    """Predicate for ``window``.
+def _utc_literal(ns: int) -> Column:
+    moment = _EPOCH + timedelta(microseconds=ns // NANOS_PER_MICRO)
+    return F.expr(f"TIMESTAMP_NTZ '{moment.isoformat(sep=' ')}'")
 
-    Where the table is laid out by ``day``, the same bounds are stated on that
-    partition column too: Spark does not derive them from ``ts_ns`` by itself.
+
+# Schema metadata: ``timestamp`` is a stored column, which scans can prune by.
+STORED_TIME = {"stored_time": True}
+
+
+def _prunable(df: DataFrame) -> list[tuple[str, Callable[[int], object]]]:
+    """Columns to bound besides ``ts_ns`` for the sake of pruning, and how to say a bound in them.
+
+    Spark derives neither from bounds on ``ts_ns``: the partition column ``day`` of a
+    table at rest, or the stored time column that ``ts_ns`` is computed from.
     """
+    if "day" in df.columns:
+        return [("day", _utc_day)]
+    if "timestamp" in df.columns and df.schema["timestamp"].metadata.get("stored_time"):
+        return [("timestamp", _utc_literal)]
+    return []
+
+
+def time_filter(window: Window, df: DataFrame) -> Column | None:
+    """Predicate of ``df`` for ``window``; ``None`` for the open window."""
     terms = []
     if window.start_ns is not None:
-        terms.append(F.col("ts_ns") >= F.lit(window.start_ns))
-        if "day" in columns:
-            terms.append(F.col("day") >= F.lit(_utc_day(window.start_ns)))
+        terms += [F.col(name) >= literal(window.start_ns) for name, literal in _prunable(df)]
+        terms.append(F.col("ts_ns") >= window.start_ns)
     if window.end_ns is not None:
-        terms.append(F.col("ts_ns") < F.lit(window.end_ns))
-        if "day" in columns:
-            terms.append(F.col("day") <= F.lit(_utc_day(window.end_ns - 1)))
-    if not terms:
-        return None
-    predicate = terms[0]
-    for term in terms[1:]:
-        predicate = predicate & term
-    return predicate
+        terms += [F.col(name) <= literal(window.end_ns - 1) for name, literal in _prunable(df)]
+        terms.append(F.col("ts_ns") < window.end_ns)
+    return reduce(and_, terms) if terms else None

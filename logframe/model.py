@@ -28,7 +28,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logframe.functions.timebounds import day_of, timestamp_of
+from logframe.functions.timebounds import STORED_TIME, day_of, timestamp_of
 
 TENANT = "tenant"
 DAY = "day"
@@ -107,12 +107,14 @@ def log_table(
     """Shape any DataFrame into a log table.
 
     With ``labels`` given as ``{name: column}`` every label is promoted; given as
-    a map column none is.  ``keep`` passes further columns through.
+    a map column none is.  ``timestamp`` names the stored UTC column that ``ts_ns`` is
+    computed from, if there is one: time windows are then stated on it too, so that
+    the scan can prune.  ``keep`` passes further columns through.
     """
     columns = [] if tenant is None else [tenant.cast("string").alias(TENANT)]
     columns += [
         ts_ns.cast("bigint").alias(TS_NS),
-        (timestamp_of(ts_ns) if timestamp is None else timestamp).alias(TIMESTAMP),
+        timestamp_of(ts_ns).alias(TIMESTAMP) if timestamp is None else timestamp.alias(TIMESTAMP, metadata=STORED_TIME),
         F.coalesce(line, F.lit("")).alias(LINE),
     ]
     if isinstance(labels, Mapping):

@@ -25,7 +25,7 @@ from logframe.model import (
 
 def _restrict(df: DataFrame, matchers, start, end, now) -> DataFrame:
     for predicate in (
-        time_filter(explicit_window(start, end, now), df.columns),
+        time_filter(explicit_window(start, end, now), df),
         selector_column(df, matchers),
     ):
         if predicate is not None:
@@ -42,7 +42,9 @@ def label_names(
 ) -> DataFrame:
     """Distinct label names, one per row, as ``label``."""
     name_sets = _restrict(df, (), start, end, now).select(F.map_keys(LABELS).alias("names")).distinct()
-    return name_sets.select(F.explode("names").alias("label")).distinct()
+    # The outer form: a plain explode would test every row of the scan for emptiness first.
+    names = name_sets.select(F.explode_outer("names").alias("label"))
+    return names.where(F.col("label").isNotNull()).distinct()
 
 
 def label_values(

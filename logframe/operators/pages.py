@@ -29,17 +29,30 @@ def merge_pages(pages: DataFrame, page: str = "page_id") -> DataFrame:
     losing copies is small enough for Spark to broadcast, and a heavily repeated
     entry is an ordinary skewed join key that adaptive execution splits.
     """
-    tagged = pages.withColumn(_ENTRY, F.sha2(F.concat(labels_key_of(pages), F.lit("\x1f"), F.col(LINE)), 256))
+    # Never NULL, so that no join has to test (and compute) the digest once more.
+    digest = F.sha2(F.concat(labels_key_of(pages), F.lit("\x1f"), F.col(LINE)), 256)
+    tagged = pages.withColumn(_ENTRY, F.coalesce(digest, F.lit("")))
     entry = [TS_NS, _ENTRY]
-    copies = tagged.groupBy(*entry, page).agg(F.count("*").alias("copies"))
+    copies = tagged.groupBy(*entry, page).agg(F.count("*").alias("copies")).select(
+        *entry, F.struct("copies", page).alias("held")
+    )
     winners = (
         copies.groupBy(*entry)
-        .agg(F.max(F.struct("copies", page)).alias("winner"), F.count("*").alias("seen_on"))
+        .agg(F.max("held").alias("winner"), F.count("*").alias("seen_on"))
         .where(F.col("seen_on") > 1)
-        .select(*entry, F.col("winner")[page].alias("__winner"))
     )
-    losers = copies.join(winners, entry).where(F.col(page) != F.col("__winner")).select(*entry, page)
-    return tagged.join(losers, [*entry, page], "left_anti").drop(_ENTRY, page)
+    losers = (
+        copies.join(winners, entry)
+        .where(~F.col("held").eqNullSafe(F.col("winner")))
+        .select(F.col(TS_NS).alias("l_ts"), F.col(_ENTRY).alias("l_entry"), F.col("held")[page].alias("l_page"))
+    )
+    # Null-safe, so that both uses of ``copies`` stay one shuffle that Spark can reuse.
+    lost = (
+        (F.col(TS_NS) == F.col("l_ts"))
+        & (F.col(_ENTRY) == F.col("l_entry"))
+        & F.col(page).eqNullSafe(F.col("l_page"))
+    )
+    return tagged.join(losers, lost, "left_anti").drop(_ENTRY, page)
 
 
 def merge_pages_limited(

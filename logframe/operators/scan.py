@@ -129,7 +129,7 @@ def refine_logs(
 
 def _select(df: DataFrame, matchers, line, window: Window) -> DataFrame:
     for predicate in (
-        time_filter(window, df.columns),
+        time_filter(window, df),
         selector_column(df, matchers),
         line_filters_column(line),
     ):

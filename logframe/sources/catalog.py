@@ -89,7 +89,7 @@ def attach(
     wanted = string_list(tenants)
     if wanted and TENANT not in df.columns:
         raise ValueError(f"the table has no {TENANT!r} column to split by")
-    predicate = time_filter(explicit_window(start, end, now), df.columns)
+    predicate = time_filter(explicit_window(start, end, now), df)
     bounded = df if predicate is None else df.where(predicate)
     attached = Attached(alias, {})
     for tenant in wanted or [DEFAULT_TENANT]:

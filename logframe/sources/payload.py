@@ -12,6 +12,8 @@ string is expected, numbers and other values are skipped rather than converted.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logframe.functions.timebounds import timestamp_of
@@ -37,18 +39,17 @@ def _parse(text: Column, schema: str) -> Column:
     return F.from_json(text, schema, _JSON_OPTIONS)
 
 
-def _data_text(body: Column) -> Column:
-    """Raw text of ``data``; NULL when the body is not one JSON object with such a field.
+def _documents(body: Column, schema: str) -> Column:
+    """The JSON documents of a body; NULL when it is not JSON of that schema.
 
     The brackets make text after the document an error, which a bare parse would ignore.
     """
-    documents = _parse(F.concat(F.lit("["), body, F.lit("]")), "array<struct<data:string>>")
-    return F.when(F.size(documents) == 1, F.get(documents, F.lit(0))["data"])
+    return _parse(F.concat(F.lit("["), body, F.lit("]")), f"array<{schema}>")
 
 
-def _is_json(body: Column) -> Column:
-    documents = _parse(F.concat(F.lit("["), body, F.lit("]")), "array<string>")
-    return F.coalesce(F.size(documents) == 1, F.lit(False))
+def _only_data(documents: Column) -> Column:
+    """``data`` of the document, if there is exactly one."""
+    return F.when(F.size(documents) == 1, F.get(documents, F.lit(0))["data"])
 
 
 def _snippet(body: Column) -> Column:
@@ -57,10 +58,6 @@ def _snippet(body: Column) -> Column:
     return F.when(F.length(text) > SNIPPET_CHARACTERS, cut).otherwise(text)
 
 
-def _result_type(data: Column) -> Column:
-    return _parse(data, "resultType variant")["resultType"]
-
-
 def _is_string(variant: Column) -> Column:
     return F.coalesce(F.schema_of_variant(variant) == "STRING", F.lit(False))
 
@@ -76,45 +73,63 @@ def _string_map(variants: Column) -> Column:
     return F.coalesce(F.transform_values(strings, lambda _, value: value.cast("string")), empty_map())
 
 
-def _reason(body: Column, data: Column, kind: str) -> Column:
-    """Why a payload is not acceptable; NULL when it is."""
-    unreadable = F.when(_is_json(body), F.lit("missing data")).otherwise(F.lit("not valid JSON"))
+# What ``data`` of each kind of payload is read as: raw text of the elements, where possible.
+_DATA_SCHEMAS = {
+    STREAMS: "struct<resultType:variant,result:array<string>>",
+    STRING_ARRAY: "array<variant>",
+    SERIES: "array<string>",
+}
+
+
+def _accepted(data: Column, kind: str) -> Column:
+    if kind == STREAMS:
+        return F.coalesce(_string(data["resultType"]) == STREAMS, F.lit(False))
+    return data.isNotNull()
+
+
+def _refusal(body: Column, kind: str) -> Column:
+    """Why a payload that is not accepted is refused."""
+    raw = _only_data(_documents(body, "struct<data:string>"))
     if kind == STREAMS:
-        result_type = _string(_result_type(data))
-        wrong = F.when(
-            F.coalesce(result_type, F.lit("")) != STREAMS,
-            F.concat(F.lit("resultType is "), F.coalesce(result_type, F.lit("(none)"))),
-        )
+        result_type = _string(_parse(raw, "resultType variant")["resultType"])
+        present = F.concat(F.lit("resultType is "), F.coalesce(result_type, F.lit("(none)")))
     else:
-        wrong = F.when(_parse(data, "array<string>").isNull(), F.lit("missing data"))
-    return F.when(data.isNull(), unreadable).otherwise(wrong)
+        present = F.lit("missing data")
+    is_json = F.size(_documents(body, "string")) == 1
+    absent = F.when(is_json, F.lit("missing data")).otherwise(F.lit("not valid JSON"))
+    return F.when(raw.isNull(), absent).otherwise(present)
 
 
-def _check_kind(kind: str) -> str:
+def _with_data(df: DataFrame, body: str, kind: str) -> DataFrame:
     if kind not in KINDS:
         raise ValueError(f"unknown payload kind {kind!r}, expected one of {KINDS}")
-    return kind
+    # Two steps, so that the document is parsed once although it is looked at twice.
+    documents = df.withColumn("__documents", _documents(F.col(body), f"struct<data:{_DATA_SCHEMAS[kind]}>"))
+    return documents.withColumn("__data", _only_data(F.col("__documents"))).drop("__documents")
 
 
-def _opened(df: DataFrame, body: str, kind: str, on_invalid: str) -> DataFrame:
-    """Rows with the raw text of ``data`` in place of the body, invalid ones failed or skipped."""
+def _elements(df: DataFrame, body: str, kind: str, on_invalid: str, keep: Iterable[str] = ()) -> DataFrame:
+    """One row per element of ``data``; invalid payloads fail the job or give no rows."""
     if on_invalid not in ("fail", "skip"):
         raise ValueError("on_invalid must be 'fail' or 'skip'")
-    opened = df.withColumn("__data", _data_text(F.col(body)))
-    reason = _reason(F.col(body), F.col("__data"), kind)
-    if on_invalid == "skip":
-        return opened.where(reason.isNull())
-    message = F.concat(F.lit("invalid payload, "), reason, F.lit(": "), _snippet(F.col(body)))
-    checked = F.when(reason.isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col("__data"))
-    return opened.withColumn("__data", checked)
+    data = F.col("__data")
+    elements = data["result"] if kind == STREAMS else data
+    message = F.concat(F.lit("invalid payload, "), _refusal(F.col(body), kind), F.lit(": "), _snippet(F.col(body)))
+    failure = F.raise_error(message) if on_invalid == "fail" else F.lit(None)
+    checked = F.when(_accepted(data, kind), elements).otherwise(failure)
+    return _exploded(_with_data(df, body, kind), checked, "__element", keep)
+
+
+def _exploded(df: DataFrame, array: Column, name: str, keep: Iterable[str]) -> DataFrame:
+    """One row per non-null element.  The outer form keeps Spark from computing ``array`` twice to skip empty ones."""
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
 def payload_rejects(df: DataFrame, body: str = "body", kind: str = STREAMS) -> DataFrame:
     """The payloads a parse would refuse: the other columns, ``reason`` and a ``snippet`` of the body."""
-    opened = df.withColumn("__data", _data_text(F.col(body)))
-    judged = opened.withColumn("reason", _reason(F.col(body), F.col("__data"), _check_kind(kind)))
+    refused = _with_data(df, body, kind).where(~_accepted(F.col("__data"), kind))
     others = [name for name in df.columns if name != body]
-    return judged.where(F.col("reason").isNotNull()).select(*others, "reason", _snippet(F.col(body)).alias("snippet"))
+    return refused.select(*others, _refusal(F.col(body), kind).alias("reason"), _snippet(F.col(body)).alias("snippet"))
 
 
 def parse_streams(
@@ -125,31 +140,24 @@ def parse_streams(
     An entry whose time is not a number is skipped; a missing line is the empty
     string.  ``keep`` passes columns of ``df`` (such as the tenant) through.
     """
-    data = _opened(df, body, STREAMS, on_invalid)
-    streams = data.select(*keep, F.explode(_parse(F.col("__data"), "result array<string>")["result"]).alias("__stream"))
-    stream = _parse(F.col("__stream"), "stream map<string,variant>, values array<string>")
-    entries = streams.select(*keep, stream.alias("__stream")).select(
-        *keep,
-        _string_map(F.col("__stream.stream")).alias(LABELS),
-        F.explode("__stream.values").alias("__entry"),
+    streams = _elements(df, body, STREAMS, on_invalid, keep)
+    stream = _parse(F.col("__element"), "stream map<string,variant>, values array<string>")
+    labelled = streams.select(*keep, stream.alias("__stream")).select(
+        *keep, _string_map(F.col("__stream.stream")).alias(LABELS), F.col("__stream.values").alias("__values")
     )
-    entry = _parse(F.col("__entry"), "array<variant>")
-    fields = entries.select(*keep, LABELS, entry.alias("__entry")).select(
+    # Parsed before the explode: a filter on the time would otherwise parse every entry once more.
+    parsed = F.transform("__values", lambda entry: _parse(entry, "array<variant>"))
+    entries = _exploded(labelled, parsed, "__entry", [*keep, LABELS])
+    metadata = F.try_variant_get(F.get("__entry", F.lit(2)), "$.structuredMetadata", "map<string,variant>")
+    rows = entries.select(
         *keep,
-        LABELS,
         _integer(_string(F.get("__entry", F.lit(0)))).alias(TS_NS),
         F.coalesce(_string(F.get("__entry", F.lit(1))), F.lit("")).alias(LINE),
-        F.get("__entry", F.lit(2)).alias("__extra"),
-    )
-    metadata = F.try_variant_get("__extra", "$.structuredMetadata", "map<string,variant>")
-    return fields.where(F.col(TS_NS).isNotNull()).select(
-        *keep,
-        TS_NS,
-        timestamp_of(F.col(TS_NS)).alias(TIMESTAMP),
-        LINE,
         LABELS,
         _string_map(metadata).alias(METADATA),
     )
+    timed = rows.where(F.col(TS_NS).isNotNull())
+    return timed.select(*keep, TS_NS, timestamp_of(F.col(TS_NS)).alias(TIMESTAMP), LINE, LABELS, METADATA)
 
 
 def _integer(text: Column) -> Column:
@@ -159,16 +167,14 @@ def _integer(text: Column) -> Column:
 
 def parse_string_array(df: DataFrame, body: str = "body", *, on_invalid: str = "fail") -> DataFrame:
     """The strings of list payloads, one per row, as ``value``; other elements are skipped."""
-    data = _opened(df, body, STRING_ARRAY, on_invalid)
-    elements = data.select(F.explode(_parse(F.col("__data"), "array<variant>")).alias("element"))
-    return elements.select(_string(F.col("element")).alias("value")).where(F.col("value").isNotNull())
+    elements = _elements(df, body, STRING_ARRAY, on_invalid)
+    return elements.select(_string(F.col("__element")).alias("value")).where(F.col("value").isNotNull())
 
 
 def parse_series(df: DataFrame, body: str = "body", *, on_invalid: str = "fail") -> DataFrame:
     """The label sets of series payloads, one per row, as ``labels``; non-string values are skipped."""
-    data = _opened(df, body, SERIES, on_invalid)
-    elements = data.select(F.explode(_parse(F.col("__data"), "array<string>")).alias("element"))
-    return elements.select(_string_map(_parse(F.col("element"), "map<string,variant>")).alias(LABELS))
+    elements = _elements(df, body, SERIES, on_invalid)
+    return elements.select(_string_map(_parse(F.col("__element"), "map<string,variant>")).alias(LABELS))
 
 
 def streams_payload(entries: DataFrame, group: str, *, metadata: bool = True) -> DataFrame:

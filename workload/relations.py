@@ -56,12 +56,12 @@ ev_logs AS (
 
 def doc_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of ``documents``, one nanosecond apart, with labels lang, source and (sparse) quality."""
-    documents = read(spark, sf_dir, "documents")
-    lines = documents.select(
-        "doc_id", "lang", "source", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
-    )
     quality = read(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = lines.join(quality, "doc_id", "left").withColumn("line_no", F.col("line_no").cast("bigint"))
+    # Joined before the split into lines: whole documents are fewer rows to move.
+    documents = read(spark, sf_dir, "documents").join(quality, "doc_id", "left")
+    lines = F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
+    joined = documents.select("doc_id", "lang", "source", "quality", lines)
+    joined = joined.withColumn("line_no", F.col("line_no").cast("bigint"))
     return log_table(
         joined,
         ts_ns=F.lit(EPOCH_NS) + F.col("doc_id") * F.lit(NANOS_PER_SECOND) + F.col("line_no"),
