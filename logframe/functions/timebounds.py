@@ -90,9 +90,10 @@ def explicit_window(start: TimeBound | None, end: TimeBound | None, now: TimeBou
 
 
 def with_default_hour(window: Window, now: TimeBound | None = None) -> Window:
-    """Close the open sides: the end defaults to now, the start to one hour before the end."""
-    end_ns = now_to_ns(now) if window.end_ns is None else window.end_ns
-    start_ns = end_ns - NANOS_PER_HOUR if window.start_ns is None else window.start_ns
+    """Close the open sides: the end defaults to now, the start to one hour before now or an earlier end."""
+    now_ns = now_to_ns(now)
+    end_ns = now_ns if window.end_ns is None else window.end_ns
+    start_ns = min(end_ns, now_ns) - NANOS_PER_HOUR if window.start_ns is None else window.start_ns
     return Window(start_ns, end_ns)
 
 
