@@ -1,7 +1,7 @@
 """Operators over log tables: scans, top-k, discovery, page merging."""
 
 from logframe.operators.discover import label_names, label_values, series, series_of
-from logframe.operators.newest import newest
+from logframe.operators.topk import newest
 from logframe.operators.pages import merge_pages, merge_pages_limited
 from logframe.operators.scan import DEFAULT_LIMIT, refine_logs, scan_logs
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from logframe.functions.timebounds import Window
 from logframe.model import LINE, TS_NS, labels_key_of
-from logframe.operators.newest import newest
+from logframe.operators.topk import newest
 
 _ENTRY = "__entry"
 

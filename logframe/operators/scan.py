@@ -41,7 +41,7 @@ from logframe.model import (
     label_column,
     quoted,
 )
-from logframe.operators.newest import check_direction, check_limit, newest
+from logframe.operators.topk import check_direction, check_limit, newest
 
 DEFAULT_LIMIT = 5000
 

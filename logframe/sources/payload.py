@@ -31,7 +31,7 @@ _JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per captured file: ``path`` and ``body``."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 

@@ -1,0 +1,235 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from logframe import attach, log_table, read_logs, refine_logs, scan_logs, series, time_filter, Window, write_logs
+from logframe.plans import formatted_plan, plan_facts
+from logframe.sources import string_list
+
+DAY = 86_400 * 10**9
+START = 19_700 * DAY
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Four days of entries of two tenants, one of them named like a number with a leading zero."""
+    n = F.col("id")
+    table = log_table(
+        spark.range(4000),
+        tenant=F.when(n % 3 == 0, "007").otherwise("blue"),
+        ts_ns=F.lit(START) + n * (DAY // 1000),
+        line=F.concat(F.lit("line "), n.cast("string")),
+        labels={
+            "job": F.when(n % 2 == 0, "api").otherwise("web"),
+            "level": F.when(n % 10 == 0, "error").otherwise("info"),
+            "pod": F.when(n % 4 == 0, F.concat(F.lit("p-"), (n % 8).cast("string"))),
+        },
+        metadata={"n": n},
+    )
+    path = str(tmp_path_factory.mktemp("stored") / "logs")
+    write_logs(table, path)
+    return path
+
+
+def test_layout(spark, stored):
+    logs = read_logs(spark, stored)
+    assert logs.schema["tenant"].dataType.simpleString() == "string"
+    assert logs.schema["day"].dataType.simpleString() == "date"
+    assert logs.count() == 4000
+    assert {(r.tenant, str(r.day)) for r in logs.select("tenant", "day").distinct().collect()} == {
+        (t, f"2023-12-{d}") for t in ("007", "blue") for d in (9, 10, 11, 12) for d in [f"{d:02d}"]
+    }
+    row = logs.where("ts_ns = %d" % START).first()
+    assert row.labels_key == '{"job":"api","level":"error","pod":"p-0"}'
+    assert row.labels == {"job": "api", "level": "error", "pod": "p-0"} and row.structured_metadata == {"n": "0"}
+
+
+def test_a_crowded_day_is_spread_over_files(spark, tmp_path):
+    """Identical entries, all of one instant, still split over the write tasks."""
+    table = log_table(
+        spark.range(20_000), ts_ns=F.lit(START), line=F.lit("same"), labels={"job": F.lit("api")}
+    )
+    write_logs(table, str(tmp_path / "t"), partitions=6)
+    files = list((tmp_path / "t").glob("day=*/*.parquet"))
+    assert len(files) >= 4
+    assert read_logs(spark, str(tmp_path / "t")).count() == 20_000
+
+
+def test_predicates_reach_the_scan(spark, stored):
+    logs = read_logs(spark, stored)
+    scan = scan_logs(
+        logs,
+        [("job", "=", "api"), ("pod", "=~", "p-0|p-4"), ("level", "=~", "err.*")],
+        line=[("contains", "line"), ("prefix", "line 1"), ("suffix", "0")],
+        start=START + DAY,
+        end=START + 2 * DAY,
+        limit=None,
+    ).select("line")
+    facts = plan_facts(scan)
+    (pushed,) = facts["PushedFilters"]
+    for part in (
+        "EqualTo(job,api)",
+        "In(pod, [p-0,p-4])",
+        "StringStartsWith(level,err)",
+        "StringContains(line,line)",
+        "StringStartsWith(line,line 1)",
+        "StringEndsWith(line,0)",
+        f"GreaterThanOrEqual(ts_ns,{START + DAY})",
+        f"LessThan(ts_ns,{START + 2 * DAY})",
+    ):
+        assert part in pushed, part
+    (partitions,) = facts["PartitionFilters"]
+    assert "day" in partitions and "2023-12-10" in partitions
+    # Neither map is read, and nothing but the columns in use.
+    (read,) = facts["ReadSchema"]
+    assert "map" not in read
+    assert scan.count() > 0
+
+
+def test_count_reads_no_text(spark, stored):
+    logs = read_logs(spark, stored)
+    counted = scan_logs(logs, [("job", "=", "api")], start=START, end=START + DAY, limit=None).groupBy().count()
+    assert plan_facts(counted)["ReadSchema"] == ["struct<ts_ns:bigint,job:string>"]
+
+
+def test_refined_predicates_reach_the_scan(spark, stored):
+    logs = read_logs(spark, stored)
+    refined = refine_logs(
+        logs,
+        labels=["job", "pod"],
+        label_where=[("job", "in", ["api", "web"]), ("pod", "!=", "p-0")],
+        time_where=[(">=", START), ("<=", START + DAY)],
+        limit=None,
+    )
+    (pushed,) = plan_facts(refined)["PushedFilters"]
+    assert "In(job, [api,web])" in pushed and "pod" in pushed and f"LessThan(ts_ns,{START + DAY + 1})" in pushed
+    assert refined.where(F.col("pod").isNull()).count() == 0
+
+
+def test_limit_is_a_top_k(spark, stored):
+    scan = scan_logs(read_logs(spark, stored), [("job", "=", "api")], start=START, end=START + 4 * DAY, limit=7)
+    plan = formatted_plan(scan.where(F.col("line") != "x"))
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+    # A later filter stays above the limit.
+    assert plan.index("Filter") < plan.index("TakeOrderedAndProject")
+
+
+def test_series_reads_only_the_key(spark, stored):
+    found = series(read_logs(spark, stored), [("job", "=", "api")], start=START, end=START + DAY)
+    (read,) = plan_facts(found)["ReadSchema"]
+    assert read == "struct<ts_ns:bigint,job:string,labels_key:string>"
+
+
+# Attached views ---------------------------------------------------------------------
+
+
+def test_string_list():
+    assert string_list(None) == []
+    assert string_list("job, level ,,") == ["job", "level"]
+    assert string_list(["job", None, "level"]) == ["job", "level"]
+    assert string_list([]) == []
+
+
+def test_attach_without_tenants(spark, stored):
+    db = attach(spark, stored, "db")
+    assert db.tenants == ["public"] and db.labels == {"public": ["job", "level", "pod"]}
+    logs = db.table(spark)
+    assert logs.columns == ["timestamp", "ts_ns", "day", "line", "job", "level", "pod", "labels", "structured_metadata"]
+    assert logs.count() == 4000
+    assert sorted(r.label for r in db.table(spark, "LABELS").collect()) == ["job", "level", "pod"]
+    errors = spark.sql("SELECT job, pod, labels FROM db_public_series WHERE level = 'error'").collect()
+    assert {(r.job, r.pod) for r in errors} == {("api", "p-0"), ("api", "p-4"), ("api", None)}
+    assert all(r.labels["level"] == "error" for r in errors)
+
+
+def test_tenants_see_only_their_own(spark, stored):
+    db = attach(spark, stored, "mt", tenants="007, Blue", labels="job")
+    assert db.tenants == ["007", "Blue"]
+    assert db.table(spark, "logs", "007").count() == 1334
+    assert db.table(spark, "logs", "BLUE").count() == 0
+    db = attach(spark, stored, "mt", tenants=["007", "blue"], labels="job")
+    assert db.table(spark, "logs", "BLUE").count() == 2666
+    (partitions,) = plan_facts(db.table(spark, "logs", "007"))["PartitionFilters"]
+    assert "tenant" in partitions and "007" in partitions
+    with pytest.raises(ValueError):
+        db.view_name("logs", "red")
+    with pytest.raises(ValueError):
+        db.view_name("metrics")
+
+
+def test_explicit_labels_win(spark, stored):
+    assert attach(spark, stored, "pinned", labels=["level"]).labels["public"] == ["level"]
+    none = attach(spark, stored, "none", labels=[])
+    assert none.table(spark).columns == ["timestamp", "ts_ns", "day", "line", "labels", "structured_metadata"]
+    assert none.table(spark, "series").columns == ["labels"]
+    with pytest.raises(ValueError):
+        attach(spark, stored, "bad", labels=["line"])
+
+
+def test_filters_reach_the_scan_through_views(spark, stored):
+    attach(spark, stored, "through", tenants="blue", labels="job,level")
+    found = spark.sql("""
+        SELECT line FROM through_blue_logs
+        WHERE job = 'api' AND level IN ('error') AND line LIKE '%line%' AND day = DATE '2023-12-10'
+    """)
+    facts = plan_facts(found)
+    assert "EqualTo(job,api)" in facts["PushedFilters"][0] and "StringContains(line,line)" in facts["PushedFilters"][0]
+    assert "2023-12-10" in facts["PartitionFilters"][0]
+    explored = spark.sql("SELECT labels FROM through_blue_series WHERE job = 'api'")
+    assert "EqualTo(job,api)" in plan_facts(explored)["PushedFilters"][0]
+
+
+def test_views_can_be_bounded(spark, stored):
+    db = attach(spark, stored, "bounded", labels=[], start=START + DAY, end=START + 2 * DAY)
+    assert db.table(spark).count() == 1000
+    assert "day" in plan_facts(db.table(spark))["PartitionFilters"][0]
+
+
+def test_views_are_read_only(spark, stored):
+    db = attach(spark, stored, "ro", labels=["job"])
+    before = read_logs(spark, stored).count()
+    view = db.view_name()
+    for statement in (
+        f"INSERT INTO {view} SELECT * FROM {view}",
+        f"INSERT OVERWRITE {view} SELECT * FROM {view}",
+        f"DELETE FROM {view}",
+        f"UPDATE {view} SET line = 'x'",
+        f"INSERT INTO {db.view_name('labels')} VALUES ('x')",
+    ):
+        with pytest.raises(Exception):
+            spark.sql(statement)
+    assert read_logs(spark, stored).count() == before
+
+
+def test_a_table_without_tenants_cannot_be_split(logs, spark):
+    with pytest.raises(ValueError, match="tenant"):
+        attach(spark, logs([(1, "a", {"job": "x"})]), "untenanted", tenants="1")
+
+
+def test_odd_names(logs, spark):
+    table = logs([(1, "a", {"job.name": "x", "back`tick": "y"})]).withColumn("tenant", F.lit("team-a.b"))
+    db = attach(spark, table, "odd", tenants="team-a.b")
+    assert spark.sql(f"SELECT `job.name` FROM {db.view_name()}").first()[0] == "x"
+
+
+def test_time_filter_helper(spark, stored):
+    logs = read_logs(spark, stored)
+    window = Window(START + DAY, START + DAY + DAY // 2)
+    found = logs.where(time_filter(window, logs))
+    assert found.count() == 500
+    assert "2023-12-10" in plan_facts(found)["PartitionFilters"][0]
+
+
+def test_stored_time_column_is_bounded_too(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    spark.range(1000).select(F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(id as int))").alias("at")).write.parquet(raw)
+    from logframe.functions.timebounds import ns_of_timestamp
+
+    at = F.col("at")
+    table = log_table(
+        spark.read.parquet(raw), ts_ns=ns_of_timestamp(at), timestamp=at, line=F.lit("l"), labels={"job": F.lit("api")}
+    )
+    scan = scan_logs(table, [("job", "=", "api")], start="2024-01-02", end="2024-01-03", limit=None)
+    assert scan.count() == 24
+    assert "GreaterThanOrEqual(at,2024-01-02T00:00)" in plan_facts(scan)["PushedFilters"][0]
