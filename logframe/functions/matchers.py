@@ -65,18 +65,21 @@ def matcher_column(df: DataFrame, matcher: Matcher) -> Column:
 
 
 def _anchored_match(column: Column, pattern: str) -> Column:
-    """Full match of a label; never NULL."""
+    """Full match of a label; never NULL.
+
+    Where a missing label cannot match, that is said first, along with what a plain
+    comparison can tell, for the scan to prune by.
+    """
     java = regex.to_java_anchored(pattern)
     alternatives = regex.literal_alternatives(pattern)
+    if regex.matches_empty(pattern):
+        text = F.coalesce(column, F.lit(""))
+        return text.isin(alternatives) if alternatives is not None else text.rlike(java)
     if alternatives is not None:
-        return F.coalesce(column, F.lit("")).isin(alternatives) if "" in alternatives else (
-            column.isNotNull() & column.isin(alternatives)
-        )
-    matched = F.coalesce(column, F.lit("")).rlike(java)
+        return column.isNotNull() & column.isin(alternatives)
     prefix = regex.literal_prefix(pattern)
-    if prefix:
-        matched = column.isNotNull() & column.startswith(prefix) & matched
-    return matched
+    present = column.isNotNull() & column.startswith(prefix) if prefix else column.isNotNull()
+    return present & column.rlike(java)
 
 
 def selector_column(df: DataFrame, matchers: Iterable[Matcher]) -> Column | None:

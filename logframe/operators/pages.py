@@ -14,9 +14,22 @@ from pyspark.sql import DataFrame, functions as F
 
 from logframe.functions.timebounds import Window
 from logframe.model import LINE, TS_NS, labels_key_of
-from logframe.operators.topk import newest
+from logframe.operators.topk import check_direction, check_limit, first_rows, is_large, past_cut_off
 
 _ENTRY = "__entry"
+_KEY = [TS_NS, _ENTRY]
+
+
+def _tagged(pages: DataFrame) -> DataFrame:
+    # Never NULL, so that no join has to test (and compute) the digest once more.
+    digest = F.sha2(F.concat(labels_key_of(pages), F.lit("\x1f"), F.col(LINE)), 256)
+    return pages.withColumn(_ENTRY, F.coalesce(digest, F.lit("")))
+
+
+def _copies(tagged: DataFrame, page: str) -> DataFrame:
+    """Per entry and page ``held``: the number of copies, and the page."""
+    counted = tagged.groupBy(*_KEY, page).agg(F.count("*").alias("copies"))
+    return counted.select(*_KEY, F.struct("copies", page).alias("held"))
 
 
 def merge_pages(pages: DataFrame, page: str = "page_id") -> DataFrame:
@@ -29,20 +42,15 @@ def merge_pages(pages: DataFrame, page: str = "page_id") -> DataFrame:
     losing copies is small enough for Spark to broadcast, and a heavily repeated
     entry is an ordinary skewed join key that adaptive execution splits.
     """
-    # Never NULL, so that no join has to test (and compute) the digest once more.
-    digest = F.sha2(F.concat(labels_key_of(pages), F.lit("\x1f"), F.col(LINE)), 256)
-    tagged = pages.withColumn(_ENTRY, F.coalesce(digest, F.lit("")))
-    entry = [TS_NS, _ENTRY]
-    copies = tagged.groupBy(*entry, page).agg(F.count("*").alias("copies")).select(
-        *entry, F.struct("copies", page).alias("held")
-    )
+    tagged = _tagged(pages)
+    copies = _copies(tagged, page)
     winners = (
-        copies.groupBy(*entry)
+        copies.groupBy(*_KEY)
         .agg(F.max("held").alias("winner"), F.count("*").alias("seen_on"))
         .where(F.col("seen_on") > 1)
     )
     losers = (
-        copies.join(winners, entry)
+        copies.join(winners, _KEY)
         .where(~F.col("held").eqNullSafe(F.col("winner")))
         .select(F.col(TS_NS).alias("l_ts"), F.col(_ENTRY).alias("l_entry"), F.col("held")[page].alias("l_page"))
     )
@@ -62,6 +70,18 @@ def merge_pages_limited(
     page: str = "page_id",
     window: Window = Window(),
     tie_breakers: Iterable[str] = (),
+    narrow: bool | None = None,
 ) -> DataFrame:
-    """The first ``limit`` rows of the merged pages, counted after de-duplication."""
-    return newest(merge_pages(pages, page), limit, direction, window, tie_breakers)
+    """The first ``limit`` rows of the merged pages, counted after de-duplication.
+
+    Equal entries share their instant, so a cut-off in time commutes with merging: a large
+    input is cut by the counts of its merged entries, and only what is left is merged.
+    """
+    backward = check_direction(direction) == "backward"
+    check_limit(limit)
+    if narrow is None:
+        narrow = is_large(pages, limit)
+    if narrow:
+        held = _copies(_tagged(pages), page).groupBy(*_KEY).agg(F.max("held")["copies"].alias("rows"))
+        pages = past_cut_off(pages, limit, backward, window, held.select(TS_NS, "rows"))
+    return first_rows(merge_pages(pages, page), limit, backward, tie_breakers, grouped=narrow)

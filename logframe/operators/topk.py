@@ -1,13 +1,15 @@
 """The newest (or oldest) n rows, exactly, without funnelling the table through one task.
 
-Spark's top-k keeps n rows in every task and merges them all in one place:
-tasks x n rows.  That is the right plan while the input is small.  On a large
-input it is narrowed first: rows are counted per time bucket (a map-side
-aggregate of at most ``BUCKETS`` groups), the bucket in which the n-th row
-lies gives a cut-off, and only rows past the cut-off reach the top-k.  A second
-round splits the cut-off bucket again, so that a bucket holding a large share of
-the table does not matter.  Cut-offs are scalar subqueries: the plan stays lazy,
-and at run time Spark pushes them into the Parquet scan and its ``day`` partitions.
+Spark's top-k keeps n rows in every task and merges them all in one place.  That is
+the right plan while the input is small.  A larger input is narrowed first:
+
+* Rows are counted per time bucket, a map-side aggregate of at most ``BUCKETS`` groups.
+  The bucket in which the n-th row lies gives a cut-off, and only rows past it go on.
+  A second round splits the cut-off bucket again, so it does not matter if one bucket
+  holds a large share of the table.  Cut-offs are scalar subqueries: the plan stays lazy,
+  and at run time Spark pushes them into the Parquet scan and its ``day`` partitions.
+* What is left can still be much, when very many entries share the very instant of the
+  cut-off.  So the n first rows are taken per group of scan tasks, and only those meet.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ DIRECTIONS = ("backward", "forward")
 
 BUCKETS = 4096
 ROUNDS = 2
-# Rows that may meet in the single merging task of the direct plan.
+# Above this input size, or this many rows meeting in the last task, the input is narrowed.
+DIRECT_BYTES = 16 << 20
 DIRECT_ROWS = 1_000_000
 
 
@@ -60,45 +63,76 @@ def newest(
     backward = check_direction(direction) == "backward"
     check_limit(n)
     if narrow is None:
-        narrow = _merged_rows(df, n) > DIRECT_ROWS
+        narrow = is_large(df, n)
     if narrow:
-        df = _past_cut_off(df, n, backward, window)
+        df = past_cut_off(df, n, backward, window)
+    return first_rows(df, n, backward, tie_breakers, grouped=narrow)
+
+
+def first_rows(df: DataFrame, n: int, backward: bool, tie_breakers: Iterable[str] = (), grouped: bool = False) -> DataFrame:
+    """Top-k in the order of :func:`newest`; ``grouped`` cuts to n rows per group of scan tasks first."""
     order = [F.col(TS_NS), labels_key_of(df), F.col(LINE)]
     if METADATA in df.columns:
         order.append(canonical_map(F.col(METADATA)))
     order += [F.col(quoted(c)) for c in tie_breakers]
-    return df.orderBy(*[c.desc() if backward else c.asc() for c in order]).limit(n)
+    order = [c.desc() if backward else c.asc() for c in order]
+    if grouped:
+        # As many groups as shuffle partitions.
+        groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.withColumn("__group", F.spark_partition_id() % groups)
+        df = df.withColumn("__rank", F.row_number().over(W.partitionBy("__group").orderBy(*order)))
+        df = df.where(F.col("__rank") <= n).drop("__group", "__rank")
+    return df.orderBy(*order).limit(n)
 
 
-def _merged_rows(df: DataFrame, n: int) -> float:
+def is_large(df: DataFrame, n: int) -> bool:
     size = estimated_bytes(df)
-    return float("inf") if size is None else n * max(1, size / split_bytes(df))
+    return size is None or size > DIRECT_BYTES or n * max(1, size / split_bytes(df)) > DIRECT_ROWS
 
 
-def _past_cut_off(df: DataFrame, n: int, backward: bool, window: Window) -> DataFrame:
+def past_cut_off(
+    df: DataFrame, n: int, backward: bool, window: Window = Window(), counts: DataFrame | None = None
+) -> DataFrame:
     """Rows at or past an instant that at least n rows reach, or all rows if there are fewer.
 
     Rows are placed by their distance from ``origin``, the far end of the window;
-    the n rows asked for are those with the largest distances.
+    the n rows asked for are those with the largest distances.  ``counts`` holds
+    ``ts_ns`` and ``rows``, for when a row of ``df`` does not count as one.
     """
-    lowest = F.lit(window.start_ns) if window.start_ns is not None else df.agg(F.min(TS_NS)).scalar()
-    highest = F.lit(window.end_ns - 1) if window.end_ns is not None else df.agg(F.max(TS_NS)).scalar()
-    origin = (lowest if backward else highest).cast("bigint")
-    span = (highest - lowest).cast("bigint") + 1
+    if counts is None:
+        days = [DAY] if DAY in df.columns else []
+        counts = df.select(TS_NS, *days, F.lit(1).alias("rows"))
+    lowest, highest = _bounds(df, window)
+    origin = lowest if backward else highest
+    span = highest - lowest + 1
+    past = counts
     for _ in range(ROUNDS):
-        width = F.greatest(F.lit(1).cast("bigint"), _div(span + (BUCKETS - 1), F.lit(BUCKETS).cast("bigint")))
+        width = _div(span - 1, F.lit(BUCKETS).cast("bigint")) + 1
         distance = F.col(TS_NS) - origin if backward else origin - F.col(TS_NS)
         # Past the first round everything beyond the bucket being split shares the top number.
         bucket = F.least(_div(distance, width), F.lit(BUCKETS).cast("bigint"))
-        counted = df.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("rows"))
+        counted = past.select(bucket.alias("bucket"), "rows").groupBy("bucket").agg(F.sum("rows").alias("rows"))
         reached = counted.select("bucket", F.sum("rows").over(W.orderBy(F.desc("bucket"))).alias("rows"))
         cut = F.coalesce(reached.where(F.col("rows") >= n).agg(F.max("bucket")).scalar(), F.lit(0).cast("bigint"))
         origin = origin + cut * width if backward else origin - cut * width
         span = width
-        df = df.where(F.col(TS_NS) >= origin if backward else F.col(TS_NS) <= origin)
-        if DAY in df.columns:
-            df = df.where(F.col(DAY) >= day_of(origin) if backward else F.col(DAY) <= day_of(origin))
-    return df
+        past = _past(counts, origin, backward)
+    return _past(df, origin, backward)
+
+
+def _bounds(df: DataFrame, window: Window) -> tuple[Column, Column]:
+    """First and last instant to bucket: those of the window, or of the data where it is (all but) open."""
+    start, end = window.start_ns, window.end_ns
+    if start is not None and end is not None and start < end < start + 2**62:
+        return F.lit(start).cast("bigint"), F.lit(end - 1).cast("bigint")
+    return df.agg(F.min(TS_NS)).scalar(), df.agg(F.max(TS_NS)).scalar()
+
+
+def _past(df: DataFrame, origin: Column, backward: bool) -> DataFrame:
+    past = df.where(F.col(TS_NS) >= origin if backward else F.col(TS_NS) <= origin)
+    if DAY in df.columns:
+        past = past.where(F.col(DAY) >= day_of(origin) if backward else F.col(DAY) <= day_of(origin))
+    return past
 
 
 def _div(dividend: Column, divisor: Column) -> Column:

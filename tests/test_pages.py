@@ -44,6 +44,22 @@ def test_page_sequences(pages, name, entries, limit, direction, expected):
     assert "".join(r.line for r in merged.collect()) == expected
 
 
+@pytest.mark.parametrize("narrow", [True, False])
+def test_limit_counts_merged_rows(pages, narrow):
+    rng = random.Random(5)
+    entries = [[(rng.randrange(50), rng.choice("ab")) for _ in range(60)] for _ in range(4)]
+    entries.append([(49, "hot")] * 40)
+    entries.append([(49, "hot")] * 41)
+    expected = Counter()
+    for page in entries:
+        expected |= Counter(page)
+    for direction in ("backward", "forward"):
+        for limit in (1, 30, 45, 100, 1000):
+            ordered = sorted(expected.elements(), reverse=direction == "backward")[:limit]
+            merged = merge_pages_limited(pages(*entries), limit, direction, narrow=narrow)
+            assert [(r.ts_ns, r.line) for r in merged.collect()] == ordered
+
+
 def test_metadata_survives_and_is_not_part_of_the_key(pages):
     job = {"job": "x"}
     merged = merge_pages(pages([(1, "a", job, {"t": "1"})], [(1, "a", job, {"t": "1"}), (2, "b", job, {"t": "2"})]))

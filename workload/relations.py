@@ -16,18 +16,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def ev_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as logs with labels job, level and (sparse) pod, for tenants 1 and 2."""
-    events = read(spark, sf_dir, "events")
-    user, kind = F.col("user_id"), F.col("event_type")
     return log_table(
-        events,
-        tenant=user % 2 + 1,
+        read(spark, sf_dir, "events"),
+        tenant=F.expr("user_id % 2 + 1"),
         ts_ns=ns_of_timestamp(F.col("ts")),
         timestamp=F.col("ts"),
-        line=F.concat(kind, F.lit(" user="), user.cast("string"), F.lit(" props="), F.col("props")),
+        line=F.expr("concat(event_type, ' user=', user_id, ' props=', props)"),
         labels={
-            "job": F.when(user % 3 == 0, "api").when(user % 3 == 1, "web").otherwise("worker"),
-            "level": F.when(kind == "error", "error").when(kind == "signup", "warn").otherwise("info"),
-            "pod": F.when(user % 3 == 0, F.concat(F.lit("api-"), (user % 4).cast("string"))),
+            "job": F.expr("CASE user_id % 3 WHEN 0 THEN 'api' WHEN 1 THEN 'web' ELSE 'worker' END"),
+            "level": F.expr("CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'warn' ELSE 'info' END"),
+            "pod": F.expr("CASE WHEN user_id % 3 = 0 THEN concat('api-', user_id % 4) END"),
         },
         metadata={
             "event_id": F.col("event_id"),
