@@ -5,10 +5,8 @@ from logframe.sources.payload import (
     parse_series,
     parse_streams,
     parse_string_array,
-    payload_chunks,
     payload_rejects,
     read_payloads,
-    streams_payload,
 )
 from logframe.sources.tables import read_logs, write_logs
 
@@ -18,11 +16,9 @@ __all__ = [
     "parse_series",
     "parse_streams",
     "parse_string_array",
-    "payload_chunks",
     "payload_rejects",
     "read_logs",
     "read_payloads",
-    "streams_payload",
     "string_list",
     "write_logs",
 ]

@@ -17,7 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logframe.functions.timebounds import timestamp_of
-from logframe.model import LABELS, LINE, METADATA, STRING_MAP, TIMESTAMP, TS_NS, canonical_map, empty_map
+from logframe.model import LABELS, LINE, METADATA, TIMESTAMP, TS_NS, empty_map
 
 SNIPPET_CHARACTERS = 500
 
@@ -175,40 +175,3 @@ def parse_series(df: DataFrame, body: str = "body", *, on_invalid: str = "fail")
     """The label sets of series payloads, one per row, as ``labels``; non-string values are skipped."""
     elements = _elements(df, body, SERIES, on_invalid)
     return elements.select(_string_map(_parse(F.col("__element"), "map<string,variant>")).alias(LABELS))
-
-
-def streams_payload(entries: DataFrame, group: str, *, metadata: bool = True) -> DataFrame:
-    """Render log entries as stream payloads: one ``body`` per value of ``group``.
-
-    The inverse of :func:`parse_streams`, for captures and tests.  A payload is
-    one value, so ``group`` has to split the entries into small groups; see
-    :func:`payload_chunks`.
-    """
-    extra = (
-        F.concat(F.lit(',{"structuredMetadata":'), F.to_json(METADATA), F.lit("}")) if metadata else F.lit("")
-    )
-    entry = F.concat(
-        F.lit('["'), F.col(TS_NS).cast("string"), F.lit('",'), _json_string(F.col(LINE)), extra, F.lit("]")
-    )
-    streams = (
-        entries.select(group, canonical_map(F.col(LABELS)).alias("stream"), entry.alias("entry"))
-        .groupBy(group, "stream")
-        .agg(F.concat_ws(",", F.collect_list("entry")).alias("entries"))
-    )
-    stream = F.concat(F.lit('{"stream":'), F.col("stream"), F.lit(',"values":['), F.col("entries"), F.lit("]}"))
-    body = F.concat(
-        F.lit('{"status":"success","data":{"resultType":"streams","result":['),
-        F.concat_ws(",", F.collect_list(stream)),
-        F.lit("]}}"),
-    )
-    return streams.groupBy(group).agg(body.alias("body"))
-
-
-def payload_chunks(df: DataFrame, rows_log2: int = 6) -> Column:
-    """A group number that puts at most ``2 ** rows_log2`` rows of ``df`` together, however skewed they are."""
-    return F.shiftright(F.monotonically_increasing_id(), rows_log2)
-
-
-def _json_string(text: Column) -> Column:
-    quoted = F.to_json(F.array(text))
-    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from logframe import labels_key_of, parse_series, parse_streams, parse_string_array, payload_rejects, series
-from logframe.sources import payload_chunks, streams_payload
+from logframe.functions.timebounds import NANOS_PER_SECOND
+from logframe.model import canonical_map
 from workload.registry import query
-from workload.relations import CONV_LOGS, DOC_LOGS, conv_logs, ev_logs, read, with_relations
+from workload.relations import CONV_LOGS, DOC_LOGS, EPOCH_NS, conv_logs, ev_logs, read, with_relations
 from workload.scans import ev_sql
 
 
@@ -15,12 +16,33 @@ def _body(*parts) -> F.Column:
     return F.concat(*(F.lit(part) if isinstance(part, str) else part for part in parts)).alias("body")
 
 
+def _streams_body(labels: F.Column, values: F.Column) -> F.Column:
+    head = '{"status":"success","data":{"resultType":"streams","result":[{"stream":'
+    return _body(head, canonical_map(labels), ',"values":', values, "}]}}")
+
+
+def entry_payloads(logs: DataFrame) -> DataFrame:
+    """One stream payload per log entry, with its metadata."""
+    time_and_line = F.to_json(F.array(F.col("ts_ns").cast("string"), F.col("line")))
+    metadata = F.concat(F.lit(',{"structuredMetadata":'), F.to_json("structured_metadata"), F.lit("}]]"))
+    values = F.concat(F.lit("["), F.rtrim(time_and_line, F.lit("]")), metadata)
+    return logs.select(_streams_body(F.col("labels"), values))
+
+
+def _document_payloads(documents: DataFrame) -> DataFrame:
+    """One stream payload per document: its lines as entries, one nanosecond apart."""
+    first = F.lit(EPOCH_NS) + F.col("doc_id") * F.lit(NANOS_PER_SECOND)
+    entries = F.transform(
+        F.split("text", "\n", -1), lambda line, i: F.array((first + i).cast("string"), line)
+    )
+    labels = F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"))
+    return documents.select(_streams_body(labels, F.to_json(entries)))
+
+
 @query("parse_streams", with_relations(CONV_LOGS, select="SELECT role, ts_ns, line, conv_id, turn FROM conv_logs"))
 def streams(spark, sf_dir) -> DataFrame:
-    logs = conv_logs(spark, sf_dir)
-    payloads = streams_payload(logs.withColumn("chunk", payload_chunks(logs)), "chunk")
     metadata = F.col("structured_metadata")
-    return parse_streams(payloads).select(
+    return parse_streams(entry_payloads(conv_logs(spark, sf_dir))).select(
         F.col("labels")["role"].alias("role"),
         "ts_ns",
         "line",
@@ -29,6 +51,14 @@ def streams(spark, sf_dir) -> DataFrame:
     )
 
 
+@query("parse_streams_entries", with_relations(DOC_LOGS, select="SELECT lang, source, ts_ns, line FROM doc_logs"))
+def streams_of_many_entries(spark, sf_dir) -> DataFrame:
+    labels = F.col("labels")
+    return parse_streams(_document_payloads(read(spark, sf_dir, "documents"))).select(
+        labels["lang"].alias("lang"), labels["source"].alias("source"), "ts_ns", "line"
+    )
+
+
 @query("parse_string_array", with_relations(DOC_LOGS, select="SELECT line AS value FROM doc_logs"))
 def string_array(spark, sf_dir) -> DataFrame:
     """One payload per document: its lines, followed by elements that are not strings."""
