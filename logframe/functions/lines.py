@@ -30,7 +30,9 @@ def _regex(line: Column, pattern: str) -> Column:
     java = regex.to_java(pattern)
     if not any(c in regex.SPECIAL_CHARACTERS for c in pattern):
         return line.contains(pattern)
-    return line.rlike(java)
+    # Looking for plain text is much cheaper than the pattern, which needs the line decoded.
+    literal = regex.required_literal(pattern)
+    return line.contains(literal) & line.rlike(java) if literal else line.rlike(java)
 
 
 _FILTERS = {"contains": _contains, "regex": _regex, "prefix": _prefix, "suffix": _suffix}

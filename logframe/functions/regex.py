@@ -189,6 +189,15 @@ def literal_prefix(pattern: str) -> str:
     return prefix
 
 
+def required_literal(pattern: str) -> str:
+    """The longest plain text every (partial) match of ``pattern`` has to contain, if easily told."""
+    if any(c in pattern for c in "|\\([{"):
+        return ""
+    optional = re.compile(r"[^.+*?^$)\]}][*?]")  # a character that may be absent
+    runs = re.split(r"[.+*?^$)\]}]+", optional.sub(".", pattern))
+    return max(runs, key=len)
+
+
 def matches_empty(pattern: str) -> bool:
     """Whether a fully anchored ``pattern`` accepts the empty string."""
     to_java(pattern)
