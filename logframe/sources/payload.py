@@ -162,7 +162,8 @@ def parse_streams(
 
 def _integer(text: Column) -> Column:
     """The integer a text starts with (anything may follow); NULL if none or out of range."""
-    return F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint")
+    leading = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1)
+    return F.coalesce(text.try_cast("bigint"), leading.try_cast("bigint"))
 
 
 def parse_string_array(df: DataFrame, body: str = "body", *, on_invalid: str = "fail") -> DataFrame:

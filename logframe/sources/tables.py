@@ -15,12 +15,13 @@ def write_logs(df: DataFrame, path: str, *, mode: str = "errorifexists", partiti
     """Write a log table so that scans can prune.
 
     Rows are ranged over tasks by tenant, day and time, so every file covers a narrow
-    time span and a large day or tenant is spread over many files; a random last key
-    lets even identical entries split.  Inside a file streams lie together, which
-    gives row groups with few distinct labels.  ``partitions`` is the number of write
-    tasks (the session's shuffle partitions by default).
+    time span and a large day or tenant is spread over many files.  The last key is the
+    task a row comes from: it lets even identical entries split, and unlike a random
+    number it stays the same when a lost task is run again.  Inside a file streams lie
+    together, which gives row groups with few distinct labels.  ``partitions`` is the
+    number of write tasks (the session's shuffle partitions by default).
     """
-    laid_out = with_layout_columns(df).withColumn("__spread", F.rand(0))
+    laid_out = with_layout_columns(df).withColumn("__spread", F.spark_partition_id())
     keys = [*partition_columns(laid_out), TS_NS, "__spread"]
     ranged = laid_out.repartitionByRange(*([partitions] if partitions else []), *keys).drop("__spread")
     by = partition_columns(ranged)
