@@ -145,13 +145,15 @@ def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: i
     spans = written(spans.select(F.col("doc_id").alias("__of"), F.col("spans").alias("__spans")), "spans")
     joined = df.join(spans, F.col(id).cast("long") == F.col("__of"), "left")
 
+    names = df.columns
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, texts = batch.column("__spans").to_pylist(), batch.column(text)
             if any(lists):
                 texts = [without_spans(t, [(s["start"], s["size"]) for s in spans or []]) for t, spans in zip(texts.to_pylist(), lists)]
-            data = {name: batch.column(name) for name in df.columns} | {text: pa.array(texts, pa.string()) if isinstance(texts, list) else texts}
+            data = {name: batch.column(name) for name in names} | {text: pa.array(texts, pa.string()) if isinstance(texts, list) else texts}
             yield pa.record_batch(list(data.values()), list(data))
 
-    return joined.select(*df.columns, "__spans").mapInArrow(cut, df.schema)
+    return joined.select(*names, "__spans").mapInArrow(cut, df.schema)
 
