@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logframe.llm import chunks, langid, packing, simhash, warc
+from logframe.llm import chunks, hashforest, langid, licenses, packing, pieces, products, sharding, simhash, warc
 from logframe.llm.common import table
 from logframe.llm.registry import query
 
@@ -56,3 +56,72 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def license_sql() -> str:
+    """The licence scan by comparing every line with every template."""
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    places = " || ".join(
+        "list_transform(list_filter(range(0, len(ws)), lambda i: "
+        + " AND ".join(f"coalesce(ws[i + {k + 1}] = '{w}', false)" for k, w in enumerate(phrase.split()))
+        + f"), lambda i: {{'at': i, 'label': '{label}'}})"
+        for phrase, label in licenses.PHRASES
+    )
+    templates = ", ".join(f"({licenses.template_words(t)}, '{label}')" for t, label in licenses.TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+w AS (SELECT k, doc_id, low, regexp_extract_all(low, '{pattern}') AS ws FROM d),
+p AS (SELECT k, doc_id, len(ws) AS n_words, {places} AS places FROM w),
+t(tw, label) AS (VALUES {templates}),
+b AS (SELECT k, regexp_extract_all(unnest(string_split_regex(low, '[\\n\\r]')), '{pattern}') AS bw FROM d),
+m AS (SELECT k, label, len(list_intersect(tw, bw)) / len(tw) AS share FROM b, t WHERE len(list_intersect(tw, bw)) >= ceil(0.8 * len(tw) - 1e-9)),
+g AS (SELECT k, list(DISTINCT label) AS of_templates, max(share) AS share FROM m GROUP BY k),
+j AS (SELECT *, list_transform(places, lambda x: x.at) AS ats, list_distinct(list_transform(places, lambda x: x.label)) AS base FROM p LEFT JOIN g USING (k))
+SELECT doc_id, n_words, len(places) AS n_base, list_min(ats) AS first_word, list_max(ats) AS last_word,
+  array_to_string(list_sort(base), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(base || coalesce(of_templates, []))), ',') AS labels,
+  CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM j
+"""
+
+
+@query("op8_licenses", license_sql())
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op7_sharding")
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes."""
+    found = sharding.shard(table(spark, sf_dir, "documents"), 16)
+    return found.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query("op2_hashforest")
+def op2_hashforest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors found for every hundredth vector."""
+    return hashforest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+PRODUCT_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.w) = len(c.w)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op4_products", PRODUCT_SQL)
+def op4_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest integer inner products for every hundredth vector."""
+    return products.top_products(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_pieces")
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again."""
+    return pieces.digests(table(spark, sf_dir, "documents"))
