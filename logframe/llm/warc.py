@@ -43,11 +43,12 @@ NOWHERE = "http://invalid/"
 
 def url_key(url: Column) -> Column:
     """The sort key of a URL: host labels reversed, then path and query, lower case, without scheme,
-    ``www.``, port, fragment; null and empty give ``-)``."""
-    bare = F.regexp_replace(F.lower(F.trim(F.coalesce(url, F.lit("")))), r"^[a-z][a-z0-9+.-]*://", "")
+    ``www.``, port, fragment, blanks and control characters; null and empty give ``-)``."""
+    bare = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), r"[\x00-\x20]", "")
+    bare = F.regexp_replace(bare, r"^[a-z][a-z0-9+.-]*://", "")
     bare = F.regexp_replace(bare, "#.*$", "")
     host = F.regexp_replace(F.regexp_extract(bare, "^[^/?]*", 0), r"^www[0-9]*\.|:[0-9]*$", "")
-    rest = F.regexp_replace(F.regexp_extract(bare, "^[^/?]*(.*)$", 1), r"[\x00-\x20]", "")
+    rest = F.regexp_extract(bare, "^[^/?]*(.*)$", 1)
     key = F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest)
     return F.when(key == ")", "-)").otherwise(key)
 

@@ -1,0 +1,82 @@
+"""The registered queries against their SQL, and the pipeline against brute force on a small fixture."""
+
+from __future__ import annotations
+
+import collections
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from logframe import llm
+from logframe.llm import packing
+from scripts.check_queries import compare, connect
+from tests.llm.test_operators import brute_components, brute_fingerprint, prose
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("key", llm.ORACLES)
+def test_query_agrees_with_sql(spark, connection, key):
+    problem, _, _ = compare(spark, connection, SF_DIR, key)
+    assert problem is None
+
+
+@pytest.mark.parametrize("number", range(1, 11))
+def test_one_query_per_operator(number):
+    assert len([key for key in llm.QUERIES if key.startswith(f"op{number}_")]) == 1
+
+
+def test_simhash_query_over_the_table(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    prints = [brute_fingerprint(r.text) for r in rows]
+    want = brute_components([r.doc_id for r in rows], prints, 4)
+    got = llm.QUERIES["op1_simhash"](spark, SF_DIR).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {r.doc_id: (f"{p:016x}", want[r.doc_id]) for r, p in zip(rows, prints)}
+
+
+def test_language_query_on_held_out_rows(spark):
+    languages = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect()}
+    held = [r for r in llm.QUERIES["op9_langid"](spark, "/root/testdata/sf0.01").collect() if r.held_out]
+    assert len(held) > 150 and sum(r.lang_pred == languages[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_pipeline_stages_and_result(spark, tmp_path):
+    passage = prose(50, 80, 10**9)
+    texts = {k: prose(k, 60, 10**9) for k in range(20)}
+    texts |= {20: texts[3], 21: texts[3].upper(), 22: None, 23: "", 24: "12 34 !!", 25: f"{prose(60, 50, 10**9)} {passage}", 26: f"{passage} {prose(61, 50, 10**9)}"}
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(k, t, "en" if k % 2 else "de", "s", None) for k, t in texts.items()]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    columns = docs.columns
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / f"stage{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
+        kept.append({r.doc_id for r in docs.collect()})
+        assert k == 3 or docs.columns == columns
+    assert kept[0] == set(range(20)) | {20, 21, 25, 26}
+    assert kept[1] == set(range(20)) | {25, 26} == kept[2] == kept[3]
+    after = {r.doc_id: r.text for r in spark.read.parquet(str(tmp_path / "stage2")).collect()}
+    assert passage in after[25] and passage not in after[26] and after[26].endswith(prose(61, 50, 10**9))
+    assert all(after[k] == texts[k] for k in range(20))
+    encode = packing.encoder(packing.vocabulary())
+    want = {k: np.append(encode(t), np.uint32(1)).astype("<u4") for k, t in after.items()}
+    got = collections.defaultdict(int)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        assert zlib.crc32(want[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32
+        got[r.doc_id] += r.length
+    assert got == {k: len(v) for k, v in want.items()}
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
