@@ -54,8 +54,8 @@ def to_ns(value: TimeBound, now_ns: int) -> int:
     if isinstance(value, date):
         return (value - _EPOCH.date()).days * NANOS_PER_DAY
     raise ValueError(
-        f"unsupported time bound {value!r}: month and year offsets are calendar-dependent, "
-        "pass a timedelta or an absolute time instead"
+        f"{value!r} is no time bound; give nanoseconds, an instant, or a timedelta "
+        "(months and years have no fixed length)"
     )
 
 
@@ -154,12 +154,24 @@ def _utc_literal(ns: int) -> Column:
 STORED_TIME = {"stored_time": True}
 
 
+def counted_time(origin_ns: int, width_ns: int) -> dict[str, int]:
+    """Schema metadata: the column numbers the spans of ``width_ns`` after ``origin_ns``, and ``ts_ns`` lies in that span."""
+    return {"time_origin_ns": origin_ns, "time_width_ns": width_ns}
+
+
+def _span_of(origin_ns: int, width_ns: int) -> Callable[[int], int]:
+    return lambda ns: min(max((ns - origin_ns) // width_ns, -(1 << 63)), (1 << 63) - 1)
+
+
 def _prunable(df: DataFrame) -> list[tuple[str, Callable[[int], object]]]:
     """Columns to bound besides ``ts_ns`` for the sake of pruning, and how to say a bound in them.
 
-    Spark derives neither from bounds on ``ts_ns``: the partition column ``day`` of a
-    table at rest, or the stored time column that ``ts_ns`` is computed from.
+    Spark derives none of them from bounds on ``ts_ns``: the partition column ``day`` of a
+    table at rest, or the stored column that ``ts_ns`` is computed from.
     """
+    counted = [(f.name, f.metadata) for f in df.schema if "time_width_ns" in f.metadata]
+    if counted:
+        return [(name, _span_of(m["time_origin_ns"], m["time_width_ns"])) for name, m in counted]
     if "day" in df.columns:
         return [("day", _utc_day)]
     if "timestamp" in df.columns and df.schema["timestamp"].metadata.get("stored_time"):

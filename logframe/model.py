@@ -75,7 +75,7 @@ def check_label_names(names: Iterable[str | None]) -> list[str]:
     checked: list[str] = []
     for name in names:
         if name is None:
-            raise ValueError("labels must not contain None entries")
+            raise ValueError("a label name is missing (None)")
         if name.lower() in RESERVED_COLUMNS:
             raise ValueError(f"label {name!r} collides with a column of the log table")
         if name.lower() in (other.lower() for other in checked):
@@ -84,8 +84,18 @@ def check_label_names(names: Iterable[str | None]) -> list[str]:
     return checked
 
 
+# Schema metadata: the column is a promoted label. Parquet keeps it.
+PROMOTED = {"promoted_label": True}
+
+
 def is_promoted(df: DataFrame, name: str) -> bool:
-    return name in df.columns and name not in RESERVED_COLUMNS and df.schema[name].dataType.typeName() == "string"
+    """Whether a column of that name is the label of that name; other columns never stand for a label."""
+    return name in df.columns and bool(df.schema[name].metadata.get("promoted_label"))
+
+
+def promoted(column: Column, name: str) -> Column:
+    """``column`` as the promoted label ``name``."""
+    return column.alias(name, metadata=PROMOTED)
 
 
 def label_column(df: DataFrame, name: str) -> Column:
@@ -119,11 +129,10 @@ def log_table(
     ]
     if isinstance(labels, Mapping):
         check_label_names(labels)
-        promoted = {name: labels[name].cast("string").alias(name) for name in sorted(labels)}
-        columns += [promoted[name] for name in labels]
+        columns += [promoted(labels[name].cast("string"), name) for name in labels]
         columns += [
             _map_without_nulls(labels).alias(LABELS),
-            F.to_json(F.struct(*promoted.values())).alias(LABELS_KEY),
+            F.to_json(F.struct(*(labels[name].cast("string").alias(name) for name in sorted(labels)))).alias(LABELS_KEY),
         ]
     else:
         columns.append(F.coalesce(labels, empty_map()).alias(LABELS))

@@ -10,57 +10,59 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from logframe.functions.timebounds import Window
-from logframe.model import LINE, TS_NS, labels_key_of
-from logframe.operators.topk import check_direction, check_limit, first_rows, is_large, past_cut_off
+from logframe.model import LINE, TS_NS, labels_key_of, quoted
+from logframe.operators.topk import check_direction, check_limit, first_rows, in_window, past_cut_off
 
 _ENTRY = "__entry"
 _KEY = [TS_NS, _ENTRY]
 
 
-def _tagged(pages: DataFrame) -> DataFrame:
-    # Never NULL, so that no join has to test (and compute) the digest once more.
-    digest = F.sha2(F.concat(labels_key_of(pages), F.lit("\x1f"), F.col(LINE)), 256)
-    return pages.withColumn(_ENTRY, F.coalesce(digest, F.lit("")))
-
-
-def _copies(tagged: DataFrame, page: str) -> DataFrame:
-    """Per entry and page ``held``: the number of copies, and the page."""
-    counted = tagged.groupBy(*_KEY, page).agg(F.count("*").alias("copies"))
-    return counted.select(*_KEY, F.struct("copies", page).alias("held"))
+def _digest(df: DataFrame) -> Column:
+    """Labels and line of an entry; NULL differs from every text."""
+    parts = [F.coalesce(F.concat(F.lit("="), part), F.lit("-")) for part in (labels_key_of(df), F.col(LINE))]
+    return F.sha2(F.concat(F.length(parts[0]).cast("string"), *parts), 256)
 
 
 def merge_pages(pages: DataFrame, page: str = "page_id") -> DataFrame:
     """All pages of ``pages`` combined, each entry once per real copy; drops the page column.
 
-    Copies are counted per page and entry first (combined in the map tasks, over a
-    digest instead of the text).  Only entries seen on several pages go on: for those
-    the page with most copies wins, and an anti-join takes out the other pages'
-    copies.  The rows themselves move at most once, not at all while the list of
-    losing copies is small enough for Spark to broadcast, and a heavily repeated
-    entry is an ordinary skewed join key that adaptive execution splits.
+    First the instants that more than one page serves are found, from times and page names alone,
+    combined in the map tasks.  Only entries of those instants are hashed and counted
+    per page, over a digest instead of the text.  Of entries seen on several pages the page
+    with most copies wins, and an anti-join takes out the other pages' copies.  Rows do not
+    move while the lists of instants and of losing copies are small enough for Spark to broadcast;
+    beyond that a heavily repeated entry is an ordinary skewed join key that adaptive
+    execution splits.  Entries without a time count as one instant.
     """
-    tagged = _tagged(pages)
-    copies = _copies(tagged, page)
+    name = F.struct(F.col(quoted(page)).alias("page"))
+    instants = pages.groupBy(F.col(TS_NS).alias("s_ts")).agg(F.min(name).alias("first"), F.max(name).alias("last"))
+    instants = instants.where(~F.col("first").eqNullSafe(F.col("last"))).select("s_ts", F.lit(True).alias("__shared"))
+    marked = pages.join(instants, F.col(TS_NS).eqNullSafe(F.col("s_ts")), "left").drop("s_ts")
+    tagged = marked.withColumn(_ENTRY, F.when(F.col("__shared"), _digest(pages)))
+
+    counted = tagged.where("__shared").groupBy(*_KEY, F.col(quoted(page)).alias("page")).agg(F.count("*").alias("copies"))
+    copies = counted.select(*_KEY, F.struct("copies", "page").alias("held"))
     winners = (
         copies.groupBy(*_KEY)
         .agg(F.max("held").alias("winner"), F.count("*").alias("seen_on"))
         .where(F.col("seen_on") > 1)
+        .select(F.col(TS_NS).alias("w_ts"), F.col(_ENTRY).alias("w_entry"), "winner")
     )
+    same = F.col(TS_NS).eqNullSafe(F.col("w_ts")) & (F.col(_ENTRY) == F.col("w_entry"))
     losers = (
-        copies.join(winners, _KEY)
+        copies.join(winners, same)
         .where(~F.col("held").eqNullSafe(F.col("winner")))
-        .select(F.col(TS_NS).alias("l_ts"), F.col(_ENTRY).alias("l_entry"), F.col("held")[page].alias("l_page"))
+        .select(F.col("w_ts").alias("l_ts"), F.col("w_entry").alias("l_entry"), F.col("held.page").alias("l_page"))
     )
-    # Null-safe, so that both uses of ``copies`` stay one shuffle that Spark can reuse.
     lost = (
-        (F.col(TS_NS) == F.col("l_ts"))
+        F.col(TS_NS).eqNullSafe(F.col("l_ts"))
         & (F.col(_ENTRY) == F.col("l_entry"))
-        & F.col(page).eqNullSafe(F.col("l_page"))
+        & F.col(quoted(page)).eqNullSafe(F.col("l_page"))
     )
-    return tagged.join(losers, lost, "left_anti").drop(_ENTRY, page)
+    return tagged.join(losers, lost, "left_anti").drop(_ENTRY, "__shared", page)
 
 
 def merge_pages_limited(
@@ -70,18 +72,13 @@ def merge_pages_limited(
     page: str = "page_id",
     window: Window = Window(),
     tie_breakers: Iterable[str] = (),
-    narrow: bool | None = None,
 ) -> DataFrame:
-    """The first ``limit`` rows of the merged pages, counted after de-duplication.
+    """The first ``limit`` rows of the merged pages within ``window``, counted after de-duplication.
 
-    Equal entries share their instant, so a cut-off in time commutes with merging: a large
-    input is cut by the counts of its merged entries, and only what is left is merged.
+    Equal entries share their instant, so a cut-off in time commutes with merging: the
+    pages are cut first, by counts per page, and only what is left is merged.
     """
     backward = check_direction(direction) == "backward"
     check_limit(limit)
-    if narrow is None:
-        narrow = is_large(pages, limit)
-    if narrow:
-        held = _copies(_tagged(pages), page).groupBy(*_KEY).agg(F.max("held")["copies"].alias("rows"))
-        pages = past_cut_off(pages, limit, backward, window, held.select(TS_NS, "rows"))
-    return first_rows(merge_pages(pages, page), limit, backward, tie_breakers, grouped=narrow)
+    cut = past_cut_off(in_window(pages, window), limit, backward, window, page)
+    return first_rows(merge_pages(cut, page), limit, backward, tie_breakers)

@@ -21,6 +21,7 @@ from logframe.functions.matchers import (
     require_selector,
     selector_column,
 )
+from logframe.functions.selector_text import read_selector
 from logframe.functions.timebounds import (
     TimeBound,
     Window,
@@ -39,6 +40,7 @@ from logframe.model import (
     check_label_names,
     empty_map,
     label_column,
+    promoted,
     quoted,
 )
 from logframe.operators.topk import check_direction, check_limit, newest
@@ -48,7 +50,7 @@ DEFAULT_LIMIT = 5000
 
 def scan_logs(
     df: DataFrame,
-    selector: Iterable[Matcher],
+    selector: str | Iterable[Matcher],
     *,
     line: Iterable[LineFilter] = (),
     labels: Sequence[str] = (),
@@ -61,28 +63,31 @@ def scan_logs(
 ) -> DataFrame:
     """Entries of one selection.
 
-    ``selector`` is a list of ``(label, op, value)`` matchers and must demand at
-    least one non-empty label.  ``start``/``end`` bound the scan (start inclusive,
+    ``selector`` is a list of ``(label, op, value)`` matchers, or text such as
+    ``{job="api"} |= "timeout"`` whose line filters come before those of ``line``, and must
+    demand at least one non-empty label.  ``start``/``end`` bound the scan (start inclusive,
     end exclusive) and default to the last hour.  ``limit`` is the total number of
     rows, newest first (``direction='backward'``) or oldest first (``'forward'``);
     ``None`` returns the whole selection, in no order.  ``labels`` are promoted to
     columns; ``keep`` passes other columns of ``df`` through.
     """
     if selector is None:
-        raise ValueError("a stream selector is required")
+        raise ValueError("a scan needs a selector: a list of matchers, or text such as {job=\"api\"}")
+    selector, line = _read(selector, line)
     matchers = check_matchers(selector)
     require_selector(matchers)
-    promoted = check_label_names(labels)
+    names = check_label_names(labels)
     check_limit(limit)
     direction = check_direction(direction)
-    window = with_default_hour(explicit_window(start, end, now), now)
+    now_ns = now_to_ns(now)
+    window = with_default_hour(explicit_window(start, end, now_ns), now_ns)
     selected = _select(df, matchers, line, window)
-    return _finish(selected, promoted, keep, limit, direction, window)
+    return _finish(selected, names, keep, limit, direction, window)
 
 
 def refine_logs(
     df: DataFrame,
-    selector: Iterable[Matcher] = (),
+    selector: str | Iterable[Matcher] = (),
     *,
     label_where: Iterable[tuple] = (),
     time_where: Iterable[tuple[str, TimeBound]] = (),
@@ -105,9 +110,10 @@ def refine_logs(
     ``!=`` narrows the scan the way a selector does, keeping entries that lack the
     label, and drops those only after the limit.
     """
+    selector, line = _read(selector, line)
     matchers = check_matchers(selector)
-    promoted = check_label_names(labels)
-    predicates = check_label_predicates(label_where, promoted)
+    names = check_label_names(labels)
+    predicates = check_label_predicates(label_where, names)
     require_selector([*matchers, *map(predicate_as_matcher, predicates)])
     check_limit(limit)
     direction = check_direction(direction)
@@ -120,13 +126,21 @@ def refine_logs(
             selected = selected.where(matcher_column(df, predicate))
         else:
             selected = selected.where(label_predicate_column(df, predicate))
-    result = _finish(selected, promoted, keep, limit, direction, window)
+    result = _finish(selected, names, keep, limit, direction, window)
     for label, op, value in predicates:
         if op == "!=":
             result = result.where(F.col(quoted(label)) != value)
     return result
 
 
+def _read(selector: str | Iterable[Matcher], line: Iterable[LineFilter]):
+    """The matchers and line filters, whether given as text or as lists."""
+    if not isinstance(selector, str):
+        return selector, line
+    matchers, filters = read_selector(selector)
+    return matchers, [*filters, *line]
+
+
 def _select(df: DataFrame, matchers, line, window: Window) -> DataFrame:
     for predicate in (
         time_filter(window, df),
@@ -146,7 +160,7 @@ def _finish(selected: DataFrame, labels, keep, limit, direction, window: Window)
         TIMESTAMP,
         TS_NS,
         LINE,
-        *(label_column(selected, name).alias(name) for name in labels),
+        *(promoted(label_column(selected, name), name) for name in labels),
         LABELS,
         metadata.alias(METADATA),
         *(F.col(quoted(name)) for name in keep),

@@ -1,15 +1,12 @@
-"""The newest (or oldest) n rows, exactly, without funnelling the table through one task.
-
-Spark's top-k keeps n rows in every task and merges them all in one place.  That is
-the right plan while the input is small.  A larger input is narrowed first:
-
-* Rows are counted per time bucket, a map-side aggregate of at most ``BUCKETS`` groups.
-  The bucket in which the n-th row lies gives a cut-off, and only rows past it go on.
-  A second round splits the cut-off bucket again, so it does not matter if one bucket
-  holds a large share of the table.  Cut-offs are scalar subqueries: the plan stays lazy,
-  and at run time Spark pushes them into the Parquet scan and its ``day`` partitions.
-* What is left can still be much, when very many entries share the very instant of the
-  cut-off.  So the n first rows are taken per group of scan tasks, and only those meet.
+"""The newest (or oldest) n rows, exactly, by one plan for every size of input.
+
+* Rows are counted per time bucket, combined in the scan tasks; only the counts of at most
+  some ten thousand buckets move.  The bucket in which the n-th row lies gives a cut-off instant, a
+  scalar subquery: the plan stays lazy, and at run time Spark pushes it into the Parquet
+  scan and its ``day`` partitions.
+* What lies past the cut-off is sorted in the scan tasks, and each keeps its first n rows.  It may
+  still be much, when very many rows share one instant, so the kept rows of ``FAN_IN`` tasks are
+  cut to n once more before the last merge.
 """
 
 from __future__ import annotations
@@ -18,23 +15,23 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from logframe.functions.timebounds import Window, day_of
+from logframe.functions.timebounds import Window, day_of, time_filter
 from logframe.model import DAY, LINE, METADATA, TS_NS, canonical_map, labels_key_of, quoted
-from logframe.plans import estimated_bytes, split_bytes
 
 DIRECTIONS = ("backward", "forward")
 
-BUCKETS = 4096
-ROUNDS = 2
-# Above this input size, or this many rows meeting in the last task, the input is narrowed.
-DIRECT_BYTES = 16 << 20
-DIRECT_ROWS = 1_000_000
+# A closed window is cut into at most 2**BUCKET_BITS buckets; an open one into buckets of 2**OPEN_SHIFT ns (73 minutes).
+BUCKET_BITS = 16
+OPEN_SHIFT = 42
+FAN_IN = 64
+# Spark numbers the rows of a task in the lower 33 bits.
+_ROW_BITS = (1 << 33) - 1
 
 
 def check_direction(direction: str) -> str:
     lowered = str(direction).lower()
     if lowered not in DIRECTIONS:
-        raise ValueError("direction must be 'backward' or 'forward'")
+        raise ValueError(f"unknown direction {direction!r}, expected one of {DIRECTIONS}")
     return lowered
 
 
@@ -42,7 +39,7 @@ def check_limit(limit: int | None) -> int | None:
     if limit is None:
         return None
     if isinstance(limit, bool) or not isinstance(limit, int) or limit <= 0:
-        raise ValueError("limit must be a positive integer")
+        raise ValueError(f"a limit is a whole number above 0, not {limit!r}")
     return limit
 
 
@@ -52,88 +49,72 @@ def newest(
     direction: str = "backward",
     window: Window = Window(),
     tie_breakers: Iterable[str] = (),
-    narrow: bool | None = None,
 ) -> DataFrame:
-    """The first n rows in time order: newest first (``backward``) or oldest first.
+    """The first n rows in time order within ``window``: newest first (``backward``) or oldest first.
 
     Rows of one instant are ordered by labels, line, metadata and ``tie_breakers``,
-    so the result does not depend on how the data is partitioned.  ``narrow``
-    forces or forbids the cut-off; by default the size estimate decides.
+    so the result does not depend on how the data is partitioned.  Rows without a time
+    and rows outside the window are not among the result.
     """
     backward = check_direction(direction) == "backward"
     check_limit(n)
-    if narrow is None:
-        narrow = is_large(df, n)
-    if narrow:
-        df = past_cut_off(df, n, backward, window)
-    return first_rows(df, n, backward, tie_breakers, grouped=narrow)
+    timed = in_window(df, window)
+    return first_rows(past_cut_off(timed, n, backward, window), n, backward, tie_breakers)
 
 
-def first_rows(df: DataFrame, n: int, backward: bool, tie_breakers: Iterable[str] = (), grouped: bool = False) -> DataFrame:
-    """Top-k in the order of :func:`newest`; ``grouped`` cuts to n rows per group of scan tasks first."""
+def in_window(df: DataFrame, window: Window) -> DataFrame:
+    """The rows that have a time, in ``window``."""
+    inside = time_filter(window, df)
+    return df.where(F.col(TS_NS).isNotNull() if inside is None else inside)
+
+
+def first_rows(df: DataFrame, n: int, backward: bool, tie_breakers: Iterable[str] = ()) -> DataFrame:
+    """Top-k in the order of :func:`newest`, cut in every task, then per group of tasks, then as a whole."""
     order = [F.col(TS_NS), labels_key_of(df), F.col(LINE)]
     if METADATA in df.columns:
         order.append(canonical_map(F.col(METADATA)))
     order += [F.col(quoted(c)) for c in tie_breakers]
     order = [c.desc() if backward else c.asc() for c in order]
-    if grouped:
-        # As many groups as shuffle partitions.
-        groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.withColumn("__group", F.spark_partition_id() % groups)
-        df = df.withColumn("__rank", F.row_number().over(W.partitionBy("__group").orderBy(*order)))
-        df = df.where(F.col("__rank") <= n).drop("__group", "__rank")
-    return df.orderBy(*order).limit(n)
+    own = _cut(df, n, order).withColumn("__group", F.floor(F.spark_partition_id() / FAN_IN))
+    return _cut(own.repartition("__group").drop("__group"), n, order).orderBy(*order).limit(n)
 
 
-def is_large(df: DataFrame, n: int) -> bool:
-    size = estimated_bytes(df)
-    return size is None or size > DIRECT_BYTES or n * max(1, size / split_bytes(df)) > DIRECT_ROWS
+def _cut(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first n rows of every task."""
+    numbered = df.sortWithinPartitions(*order).withColumn("__nth", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
+    return numbered.where(F.col("__nth") < n).drop("__nth")
 
 
 def past_cut_off(
-    df: DataFrame, n: int, backward: bool, window: Window = Window(), counts: DataFrame | None = None
+    df: DataFrame, n: int, backward: bool, window: Window = Window(), page: str | None = None
 ) -> DataFrame:
-    """Rows at or past an instant that at least n rows reach, or all rows if there are fewer.
+    """Rows in or past the time bucket in which the n-th row lies, or all rows if there are fewer.
 
-    Rows are placed by their distance from ``origin``, the far end of the window;
-    the n rows asked for are those with the largest distances.  ``counts`` holds
-    ``ts_ns`` and ``rows``, for when a row of ``df`` does not count as one.
+    With ``page``, rows are copies that pages share.  A merged entry has at least the copies of any one
+    page, so the largest page of a bucket says how many merged rows are there at least.
     """
-    if counts is None:
-        days = [DAY] if DAY in df.columns else []
-        counts = df.select(TS_NS, *days, F.lit(1).alias("rows"))
-    lowest, highest = _bounds(df, window)
-    origin = lowest if backward else highest
-    span = highest - lowest + 1
-    past = counts
-    for _ in range(ROUNDS):
-        width = _div(span - 1, F.lit(BUCKETS).cast("bigint")) + 1
-        distance = F.col(TS_NS) - origin if backward else origin - F.col(TS_NS)
-        # Past the first round everything beyond the bucket being split shares the top number.
-        bucket = F.least(_div(distance, width), F.lit(BUCKETS).cast("bigint"))
-        counted = past.select(bucket.alias("bucket"), "rows").groupBy("bucket").agg(F.sum("rows").alias("rows"))
-        reached = counted.select("bucket", F.sum("rows").over(W.orderBy(F.desc("bucket"))).alias("rows"))
-        cut = F.coalesce(reached.where(F.col("rows") >= n).agg(F.max("bucket")).scalar(), F.lit(0).cast("bigint"))
-        origin = origin + cut * width if backward else origin - cut * width
-        span = width
-        past = _past(counts, origin, backward)
-    return _past(df, origin, backward)
-
-
-def _bounds(df: DataFrame, window: Window) -> tuple[Column, Column]:
-    """First and last instant to bucket: those of the window, or of the data where it is (all but) open."""
-    start, end = window.start_ns, window.end_ns
-    if start is not None and end is not None and start < end < start + 2**62:
-        return F.lit(start).cast("bigint"), F.lit(end - 1).cast("bigint")
-    return df.agg(F.min(TS_NS)).scalar(), df.agg(F.max(TS_NS)).scalar()
-
-
-def _past(df: DataFrame, origin: Column, backward: bool) -> DataFrame:
-    past = df.where(F.col(TS_NS) >= origin if backward else F.col(TS_NS) <= origin)
-    if DAY in df.columns:
-        past = past.where(F.col(DAY) >= day_of(origin) if backward else F.col(DAY) <= day_of(origin))
-    return past
-
-
-def _div(dividend: Column, divisor: Column) -> Column:
-    return F.call_function("div", dividend, divisor)
+    shift = _shift(window)
+    bucket = F.shiftright(F.col(TS_NS), shift).alias("bucket")
+    if page is None:
+        counted = df.select(bucket).groupBy("bucket").agg(F.count("*").alias("rows"))
+    else:
+        per_page = df.select(bucket, F.col(quoted(page)).alias("page")).groupBy("bucket", "page").agg(F.count("*").alias("rows"))
+        counted = per_page.groupBy("bucket").agg(F.max("rows").alias("rows"))
+    order = F.desc("bucket") if backward else F.asc("bucket")
+    reached = counted.select("bucket", F.sum("rows").over(W.orderBy(order)).alias("rows")).where(F.col("rows") >= n)
+    first = F.shiftleft(reached.agg((F.max if backward else F.min)("bucket")).scalar(), shift)
+    if backward:
+        limit = F.coalesce(first, F.lit(-(1 << 63)))
+        past = df.where(F.col(TS_NS) >= limit)
+        return past.where(F.col(DAY) >= day_of(limit)) if DAY in df.columns else past
+    limit = F.coalesce(first + F.lit((1 << shift) - 1), F.lit((1 << 63) - 1))
+    past = df.where(F.col(TS_NS) <= limit)
+    return past.where(F.col(DAY) <= day_of(limit)) if DAY in df.columns else past
+
+
+def _shift(window: Window) -> int:
+    """The bits of a nanosecond count that lie within one bucket."""
+    if window.start_ns is None or window.end_ns is None:
+        return OPEN_SHIFT
+    span = max(window.end_ns - window.start_ns, 1)
+    return min(max(span.bit_length() - BUCKET_BITS, 0), OPEN_SHIFT)

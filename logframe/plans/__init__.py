@@ -1,5 +1,5 @@
-"""Looking at plans: size estimates that choose between plans, and plan text for tests."""
+"""Looking at plans, for tests."""
 
-from logframe.plans.inspect import estimated_bytes, formatted_plan, plan_facts, split_bytes
+from logframe.plans.inspect import formatted_plan, plan_facts
 
-__all__ = ["estimated_bytes", "formatted_plan", "plan_facts", "split_bytes"]
+__all__ = ["formatted_plan", "plan_facts"]

@@ -7,23 +7,6 @@ import re
 from pyspark.sql import DataFrame
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a DataFrame; ``None`` where the session cannot tell."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # a session without a local JVM has no such estimate
-        return None
-
-
-def split_bytes(df: DataFrame) -> int:
-    """Bytes one scan task reads."""
-    text = str(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)))
-    m = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", text.strip().lower())
-    if m is None:
-        return 128 << 20
-    return int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m.group(2)]
-
-
 def formatted_plan(df: DataFrame) -> str:
     """The text of ``df.explain("formatted")``."""
     out = io.StringIO()

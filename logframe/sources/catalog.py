@@ -24,6 +24,7 @@ from logframe.model import (
     TS_NS,
     check_label_names,
     label_column,
+    promoted,
     quoted,
 )
 from logframe.operators.discover import label_names, series_of
@@ -31,7 +32,6 @@ from logframe.sources.tables import read_logs
 
 DEFAULT_TENANT = "public"
 TABLES = ("logs", "labels", "series")
-MAX_DISCOVERED_LABELS = 10_000
 
 
 def string_list(value: str | Iterable[str | None] | None) -> list[str]:
@@ -82,7 +82,7 @@ def attach(
     """Register the views of a log table (a path, or a DataFrame of that shape).
 
     ``labels`` pins the promoted columns, an empty list promotes none; left out, one
-    job per tenant finds the names present.  ``tenants`` gives one set of views per
+    job finds the names present, for all tenants.  ``tenants`` gives one set of views per
     entry.  ``start``/``end`` bound all views.
     """
     df = read_logs(spark, source) if isinstance(source, str) else source
@@ -92,27 +92,31 @@ def attach(
     predicate = time_filter(explicit_window(start, end, now), df)
     bounded = df if predicate is None else df.where(predicate)
     attached = Attached(alias, {})
+    found = _discovered(bounded, wanted) if labels is None else {}
     for tenant in wanted or [DEFAULT_TENANT]:
         # Always a filter: Spark refuses to insert into a view that is not a bare table.
         own = bounded.where(F.col(TENANT) == tenant) if wanted else bounded.where(F.col(TS_NS).isNotNull())
-        attached.labels[tenant] = check_label_names(_discovered(own) if labels is None else string_list(labels))
+        attached.labels[tenant] = check_label_names(found[tenant] if labels is None else string_list(labels))
         _register(own, attached, tenant)
     return attached
 
 
-def _discovered(df: DataFrame) -> list[str]:
-    """All label names; they are a schema, so their number is small and is checked."""
-    names = [row.label for row in label_names(df).limit(MAX_DISCOVERED_LABELS + 1).collect()]
-    if len(names) > MAX_DISCOVERED_LABELS:
-        raise ValueError(f"more than {MAX_DISCOVERED_LABELS} label names: pass labels=[...]")
-    return sorted(names)
+def _discovered(df: DataFrame, tenants: list[str]) -> dict[str, list[str]]:
+    """The label names of each tenant, found in one job.  They become columns, so their number is that of a schema."""
+    own = F.col(TENANT) if tenants else F.lit(DEFAULT_TENANT)
+    rows = df.where(F.col(TENANT).isin(tenants)) if tenants else df
+    names = rows.select(own.alias("own"), F.explode(F.map_keys(LABELS)).alias("label")).distinct().collect()
+    found: dict[str, list[str]] = {tenant: [] for tenant in tenants or [DEFAULT_TENANT]}
+    for row in names:
+        found[row.own].append(row.label)
+    return {tenant: sorted(labels) for tenant, labels in found.items()}
 
 
 def _register(df: DataFrame, attached: Attached, tenant: str) -> None:
     names = attached.labels[tenant]
-    promoted = [label_column(df, name).alias(name) for name in names]
+    columns = [promoted(label_column(df, name), name) for name in names]
     time_columns = [TIMESTAMP, TS_NS, *([DAY] if DAY in df.columns else [])]
-    logs = df.select(*time_columns, LINE, *promoted, LABELS, METADATA)
+    logs = df.select(*time_columns, LINE, *columns, LABELS, METADATA)
     logs.createOrReplaceTempView(attached.view_name("logs", tenant))
     label_names(df).createOrReplaceTempView(attached.view_name("labels", tenant))
     series_of(df, names).createOrReplaceTempView(attached.view_name("series", tenant))

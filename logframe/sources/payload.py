@@ -68,9 +68,12 @@ def _string(variant: Column) -> Column:
 
 
 def _string_map(variants: Column) -> Column:
-    """The string entries of a map of JSON values; empty when there is no map."""
-    strings = F.map_filter(variants, lambda _, value: _is_string(value))
-    return F.coalesce(F.transform_values(strings, lambda _, value: value.cast("string")), empty_map())
+    """The strings of a map of JSON values, the first of a repeated name; empty when there is no map."""
+    strings = F.filter(F.map_entries(variants), lambda entry: _is_string(entry["value"]))
+    names = F.transform(strings, lambda entry: entry["key"])
+    first = F.filter(strings, lambda entry, i: F.array_position(names, entry["key"]) == i + 1)
+    texts = F.transform(first, lambda entry: F.struct(entry["key"].alias("key"), entry["value"].cast("string").alias("value")))
+    return F.coalesce(F.map_from_entries(texts), empty_map())
 
 
 # What ``data`` of each kind of payload is read as: raw text of the elements, where possible.
@@ -121,8 +124,9 @@ def _elements(df: DataFrame, body: str, kind: str, on_invalid: str, keep: Iterab
 
 
 def _exploded(df: DataFrame, array: Column, name: str, keep: Iterable[str]) -> DataFrame:
-    """One row per non-null element.  The outer form keeps Spark from computing ``array`` twice to skip empty ones."""
-    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+    """One row per element, null ones too.  The outer form keeps Spark from computing ``array`` twice to skip empty ones."""
+    rows = df.select(*keep, F.posexplode_outer(array).alias("__place", name))
+    return rows.where(F.col("__place").isNotNull()).drop("__place")
 
 
 def payload_rejects(df: DataFrame, body: str = "body", kind: str = STREAMS) -> DataFrame:
@@ -138,7 +142,7 @@ def parse_streams(
     """Entries of stream payloads, as a log table without promoted labels.
 
     An entry whose time is not a number is skipped; a missing line is the empty
-    string.  ``keep`` passes columns of ``df`` (such as the tenant) through.
+    string; of repeated names the first counts.  ``keep`` passes columns of ``df`` (such as the tenant) through.
     """
     streams = _elements(df, body, STREAMS, on_invalid, keep)
     stream = _parse(F.col("__element"), "stream map<string,variant>, values array<string>")
@@ -146,20 +150,40 @@ def parse_streams(
         *keep, _string_map(F.col("__stream.stream")).alias(LABELS), F.col("__stream.values").alias("__values")
     )
     # Parsed before the explode: a filter on the time would otherwise parse every entry once more.
-    parsed = F.transform("__values", lambda entry: _parse(entry, "array<variant>"))
-    entries = _exploded(labelled, parsed, "__entry", [*keep, LABELS])
-    metadata = F.try_variant_get(F.get("__entry", F.lit(2)), "$.structuredMetadata", "map<string,variant>")
+    entries = _exploded(labelled, F.transform("__values", _entry), "__entry", [*keep, LABELS])
     rows = entries.select(
         *keep,
-        _integer(_string(F.get("__entry", F.lit(0)))).alias(TS_NS),
-        F.coalesce(_string(F.get("__entry", F.lit(1))), F.lit("")).alias(LINE),
+        _integer(_string(F.get("__entry.parts", F.lit(0)))).alias(TS_NS),
+        F.coalesce(_string(F.get("__entry.parts", F.lit(1))), F.lit("")).alias(LINE),
         LABELS,
-        _string_map(metadata).alias(METADATA),
+        _string_map(F.col("__entry.metadata")).alias(METADATA),
     )
     timed = rows.where(F.col(TS_NS).isNotNull())
     return timed.select(*keep, TS_NS, timestamp_of(F.col(TS_NS)).alias(TIMESTAMP), LINE, LABELS, METADATA)
 
 
+# Time and line at the start of an entry's text: two JSON strings or other scalars.
+_HEAD = r'^\s*\[\s*("(?:[^"\\]++|\\.)*+"|[^"\[\]{},\s]++)\s*(?:,\s*("(?:[^"\\]++|\\.)*+"|[^"\[\]{},\s]++)\s*)?[,\]]'
+
+
+def _entry(text: Column) -> Column:
+    """Time, line and metadata of an entry: ``struct<parts:array<variant>,metadata:map<string,variant>>``.
+
+    An object that holds a name twice, wherever in the entry, is no variant.  Such an entry is read
+    from its text: the first two elements, and of the third the first ``structuredMetadata``.
+    """
+    whole = _parse(text, "array<variant>")
+    metadata = F.try_variant_get(F.get(whole, F.lit(2)), "$.structuredMetadata", "map<string,variant>")
+    second = F.regexp_extract(text, _HEAD, 2)
+    head = F.concat(F.lit("["), F.regexp_extract(text, _HEAD, 1), F.when(second != "", F.concat(F.lit(","), second)).otherwise(F.lit("")), F.lit("]"))
+    third = _parse(F.get(_parse(text, "array<string>"), F.lit(2)), "map<string,string>")
+    named = F.filter(F.map_entries(third), lambda entry: entry["key"] == "structuredMetadata")
+    repeated = _parse(F.get(named, F.lit(0))["value"], "map<string,variant>")
+    return F.when(whole.isNotNull(), F.struct(whole.alias("parts"), metadata.alias("metadata"))).otherwise(
+        F.struct(_parse(head, "array<variant>").alias("parts"), repeated.alias("metadata"))
+    )
+
+
 def _integer(text: Column) -> Column:
     """The integer a text starts with (anything may follow); NULL if none or out of range."""
     leading = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1)
@@ -173,6 +197,9 @@ def parse_string_array(df: DataFrame, body: str = "body", *, on_invalid: str = "
 
 
 def parse_series(df: DataFrame, body: str = "body", *, on_invalid: str = "fail") -> DataFrame:
-    """The label sets of series payloads, one per row, as ``labels``; non-string values are skipped."""
+    """The label sets of series payloads, one per row, as ``labels``; non-string values are skipped.
+
+    An element that is no object, null included, is an empty set.
+    """
     elements = _elements(df, body, SERIES, on_invalid)
     return elements.select(_string_map(_parse(F.col("__element"), "map<string,variant>")).alias(LABELS))

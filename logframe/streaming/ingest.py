@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logframe.model import TENANT, with_layout_columns
-from logframe.sources.payload import parse_streams
+from logframe.sources.payload import parse_streams, payload_rejects
 from logframe.sources.tables import partition_columns, read_logs
 
 
@@ -39,14 +39,22 @@ def ingest_payloads(
     *,
     name: str,
     checkpoint: str | None = None,
-    on_invalid: str = "skip",
+    rejects: str | None = None,
     once: bool = True,
 ) -> StreamingQuery:
     """Parse a stream of stream payloads and append it to a log table, each payload exactly once.
 
     The rows are laid out by day (and by ``tenant`` where ``payloads`` has that column).
-    ``once`` stops when everything that has arrived is written.
+    ``once`` stops when everything that has arrived is written.  An invalid payload fails the query, unless
+    ``rejects`` names a folder: a second query of name ``<name>-rejects`` then lists it there, and the
+    returned one goes on without it.
     """
+    on_invalid = "fail" if rejects is None else "skip"
+    place = checkpoint or checkpoint_location(payloads.sparkSession, name)
+    if rejects is not None:
+        refused = payload_rejects(payloads).writeStream.format("json").outputMode("append").queryName(f"{name}-rejects")
+        refused = refused.option("checkpointLocation", f"{place}-rejects").option("path", rejects)
+        (refused.trigger(availableNow=True) if once else refused).start()
     keep = (TENANT,) if TENANT in payloads.columns else ()
     logs = with_layout_columns(parse_streams(payloads, on_invalid=on_invalid, keep=keep))
     writer = (
@@ -54,7 +62,7 @@ def ingest_payloads(
         .outputMode("append")
         .partitionBy(*partition_columns(logs))
         .queryName(name)
-        .option("checkpointLocation", checkpoint or checkpoint_location(payloads.sparkSession, name))
+        .option("checkpointLocation", place)
         .option("path", path)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()

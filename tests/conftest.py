@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from logframe import log_table  # noqa: E402
+from logframe.model import PROMOTED  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -39,7 +40,7 @@ def logs(spark):
             df, ts_ns=F.col("ts_ns"), line=F.col("line"), labels=F.col("labels"), metadata=F.col("structured_metadata")
         )
         for name in promote:
-            table = table.withColumn(name, F.col("labels")[name])
+            table = table.withColumn(name, F.col("labels")[name]).withMetadata(name, PROMOTED)
         return table
 
     return build

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from logframe import Window, newest, read_logs, write_logs
 from logframe.operators import topk
-from logframe.plans import estimated_bytes, formatted_plan, split_bytes
+from logframe.plans import formatted_plan
 
 TIMES = {
     "spread": "id * 1000003",
@@ -25,54 +27,59 @@ def table(spark, time):
     )
 
 
+def ordered(df, backward):
+    """What brute force makes of it: time, then labels, line and metadata."""
+    rows = [(r.ts_ns, json.dumps(r.labels, separators=(",", ":")), r.line, json.dumps(r.structured_metadata, separators=(",", ":"))) for r in df.collect()]
+    return sorted(rows, reverse=backward)
+
+
 @pytest.mark.parametrize("name", TIMES)
-def test_narrowing_changes_nothing(spark, name):
+def test_first_rows_equal_brute_force(spark, name):
     df = table(spark, TIMES[name]).cache()
     lowest, highest = df.agg(F.min("ts_ns"), F.max("ts_ns")).first()
-    window = Window(lowest, highest + 1)
+    middle = (lowest + highest) // 2
     for direction in ("backward", "forward"):
-        for n in (40, 5000):
-            key = F.col("structured_metadata")["id"].alias("id")
-            direct = newest(df, n, direction, narrow=False).select("ts_ns", key).collect()
-            narrowed = newest(df, n, direction, window, narrow=True).select("ts_ns", key).collect()
-            assert direct == narrowed
-            assert len(direct) == min(n, 3000)
-    first = newest(df, 1, "forward", narrow=False).select("ts_ns").collect()
-    for open_window in (Window(), Window(-(2**62), 2**63 - 1)):
-        assert newest(df, 1, "forward", open_window, narrow=True).select("ts_ns").collect() == first
+        every = ordered(df, direction == "backward")
+        for window in (Window(), Window(lowest, highest + 1), Window(middle, None)):
+            low = window.start_ns if window.start_ns is not None else lowest
+            high = window.end_ns if window.end_ns is not None else highest + 1
+            inside = [r for r in every if low <= r[0] < high]
+            for n in (40, 5000):
+                assert ordered_as_found(newest(df, n, direction, window)) == inside[:n]
     df.unpersist()
 
 
+def ordered_as_found(df):
+    return [(r.ts_ns, json.dumps(r.labels, separators=(",", ":")), r.line, json.dumps(r.structured_metadata, separators=(",", ":"))) for r in df.collect()]
+
+
 def test_empty_input(spark):
     df = table(spark, "id").where("ts_ns < 0")
-    assert newest(df, 5, narrow=True).collect() == []
-    assert newest(df, 5, window=Window(0, 10), narrow=True).collect() == []
+    assert newest(df, 5).collect() == []
+    assert newest(df, 5, window=Window(0, 10)).collect() == []
 
 
-def test_narrowing_leaves_little_for_the_last_task(spark):
-    df = table(spark, TIMES["one bucket holds a third"])
-    window = Window(0, 3_000_000_000)
-    past = topk.past_cut_off(df, 20, True, window)
-    assert 20 <= past.count() <= 25
-    # The crowded bucket is split by the second round.
-    in_crowd = topk.past_cut_off(df.where("ts_ns < 500003000"), 20, True, Window(0, 500_003_000))
-    assert 20 <= in_crowd.count() <= 40
+def test_rows_without_a_time_take_no_part(spark):
+    df = table(spark, "if(id % 2 = 0, null, id)")
+    for direction in ("backward", "forward"):
+        assert newest(df, 5000, direction).where("ts_ns is null").count() == 0
+        assert newest(df, 5000, direction).count() == 1500
+    assert [r.ts_ns for r in newest(df, 20, window=Window(5, 8)).collect()] == [7, 5]
 
 
-def test_the_size_decides(spark, monkeypatch):
-    df = table(spark, "id")
-    window = Window(0, 3000)
-    assert "Subquery" not in formatted_plan(newest(df, 10, window=window))
-    monkeypatch.setattr(topk, "DIRECT_ROWS", 5)
-    assert "Subquery" in formatted_plan(newest(df, 10, window=window))
-    monkeypatch.setattr(topk, "estimated_bytes", lambda df: None)
-    monkeypatch.setattr(topk, "DIRECT_ROWS", 10**9)
-    assert "Subquery" in formatted_plan(newest(df, 10, window=window))
+def test_the_cut_off_leaves_little_for_the_last_step(spark):
+    df = table(spark, TIMES["spread"])
+    for backward in (True, False):
+        assert 20 <= topk.past_cut_off(df, 20, backward, Window(0, 3_000_009_000)).count() <= 25
 
 
-def test_size_estimates(spark):
-    assert estimated_bytes(spark.range(1000)) == 8000
-    assert split_bytes(spark.range(1)) == 128 << 20
+def test_tasks_cut_before_rows_move(spark):
+    """All rows share an instant: no more than n rows leave a task."""
+    df = table(spark, TIMES["one instant"])
+    cut = topk._cut(df, 30, [F.col("line")])
+    assert cut.count() == 30 * df.rdd.getNumPartitions()
+    plan = formatted_plan(newest(df, 5000))
+    assert "WindowGroupLimit" not in plan and plan.count("RowNumber") == 0
 
 
 def test_cut_off_prunes_days_at_run_time(spark, tmp_path):
@@ -86,7 +93,7 @@ def test_cut_off_prunes_days_at_run_time(spark, tmp_path):
     )
     write_logs(df, str(tmp_path / "t"))
     logs = read_logs(spark, str(tmp_path / "t"))
-    result = newest(logs, 30, window=Window(0, 20 * day), narrow=True)
+    result = newest(logs, 30, window=Window(0, 20 * day))
     assert sorted(r.ts_ns for r in result.collect()) == [i * (day // 100) for i in range(1970, 2000)]
     plan = formatted_plan(result)
     filters = [line for line in plan.splitlines() if line.startswith("PartitionFilters")]

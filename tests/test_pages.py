@@ -25,39 +25,40 @@ def pages(spark):
     return build
 
 
-A, B, C, B2 = (80, "a"), (90, "b"), (100, "c"), (100, "b")
-
-CASES = [
-    ("one short page", [[(100, "b"), (90, "a")]], 100, "backward", "ba"),
-    ("backward overlap", [[C, B], [B, A], [A]], 100, "backward", "cba"),
-    ("same ns, different line", [[(100, "a"), B2]], 100, "forward", "ab"),
-    ("limit 1", [[C, B, A]], 1, "backward", "c"),
-    ("limit across an edge", [[C, B], [B, A]], 3, "backward", "cba"),
-    ("forward overlap", [[A, B], [B, C]], 100, "forward", "abc"),
-    ("page stuck on one ns", [[(100, "a"), B2], [(100, "a"), B2]], 100, "forward", "ab"),
-]
-
-
-@pytest.mark.parametrize(("name", "entries", "limit", "direction", "expected"), CASES, ids=[c[0] for c in CASES])
-def test_page_sequences(pages, name, entries, limit, direction, expected):
-    merged = merge_pages_limited(pages(*entries), limit, direction)
-    assert "".join(r.line for r in merged.collect()) == expected
-
-
-@pytest.mark.parametrize("narrow", [True, False])
-def test_limit_counts_merged_rows(pages, narrow):
+def model(entries_per_page, limit, direction):
+    """Each entry as often as on the page that has most of it, in order."""
+    most = Counter()
+    for page in entries_per_page:
+        most |= Counter(page)
+    return sorted(most.elements(), reverse=direction == "backward")[:limit]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+def test_served_pages_equal_the_model(pages, seed, direction):
+    """Pages as a server gives them: each begins again at the instant at which the last one stopped."""
+    rng = random.Random(seed)
+    entries = sorted(((rng.randrange(1, 15) * 7, rng.choice(["up", "down", "idle"])) for _ in range(rng.randrange(5, 40))), reverse=direction == "backward")
+    size, served, at = rng.randrange(3, 9), [], 0
+    while at < len(entries):
+        served.append(entries[at : at + size])
+        last = entries[min(at + size, len(entries)) - 1][0]
+        again = next(i for i, e in enumerate(entries) if e[0] == last)
+        at = again if again > at else at + size
+    for limit in (1, 4, 1000):
+        merged = merge_pages_limited(pages(*served), limit, direction)
+        assert [(r.ts_ns, r.line) for r in merged.collect()] == model(served, limit, direction)
+
+
+def test_limit_counts_merged_rows(pages):
     rng = random.Random(5)
     entries = [[(rng.randrange(50), rng.choice("ab")) for _ in range(60)] for _ in range(4)]
     entries.append([(49, "hot")] * 40)
     entries.append([(49, "hot")] * 41)
-    expected = Counter()
-    for page in entries:
-        expected |= Counter(page)
     for direction in ("backward", "forward"):
         for limit in (1, 30, 45, 100, 1000):
-            ordered = sorted(expected.elements(), reverse=direction == "backward")[:limit]
-            merged = merge_pages_limited(pages(*entries), limit, direction, narrow=narrow)
-            assert [(r.ts_ns, r.line) for r in merged.collect()] == ordered
+            merged = merge_pages_limited(pages(*entries), limit, direction)
+            assert [(r.ts_ns, r.line) for r in merged.collect()] == model(entries, limit, direction)
 
 
 def test_metadata_survives_and_is_not_part_of_the_key(pages):
@@ -103,12 +104,28 @@ def test_merge_without_broadcast(spark, pages):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = merge_pages(pages([C, B, B], [B, A], [A]))
-        assert sorted(r.line for r in merged.collect()) == ["a", "b", "b", "c"]
+        served = [[(31, "z"), (20, "y"), (20, "y")], [(20, "y"), (11, "x")], [(11, "x")]]
+        merged = merge_pages(pages(*served))
+        assert sorted(r.line for r in merged.collect()) == ["x", "y", "y", "z"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_any_page_name_and_type(pages):
-    named = pages([C, B], [B, A]).withColumn("part", F.concat(F.lit("p"), F.col("page_id").cast("string"))).drop("page_id")
+    named = pages([(3, "z"), (2, "y")], [(2, "y"), (1, "x")]).withColumn("part", F.concat(F.lit("p"), F.col("page_id").cast("string"))).drop("page_id")
     assert merge_pages(named, page="part").count() == 3
+
+
+def test_null_parts_are_kept_apart(spark):
+    """A NULL line, NULL labels and a NULL time are values of their own."""
+    rows = [(1, 5, None, {"job": "x"}), (1, 5, None, {"job": "y"}), (1, 5, "", {"job": "x"}), (1, 5, "a", None), (1, None, "a", {"job": "x"})]
+    again = [(2, *r[1:]) for r in rows] + [(2, None, "b", {"job": "x"})]
+    df = spark.createDataFrame(rows + again, "page_id int, ts_ns long, line string, labels map<string,string>")
+    assert merge_pages(df).count() == 6
+
+
+def test_text_is_read_for_shared_instants_only(spark, pages):
+    """Lines of instants that one page serves are not needed to count what is left."""
+    df = pages([(1, "a"), (5, "b")], [(5, "b"), (9, "c")])
+    poisoned = df.withColumn("line", F.when(F.col("ts_ns") != 5, F.raise_error(F.lit("read"))).otherwise(F.col("line")))
+    assert merge_pages(poisoned).select("ts_ns").groupBy().count().first()[0] == 3

@@ -44,6 +44,8 @@ _filtered("line_not_prefix", "line NOT LIKE 'Th%'", ("not prefix", "Th"))
 _filtered("line_not_suffix", "line NOT LIKE '%is.'", ("not suffix", "is."))
 _filtered("line_regex", "regexp_matches(line, 'th.*ing')", ("regex", "th.*ing"))
 _filtered("line_not_regex", "NOT regexp_matches(line, 'th.*ing')", ("not regex", "th.*ing"))
+_filtered("line_regex_nocase", "regexp_matches(line, '(?i)É[a-zà-ü]+')", ("regex", "(?i)É[a-zà-ü]+"))
+_filtered("line_regex_named_group", "regexp_matches(line, '(?P<first_word>th)e (?P<rest_1>[a-m])')", ("regex", "(?P<first_word>th)e (?P<rest_1>[a-m])"))
 _filtered(
     "line_multi",
     "contains(line, 'e') AND NOT regexp_matches(line, '[0-9]+$') AND line NOT LIKE 'Th%'",
@@ -58,3 +60,22 @@ _residual(
     "length(line) > 200 OR line = ''",
     lambda: (F.length("line") > 200) | (F.col("line") == ""),
 )
+
+
+@query(
+    "line_of_quality",
+    with_relations(
+        DOC_LOGS,
+        select="SELECT doc_id, line_no, line FROM doc_logs WHERE quality = '1' AND contains(line, 'the')",
+    ),
+)
+def line_of_quality(spark, sf_dir):
+    scan = scan_logs(
+        doc_logs(spark, sf_dir, quality=True),
+        [("quality", "=", "1")],
+        line=[("contains", "the")],
+        keep=["doc_id", "line_no"],
+        limit=None,
+        **ALL_TIME,
+    )
+    return scan.select("doc_id", "line_no", "line")

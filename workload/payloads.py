@@ -59,6 +59,30 @@ def streams_of_many_entries(spark, sf_dir) -> DataFrame:
     )
 
 
+@query(
+    "parse_streams_mixed",
+    with_relations(
+        CONV_LOGS,
+        select="SELECT role, ts_ns, line, CASE WHEN turn % 2 = 1 THEN conv_id END AS conv_id FROM conv_logs",
+    ),
+)
+def streams_of_mixed_entries(spark, sf_dir) -> DataFrame:
+    """Up to sixteen turns as one payload: odd ones with metadata, even ones without; names stand twice in both."""
+    logs = conv_logs(spark, sf_dir).withColumn("conv", F.col("structured_metadata")["conv_id"]).withColumn("turn", F.col("structured_metadata")["turn"].cast("bigint"))
+    plain = F.to_json(F.array(F.col("ts_ns").cast("string"), F.col("line")))
+    third = F.concat(F.lit(',{"parsed":{"n":"1","n":"2"},"structuredMetadata":{"conv_id":"'), "conv", F.lit('","conv_id":"0"}}]'))
+    entry = F.when(F.col("turn") % 2 == 1, F.concat(F.rtrim(plain, F.lit("]")), third)).otherwise(plain)
+    grouped = logs.select("conv", F.col("labels")["role"].alias("role"), "turn", entry.alias("entry"))
+    grouped = grouped.groupBy("conv", "role", F.floor(F.col("turn") / 16))
+    values = grouped.agg(F.array_join(F.collect_list("entry"), ",").alias("values"))
+    labels = F.concat(F.lit('{"role":'), F.get(F.split(F.to_json(F.struct("role")), ":", 2), F.lit(1)))
+    head = '{"status":"success","data":{"resultType":"streams","result":[{"stream":'
+    body = _body(head, F.concat(F.rtrim(labels, F.lit("}")), F.lit(',"role":"other"}')), ',"values":[', F.col("values"), "]}]}}")
+    return parse_streams(values.select(body)).select(
+        F.col("labels")["role"].alias("role"), "ts_ns", "line", F.col("structured_metadata")["conv_id"].cast("bigint").alias("conv_id")
+    )
+
+
 @query("parse_string_array", with_relations(DOC_LOGS, select="SELECT line AS value FROM doc_logs"))
 def string_array(spark, sf_dir) -> DataFrame:
     """One payload per document: its lines, followed by elements that are not strings."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logframe.functions.timebounds import NANOS_PER_SECOND, ns_of_timestamp
+from logframe.functions.timebounds import NANOS_PER_SECOND, counted_time, ns_of_timestamp
 from logframe.model import log_table
 
 EPOCH_NS = 1_700_000_000_000_000_000
@@ -52,19 +52,21 @@ ev_logs AS (
 """
 
 
-def doc_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of ``documents``, one nanosecond apart, with labels lang, source and (sparse) quality."""
-    quality = read(spark, sf_dir, "labels").select("doc_id", "quality")
-    # Joined before the split into lines: whole documents are fewer rows to move.
-    documents = read(spark, sf_dir, "documents").join(quality, "doc_id", "left")
+def doc_logs(spark: SparkSession, sf_dir: str, quality: bool = False) -> DataFrame:
+    """Lines of ``documents``, one nanosecond apart, with labels lang, source and, if asked for, (sparse) quality."""
+    names = ["lang", "source"]
+    documents = read(spark, sf_dir, "documents")
+    if quality:
+        # Joined before the split into lines: whole documents are fewer rows to move.
+        documents = documents.join(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+        names.append("quality")
     lines = F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
-    joined = documents.select("doc_id", "lang", "source", "quality", lines)
-    joined = joined.withColumn("line_no", F.col("line_no").cast("bigint"))
+    split = documents.select("doc_id", *names, lines).withColumn("line_no", F.col("line_no").cast("bigint"))
     return log_table(
-        joined,
+        split.withMetadata("doc_id", counted_time(EPOCH_NS, NANOS_PER_SECOND)),
         ts_ns=F.lit(EPOCH_NS) + F.col("doc_id") * F.lit(NANOS_PER_SECOND) + F.col("line_no"),
         line=F.col("line"),
-        labels={name: F.col(name) for name in ("lang", "source", "quality")},
+        labels={name: F.col(name) for name in names},
         keep=["doc_id", "line_no"],
     )
 

@@ -23,9 +23,34 @@ _selected(
     "level = 'warn' AND NOT regexp_full_match(coalesce(pod, ''), 'api-[01]')",
     [("level", "=", "warn"), ("pod", "!~", "api-[01]")],
 )
+_selected("sel_re_nocase", "regexp_full_match(coalesce(job, ''), '(?i)W[A-F]B')", [("job", "=~", "(?i)W[A-F]B")])
 _selected("sel_empty", "level = 'warn' AND coalesce(pod, '') = ''", [("level", "=", "warn"), ("pod", "=", "")])
 
 
+@query(
+    "line_regex_json",
+    ev_sql(f"""
+    SELECT event_id, line FROM ev_logs WHERE job = 'api' AND regexp_matches(line, '{{"k": [0-9]+}}$') AND {IN_WINDOW}
+    """),
+)
+def line_regex_json(spark, sf_dir):
+    scan = ev_scan(spark, sf_dir, [("job", "=", "api")], line=[("regex", '{"k": [0-9]+}$')])
+    return scan.select("event_id", "line")
+
+
+@query(
+    "scan_text",
+    ev_sql(f"""
+    SELECT event_id, line FROM ev_logs
+    WHERE job <> 'web' AND regexp_full_match(level, 'err.*|warn') AND contains(line, 'user=1')
+      AND NOT regexp_matches(line, 'user=1[0-4] ') AND {IN_WINDOW}
+    """),
+)
+def scan_text(spark, sf_dir):
+    text = '{level=~"err.*|warn", job!="web"} |= "user=1" !~ `user=1[0-4] `'
+    return ev_scan(spark, sf_dir, text).select("event_id", "line")
+
+
 @query(
     "sel_refine",
     ev_sql(f"""

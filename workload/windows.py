@@ -6,10 +6,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from logframe import refine_logs, scan_logs
+from logframe import Window, newest, refine_logs, scan_logs
 from workload.lines import ANY_LANG
 from workload.registry import query
-from workload.relations import DOC_LOGS, doc_logs, ev_logs, with_relations
+from workload.relations import CONV_LOGS, DOC_LOGS, conv_logs, doc_logs, ev_logs, with_relations
 from workload.scans import END, IN_WINDOW, START, ev_scan, ev_sql
 
 API = [("job", "=", "api")]
@@ -126,18 +126,19 @@ def limit_then_residual(spark, sf_dir):
 
 @query(
     "newest_narrowed",
-    ev_sql(f"""
-    SELECT {LABELLED} FROM ev_logs WHERE job = 'web' AND {IN_WINDOW}
-    ORDER BY ts_ns DESC, labels_key DESC, line DESC, event_id DESC LIMIT 300
-    """),
+    with_relations(
+        CONV_LOGS,
+        select="""
+        SELECT ts_ns, role, line, conv_id FROM conv_logs
+        ORDER BY ts_ns, labels_key, line, conv_id LIMIT 300
+        """,
+    ),
 )
 def newest_narrowed(spark, sf_dir):
-    """The large-input plan of the limit, whatever the input size."""
-    from logframe import Window, newest
-
-    selected = ev_scan(spark, sf_dir, [("job", "=", "web")])
-    window = Window(1_704_412_800_000_000_000, 1_705_708_800_000_000_000)
-    return newest(selected, 300, "backward", window, ["event_id"], narrow=True).select("event_id", "ts_ns", "line")
+    """A limit inside one instant that very many entries share: all first turns."""
+    logs = conv_logs(spark, sf_dir).withColumn("conv_id", F.col("structured_metadata")["conv_id"].cast("bigint"))
+    first = newest(logs.drop("structured_metadata"), 300, "forward", Window(), ["conv_id"])
+    return first.select("ts_ns", F.col("labels")["role"].alias("role"), "line", "conv_id")
 
 
 @query("order_by_time", ev_sql(f"SELECT {LABELLED} FROM ev_logs WHERE job = 'api' AND level = 'error' AND {IN_WINDOW} ORDER BY ts_ns"))
