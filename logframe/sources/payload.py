@@ -150,7 +150,9 @@ def parse_streams(
         *keep, _string_map(F.col("__stream.stream")).alias(LABELS), F.col("__stream.values").alias("__values")
     )
     # Parsed before the explode: a filter on the time would otherwise parse every entry once more.
-    entries = _exploded(labelled, F.transform("__values", _entry), "__entry", [*keep, LABELS])
+    # In two steps, as a lambda would parse the text anew wherever it is looked at.
+    texts = F.transform("__values", lambda text: F.struct(text.alias("text"), _parse(text, "array<variant>").alias("whole")))
+    entries = _exploded(labelled, F.transform(texts, _entry), "__entry", [*keep, LABELS])
     rows = entries.select(
         *keep,
         _integer(_string(F.get("__entry.parts", F.lit(0)))).alias(TS_NS),
@@ -166,13 +168,13 @@ def parse_streams(
 _HEAD = r'^\s*\[\s*("(?:[^"\\]++|\\.)*+"|[^"\[\]{},\s]++)\s*(?:,\s*("(?:[^"\\]++|\\.)*+"|[^"\[\]{},\s]++)\s*)?[,\]]'
 
 
-def _entry(text: Column) -> Column:
-    """Time, line and metadata of an entry: ``struct<parts:array<variant>,metadata:map<string,variant>>``.
+def _entry(entry: Column) -> Column:
+    """Time, line and metadata of an entry, given as its text and, if it is one, array of variants: ``struct<parts:array<variant>,metadata:map<string,variant>>``.
 
     An object that holds a name twice, wherever in the entry, is no variant.  Such an entry is read
     from its text: the first two elements, and of the third the first ``structuredMetadata``.
     """
-    whole = _parse(text, "array<variant>")
+    text, whole = entry["text"], entry["whole"]
     metadata = F.try_variant_get(F.get(whole, F.lit(2)), "$.structuredMetadata", "map<string,variant>")
     second = F.regexp_extract(text, _HEAD, 2)
     head = F.concat(F.lit("["), F.regexp_extract(text, _HEAD, 1), F.when(second != "", F.concat(F.lit(","), second)).otherwise(F.lit("")), F.lit("]"))

@@ -52,14 +52,16 @@ SECOND = 1_000_000_000
 
 @pytest.fixture(scope="session")
 def seeded(logs):
-    """Six entries, one second apart."""
+    """Eight entries of two jobs, one second apart."""
     rows = [
-        ("api", "info", "GET /health 200"),
-        ("api", "info", "GET /users 200"),
-        ("api", "error", "connection timeout to upstream"),
-        ("api", "error", "database error: deadlock"),
-        ("web", "info", "render homepage"),
-        ("web", "warn", "slow response timeout warning"),
+        ("shop", "info", "cart opened"),
+        ("shop", "warn", "cart slow: 900 ms"),
+        ("shop", "fatal", "payment refused by bank"),
+        ("mail", "info", "queue empty"),
+        ("shop", "fatal", "ledger locked"),
+        ("mail", "info", "sent 3 letters"),
+        ("mail", "warn", "letter bounced: bank"),
+        ("shop", "info", "cart closed"),
     ]
     return logs(
         [(BASE_NS + i * SECOND, line, {"job": job, "level": level}) for i, (job, level, line) in enumerate(rows)]

@@ -6,6 +6,7 @@ from logframe import label_names, label_values, series
 from tests.conftest import BASE_NS, SECOND
 
 API = [("job", "=", "api")]
+SHOP = [("job", "=", "shop")]
 
 
 def values(df):
@@ -23,9 +24,9 @@ def test_label_names(seeded, logs):
 
 def test_label_values(seeded):
     assert label_values(seeded, "job").columns == ["value"]
-    assert values(label_values(seeded, "job")) == ["api", "web"]
-    assert values(label_values(seeded, "level", selector=API)) == ["error", "info"]
-    assert values(label_values(seeded, "level", selector=API, end=BASE_NS + 2 * SECOND)) == ["info"]
+    assert values(label_values(seeded, "job")) == ["mail", "shop"]
+    assert values(label_values(seeded, "level", selector=SHOP)) == ["fatal", "info", "warn"]
+    assert values(label_values(seeded, "level", selector=SHOP, end=BASE_NS + 2 * SECOND)) == ["info", "warn"]
     assert values(label_values(seeded, "absent")) == []
     for name in (None, ""):
         with pytest.raises(ValueError, match="label name"):

@@ -5,12 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logframe import label_column, refine_logs, scan_logs
+from logframe import label_column, label_values, refine_logs, scan_logs
 from logframe.functions.lines import line_filter_column
 from logframe.functions.matchers import matcher_column, selects_something
+from logframe.functions.selector_text import read_selector
 from tests.conftest import BASE_NS, SECOND
 
 API = [("job", "=", "api")]
+SHOP = [("job", "=", "shop")]
 ANY = [("job", "=~", ".+")]
 
 
@@ -38,27 +40,34 @@ def test_schema_order_and_types(seeded, base_window):
 def test_promotion_is_sparse_and_metadata_never_null(logs):
     table = logs(
         [
-            (BASE_NS + 1, "boom one", {"job": "api", "level": "error", "pod": "api-1"}, {"trace_id": "t-aaa"}),
-            (BASE_NS + 2, "boom two", {"job": "api", "level": "error"}, {}),
-            (BASE_NS + 3, None, {"job": "api", "level": "info", "pod": "api-2"}, {"trace_id": "t-bbb", "span_id": "s-1"}),
+            (BASE_NS + 4, "disk 81 %", {"job": "api", "host": "h9"}, {"rack": "r2", "slot": "7"}),
+            (BASE_NS + 5, None, {"job": "api"}, {}),
+            (BASE_NS + 7, "disk 82 %", {"job": "api", "host": "h3", "level": "warn"}, {"slot": "1"}),
         ]
     )
-    scan = scan_logs(table, API, labels=["pod"], start=BASE_NS, end=BASE_NS + 10)
+    scan = scan_logs(table, API, labels=["host"], start=BASE_NS, end=BASE_NS + 10)
     rows = scan.orderBy("ts_ns").select(
-        "ts_ns", "line", "pod", F.size("structured_metadata").alias("n"), F.col("structured_metadata")["trace_id"].alias("t")
+        "ts_ns", "line", "host", F.size("structured_metadata").alias("n"), F.col("structured_metadata")["slot"].alias("slot")
     )
     assert [tuple(r) for r in rows.collect()] == [
-        (BASE_NS + 1, "boom one", "api-1", 1, "t-aaa"),
-        (BASE_NS + 2, "boom two", None, 0, None),
-        (BASE_NS + 3, "", "api-2", 2, "t-bbb"),
+        (BASE_NS + 4, "disk 81 %", "h9", 2, "7"),
+        (BASE_NS + 5, "", None, 0, None),
+        (BASE_NS + 7, "disk 82 %", "h3", 1, "1"),
     ]
 
 
 def test_table_without_metadata_column(seeded, base_window):
-    scan = scan_logs(seeded.drop("structured_metadata"), API, **base_window)
+    scan = scan_logs(seeded.drop("structured_metadata"), SHOP, **base_window)
     assert {r.n for r in scan.select(F.size("structured_metadata").alias("n")).collect()} == {0}
 
 
+def test_other_text_columns_do_not_stand_for_a_label(logs):
+    table = logs([(BASE_NS, "x", {"job": "api", "source": "A"})]).withColumn("source", F.lit("B"))
+    scan = scan_logs(table, [("source", "=", "A")], start=BASE_NS, end=BASE_NS + 1, keep=["source"])
+    assert [(r.source, r.labels["source"]) for r in scan.collect()] == [("B", "A")]
+    assert [r.value for r in label_values(table, "source").collect()] == ["A"]
+
+
 def test_promoted_column_is_preferred_over_the_map(logs):
     table = logs([(BASE_NS, "x", {"job": "api"})], promote=["job"])
     assert "labels" not in str(label_column(table, "job"))
@@ -69,20 +78,46 @@ def test_promoted_column_is_preferred_over_the_map(logs):
 
 
 def test_selections(seeded, base_window):
-    assert scan_logs(seeded, API, **base_window).count() == 4
-    errors = refine_logs(seeded, API, labels=["level"], label_where=[("level", "=", "error")], **base_window)
-    assert errors.count() == 2
-    timeout = [("contains", "timeout")]
-    assert lines(scan_logs(seeded, API, line=timeout, **base_window)) == ["connection timeout to upstream"]
-    assert scan_logs(seeded, ANY, line=timeout, **base_window).count() == 2
-    window = {"start": BASE_NS + 2 * SECOND, "end": BASE_NS + 4 * SECOND}
-    assert scan_logs(seeded, API, **window).count() == 2
-    plain = scan_logs(seeded, [*API, ("level", "=", "error")], line=timeout, **base_window).select("ts_ns", "line")
-    refined = refine_logs(
-        seeded, API, labels=["level"], label_where=[("level", "=", "error")], line=timeout, **base_window
-    ).select("ts_ns", "line")
-    assert plain.count() > 0
-    assert plain.subtract(refined).count() == refined.subtract(plain).count() == 0
+    assert scan_logs(seeded, SHOP, **base_window).count() == 5
+    fatal = {"labels": ["level"], "label_where": [("level", "=", "fatal")], **base_window}
+    assert lines(refine_logs(seeded, SHOP, **fatal)) == ["ledger locked", "payment refused by bank"]
+    bank = [("contains", "bank")]
+    assert lines(scan_logs(seeded, SHOP, line=bank, **base_window)) == ["payment refused by bank"]
+    assert lines(scan_logs(seeded, ANY, line=bank, **base_window)) == ["letter bounced: bank", "payment refused by bank"]
+    window = {"start": BASE_NS + 2 * SECOND, "end": BASE_NS + 7 * SECOND}
+    assert lines(scan_logs(seeded, SHOP, **window)) == ["ledger locked", "payment refused by bank"]
+    plain = scan_logs(seeded, [*SHOP, ("level", "=", "fatal")], line=bank, **base_window).select("ts_ns", "line")
+    refined = refine_logs(seeded, SHOP, line=bank, **fatal).select("ts_ns", "line")
+    assert plain.count() == 1 and plain.exceptAll(refined).count() == refined.exceptAll(plain).count() == 0
+
+
+def test_selector_text(seeded, base_window):
+    text = '{job=~"shop|mail", level!="info"} |= "a" != "cart" |~ `(?i)BANK$` !~ "^letter\\x20"'
+    assert lines(scan_logs(seeded, text, **base_window)) == ["payment refused by bank"]
+    assert lines(refine_logs(seeded, '{job="shop"}', line=[("contains", "led")], **base_window)) == ["ledger locked"]
+
+
+@pytest.mark.parametrize(
+    ("text", "matchers", "filters"),
+    [
+        ('{a="b"}', [("a", "=", "b")], []),
+        (' { a = "b" , c!~`d"\\` } ', [("a", "=", "b"), ("c", "!~", 'd"\\')], []),
+        ('{a="\\"\\\\\\n\\u00e9"}|="x"|~"y"!="z"!~`w`', [("a", "=", '"\\\né')], [("contains", "x"), ("regex", "y"), ("not contains", "z"), ("not regex", "w")]),
+        ("{}", [], []),
+    ],
+)
+def test_selector_text_is_read(text, matchers, filters):
+    assert read_selector(text) == (matchers, filters)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", "job", '{job="a"', '{job="a",}', '{job=a}', '{job=="a"}', '{="a"}', '{job="a"} | json', '{job="a"} |= x', 'rate({job="a"}[5m])',
+     '{job="a"}[5m]', '{job="a"} or {job="b"}', '{job="\\q"}', '{job="a" c="d"}', "{}", '{job!="a"}', '{job=~"(?=x)"}'],
+)
+def test_other_text_is_refused_before_any_job(seeded, text):
+    with pytest.raises(ValueError):
+        scan_logs(seeded, text)
 
 
 def test_empty_selection(seeded, base_window):
@@ -136,9 +171,9 @@ def test_not_equal_drops_missing_labels_after_the_limit(logs):
 
 
 def test_predicates_can_stand_in_for_the_selector(seeded, base_window):
-    by_eq = refine_logs(seeded, labels=["job"], label_where=[("job", "=", "web")], **base_window)
-    by_in = refine_logs(seeded, labels=["job"], label_where=[("job", "in", ["web"])], **base_window)
-    assert by_eq.count() == by_in.count() == 2
+    by_eq = refine_logs(seeded, labels=["job"], label_where=[("job", "=", "mail")], **base_window)
+    by_in = refine_logs(seeded, labels=["job"], label_where=[("job", "in", ["mail"])], **base_window)
+    assert by_eq.count() == by_in.count() == 3
 
 
 # Line filters -------------------------------------------------------------------
@@ -167,11 +202,11 @@ def test_line_filters(logs):
 
 def test_limit_direction_and_residual(seeded, base_window):
     newest = scan_logs(seeded, ANY, limit=2, **base_window)
-    assert [r.line for r in newest.collect()] == ["slow response timeout warning", "render homepage"]
-    oldest = scan_logs(seeded, ANY, limit=2, direction="FORWARD", **base_window)
-    assert [r.line for r in oldest.collect()] == ["GET /health 200", "GET /users 200"]
-    residual = scan_logs(seeded, ANY, limit=2, labels=["job"], **base_window).where(F.col("job") == "api")
-    assert residual.collect() == []
+    assert [r.line for r in newest.collect()] == ["cart closed", "letter bounced: bank"]
+    oldest = scan_logs(seeded, ANY, limit=3, direction="FORWARD", **base_window)
+    assert [r.line for r in oldest.collect()] == ["cart opened", "cart slow: 900 ms", "payment refused by bank"]
+    residual = scan_logs(seeded, ANY, limit=2, labels=["job"], **base_window).where(F.col("job") == "mail")
+    assert lines(residual) == ["letter bounced: bank"]
 
 
 def test_default_limit_is_5000(logs, spark):
@@ -205,10 +240,10 @@ def test_default_window_is_the_last_hour(logs):
     [None, [], [("job", "!=", "api")], [("job", "=", "")], [("job", "=~", ".*")], [("job", "=~", "a|")], [("job", "!~", "a")]],
 )
 def test_a_selector_is_required(seeded, selector):
-    with pytest.raises(ValueError, match="selector is required"):
+    with pytest.raises(ValueError, match="selector"):
         scan_logs(seeded, selector)
     if selector is not None:
-        with pytest.raises(ValueError, match="selector is required"):
+        with pytest.raises(ValueError, match="selector"):
             refine_logs(seeded, selector, labels=["level"], label_where=[("level", "!=", "x")])
         assert not selects_something(selector)
 

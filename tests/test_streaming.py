@@ -4,6 +4,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from logframe import read_logs, scan_logs
@@ -23,13 +24,22 @@ def run(query):
     assert query.exception() is None
 
 
+def wait_for(spark, name):
+    """Until the query of that name has ended."""
+    for query in spark.streams.active:
+        if query.name == name:
+            run(query)
+
+
 def test_payload_files_are_landed_once_and_followed(spark, tmp_path):
     inbox, table = tmp_path / "inbox", str(tmp_path / "logs")
     inbox.mkdir()
     (inbox / "a.json").write_text(payload(0, 3))
     (inbox / "bad.json").write_text("oops")
-    arguments = {"name": "landing", "checkpoint": str(tmp_path / "progress")}
+    arguments = {"name": "landing", "checkpoint": str(tmp_path / "progress"), "rejects": str(tmp_path / "rejects")}
     run(ingest_payloads(payload_stream(spark, str(inbox)), table, **arguments))
+    wait_for(spark, "landing-rejects")
+    assert [(r.reason, r.snippet) for r in spark.read.json(str(tmp_path / "rejects")).collect()] == [("not valid JSON", "oops")]
     (inbox / "b.json").write_text(payload(10, 2, job="web"))
     run(ingest_payloads(payload_stream(spark, str(inbox), files_per_batch=1), table, **arguments))
     landed = read_logs(spark, table)
@@ -53,6 +63,15 @@ def test_payload_files_are_landed_once_and_followed(spark, tmp_path):
     assert sorted(r.line for r in spark.table("followed").collect()) == ["entry 0", "entry 2"]
 
 
+def test_a_bad_payload_fails_unless_rejects_are_kept(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "bad.json").write_text("oops")
+    query = ingest_payloads(payload_stream(spark, str(inbox)), str(tmp_path / "logs"), name="strict", checkpoint=str(tmp_path / "progress"))
+    with pytest.raises(StreamingQueryException, match="not valid JSON"):
+        query.awaitTermination(120)
+
+
 def test_tenants_are_laid_out(spark, tmp_path):
     inbox, table = tmp_path / "inbox", str(tmp_path / "logs")
     inbox.mkdir()

@@ -1,0 +1,25 @@
+"""Plans of the registered queries over free text."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from logframe.plans import formatted_plan, plan_facts
+from workload import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
+
+
+@pytest.mark.parametrize("key", [key for key in QUERIES if key.startswith("line_") and key != "line_of_quality"])
+def test_line_filters_move_no_rows(spark, key):
+    assert "Exchange" not in formatted_plan(QUERIES[key](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("key", ["time_eq", "time_ns_exact"])
+def test_a_window_bounds_the_document_id(spark, key):
+    (pushed,) = plan_facts(QUERIES[key](spark, SF_DIR))["PushedFilters"]
+    assert "GreaterThanOrEqual(doc_id,100)" in pushed and "LessThanOrEqual(doc_id," in pushed
