@@ -19,12 +19,12 @@ from logframe.llm.common import text_rows, written
 
 #: Bytes that the rolling hash sees.
 WINDOW = 16
-#: A cut where these bits are zero: every 16th byte. Bit 15 needs all of the window.
-MASK = np.uint32(0xF000)
+#: A cut where these bits are zero: every 8th byte. Bit 15 needs all of the window.
+MASK = np.uint32(0xE000)
 #: Shortest and longest chunk in bytes.
-SHORTEST, LONGEST = 16, 512
-#: Least bytes of a reported run: about half of a passage of 50 words, as its ends lie inside chunks.
-LEAST_RUN = 120
+SHORTEST, LONGEST = 10, 512
+#: Least bytes of a reported run: half of a passage of 50 words and more, as its ends lie inside chunks.
+LEAST_RUN = 150
 #: A random number per byte value.
 GEAR = np.random.default_rng(2024).integers(0, 1 << 32, 256, dtype=np.uint32)
 
