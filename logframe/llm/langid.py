@@ -52,39 +52,40 @@ def features(text: str) -> np.ndarray:
     return (counts / (np.linalg.norm(counts) or 1.0)).astype(np.float32)
 
 
-def separator(x: np.ndarray, y: np.ndarray, regular: float = 1e-4, rounds: int = 12) -> np.ndarray:
-    """Weights of a linear support vector machine, bias last, for labels -1 and 1, by subgradient steps.
+def separator(x: np.ndarray, rows: np.ndarray, y: np.ndarray, regular: float = 1e-4, rounds: int = 12) -> np.ndarray:
+    """Weights of a linear support vector machine for labels -1 and 1 of some rows of ``x``, by subgradient steps.
 
-    The steps take the rows in a fixed shuffled order, so equal input gives equal weights.
-    Classes of different size weigh the same.
+    The last column of ``x`` is 1 and carries the bias.  The steps take the rows in a fixed shuffled
+    order, so equal input gives equal weights.  Classes of different size weigh the same.
     """
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     weight = np.where(y > 0, len(y) / (2 * max((y > 0).sum(), 1)), len(y) / (2 * max((y < 0).sum(), 1)))
-    w, mean, steps = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0
+    w, mean, steps, kept = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0, 0
     order = np.random.default_rng(7)
     for turn in range(rounds):
-        for at in np.array_split(order.permutation(len(x)), max(1, len(x) // 16)):
+        for at in np.array_split(order.permutation(len(rows)), max(1, len(rows) // 16)):
             steps += 1
             rate = 1 / (regular * (steps + 1000))
-            hinge = y[at] * (x[at] @ w) < 1
+            part = x[rows[at]]
+            hinge = y[at] * (part @ w) < 1
             w *= 1 - rate * regular
             if hinge.any():
-                w += rate / len(at) * ((weight[at] * y[at])[hinge] @ x[at][hinge])
+                w += rate / len(at) * ((weight[at] * y[at])[hinge] @ part[hinge])
             if turn >= rounds // 2:
-                mean += (w - mean) / (steps - rounds // 2 * max(1, len(x) // 16))
+                kept += 1
+                mean += (w - mean) / kept
     return mean
 
 
 class Votes:
-    """One-versus-one machines over some classes."""
+    """One-versus-one machines over the classes of some rows of ``x``."""
 
-    def __init__(self, x: np.ndarray, labels: np.ndarray) -> None:
-        self.classes = sorted(set(labels.tolist()))
+    def __init__(self, x: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> None:
+        self.classes = sorted(set(labels[rows].tolist()))
         self.pairs = list(itertools.combinations(range(len(self.classes)), 2))
-        self.weights = np.zeros((len(self.pairs), x.shape[1] + 1))
+        self.weights = np.zeros((len(self.pairs), x.shape[1]), np.float32)
         for k, (i, j) in enumerate(self.pairs):
-            of = np.isin(labels, (self.classes[i], self.classes[j]))
-            self.weights[k] = separator(x[of], np.where(labels[of] == self.classes[j], 1.0, -1.0))
+            of = rows[np.isin(labels[rows], (self.classes[i], self.classes[j]))]
+            self.weights[k] = separator(x, of, np.where(labels[of] == self.classes[j], 1.0, -1.0))
 
     def __call__(self, x: np.ndarray) -> tuple[str, float]:
         """The class with most votes (ties: the larger sum of margins, then the first), and its confidence."""
@@ -107,9 +108,9 @@ class Model:
     """The family step and, per family, the language step."""
 
     def __init__(self, x: np.ndarray, languages: np.ndarray) -> None:
-        families = np.array([family(v) for v in languages.tolist()])
-        self.top = Votes(x, families)
-        self.within = {f: Votes(x[families == f], languages[families == f]) for f in self.top.classes}
+        families = np.array([family(v) for v in languages.tolist()], object)
+        self.top = Votes(x, np.arange(len(x)), families)
+        self.within = {f: Votes(x, np.flatnonzero(families == f), languages) for f in self.top.classes}
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         """The language of a text and a score from 0 to 1."""
@@ -131,7 +132,7 @@ def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
 
     The rows come from those that are not held out and have id, language, and a text with a letter.
     Of each language, those with the smallest hashes are taken; the languages are counted over all rows
-    first, so that about as many rows as needed leave the tasks, as feature vectors of fixed size.
+    first, so that about as many rows as needed leave the tasks, as sparse feature vectors of bounded size.
     """
     rows = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), held_out(id).alias("out"))
     rows = rows.where("not out and id is not null and lang is not null and text is not null")
@@ -145,18 +146,28 @@ def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [(s, v, features(t).tobytes()) for s, v, t in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(t)]
-            columns = list(zip(*kept)) or [(), (), ()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.binary()))], ["spread", "lang", "x"])
-
-    found = taken.select("spread", "lang", "text").mapInArrow(vectors, "spread long, lang string, x binary")
-    by_language: dict[str, list[tuple[int, bytes]]] = {}
+            kept = []
+            for s, v, t in zip(*(c.to_pylist() for c in batch.columns)):
+                if has_letter(t):
+                    x = features(t)
+                    bins = np.flatnonzero(x)
+                    kept.append((s, v, bins.astype(np.uint16).tobytes(), x[bins].tobytes()))
+            columns = list(zip(*kept)) or [(), (), (), ()]
+            kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["spread", "lang", "bins", "x"])
+
+    found = taken.select("spread", "lang", "text").mapInArrow(vectors, "spread long, lang string, bins binary, x binary")
+    by_language: dict[str, list[tuple[int, bytes, bytes]]] = {}
     for r in found.collect():
-        by_language.setdefault(r.lang, []).append((r.spread, bytes(r.x)))
-    chosen = [(v, x) for v in sorted(by_language) for _, x in sorted(by_language[v])[:per_language]]
+        by_language.setdefault(r.lang, []).append((r.spread, bytes(r.bins), bytes(r.x)))
+    chosen = [(v, *x) for v in sorted(by_language) for _, *x in sorted(by_language[v])[:per_language]]
     if not chosen:
         return None
-    return Model(np.array([np.frombuffer(x, np.float32) for _, x in chosen]), np.array([v for v, _ in chosen], object))
+    x = np.zeros((len(chosen), DIM + 1), np.float32)
+    x[:, DIM] = 1  # for the bias
+    for k, (_, bins, values) in enumerate(chosen):
+        x[k, np.frombuffer(bins, np.uint16)] = np.frombuffer(values, np.float32)
+    return Model(x, np.array([v for v, *_ in chosen], object))
 
 
 def identify(df: DataFrame, model: Model | None, id: str = "doc_id", text: str = "text") -> DataFrame:
