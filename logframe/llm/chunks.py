@@ -140,10 +140,11 @@ def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: i
     """``df`` with the repeated passages taken out of its text; every row and column stays.
 
     The first document that has a passage keeps it.  A row whose whole text repeats keeps an empty text.
+    Texts move once, to the spans of their row, by the same join at every size.
     """
     spans = repeats(df, id, text, least).groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     spans = written(spans.select(F.col("doc_id").alias("__of"), F.col("spans").alias("__spans")), "spans")
-    joined = df.join(spans, F.col(id).cast("long") == F.col("__of"), "left")
+    joined = df.join(spans.hint("merge"), F.col(id).cast("long") == F.col("__of"), "left")
 
     names = df.columns
 
