@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -23,13 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder.
+    Only a session in one process that names none gets a temporary folder, for as long as the process lives.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="logframe-")
+        own = tempfile.mkdtemp(prefix="logframe-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = "file://" + own
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
