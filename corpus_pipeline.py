@@ -13,18 +13,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logframe.llm import chunks, langid, packing, simhash
-from logframe.llm.common import table, written
+from logframe.llm.common import table, with_package, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language can be told; those found ``und`` go."""
+    with_package(spark)
     return langid.keep_identified(docs, langid.train(docs))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-duplicates; documents without an id stay."""
+    with_package(spark)
     found = simhash.near_duplicates(docs)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     gone = written(gone, "gone")
@@ -33,11 +35,13 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages that an earlier one has too."""
+    with_package(spark)
     return chunks.drop_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of 2048 tokens."""
+    with_package(spark)
     return packing.pack(docs)
 
 

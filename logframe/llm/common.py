@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
+import site
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -18,8 +20,25 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """``spark`` with this package at hand in the Python workers.
+
+    They find it by themselves where it is installed, on PYTHONPATH, or in the working folder. Elsewhere
+    Spark sends it to them as a zip file, as ``--py-files`` would.
+    """
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    found = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)), *site.getsitepackages()]
+    if root not in map(os.path.realpath, found) and not any(f.endswith("/logframe.zip") for f in spark.sparkContext.listFiles):
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="logframe-"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/logframe", "zip", root, os.path.basename(package)))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    with_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
