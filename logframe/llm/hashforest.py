@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from logframe.llm.vectors import Lists, best, search
 
-TREES = 40
+TREES = 52
 LETTERS = 3
 #: Least share of a tile's rows that a query looks at.
 SHARE = 0.12
