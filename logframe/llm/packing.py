@@ -155,7 +155,8 @@ def pack(df: DataFrame, size: int = 2048, **options) -> DataFrame:
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     sent = df.sparkSession.sparkContext.broadcast(places(patterns(histogram, size)))
 
-    ranked = cut.join(before, (cut.task == before.t) & (cut.length == before.l))
+    # Never broadcast: the counts grow with the number of tasks, and much smaller as files than in memory.
+    ranked = cut.join(before.hint("merge"), (cut.task == before.t) & (cut.length == before.l))
     columns = [c for c in cut.columns if c not in ("task", "nth")]
     ranked = ranked.select(*columns, (F.col("nth") + F.col("before")).alias("rank"))
 
