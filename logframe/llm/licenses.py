@@ -107,7 +107,7 @@ def template_matches(rows: DataFrame, templates=TEMPLATES, threshold: float = 0.
     ranked = ranked.select("key", "block", F.array_sort(F.transform("ws", lambda w: as_rank[w])).alias("own"))
     size = F.size("own")
     prefix = ranked.select("key", "block", "own", F.posexplode(F.slice("own", 1, size - least + 1)).alias("j", "rank"))
-    pairs = prefix.join(probe, "rank")
+    pairs = prefix.join(F.broadcast(probe), "rank")  # at most a row per word of the templates
     rest = F.least(F.col("n") - F.col("i"), F.size("own") - F.col("j"))
     pairs = pairs.where((F.size("own") >= F.col("a")) & (rest >= F.col("a")))  # length and position
     overlap = F.size(F.array_intersect("own", "ranks"))
