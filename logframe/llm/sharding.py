@@ -84,11 +84,11 @@ def histogram(groups: DataFrame) -> list[Cell]:
 
 def divided(groups: DataFrame, cells: list[Cell]) -> list[Cell]:
     """The cells, each cut into several ranges of ids; one pass over the groups in them."""
-    parts = max(2, 4 * CELLS // len(cells))
+    parts = max(2, 4 * CELLS // len(cells))  # so that a few times CELLS rows come back
     ranges = [(c.root, i, c.low, c.high, max(1, -(-(c.high - c.low + 1) // parts))) for i, c in enumerate(cells)]
     spark = groups.sparkSession
     at = spark.createDataFrame(ranges, "at long, cell int, low long, high long, width long")
-    found = groups.join(at, (F.col("root") == F.col("at")) & F.col("key").between(F.col("low"), F.col("high")))
+    found = groups.join(F.broadcast(at), (F.col("root") == F.col("at")) & F.col("key").between(F.col("low"), F.col("high")))
     rows = found.groupBy("root", "cell", position(F.col("low"), F.col("width")).alias("part")).agg(F.min("key").alias("a"), F.max("key").alias("b"), F.sum("total").alias("total"))
     return [Cell(r.a, r.b, r.total, r.root) for r in rows.collect()]
 
