@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from logframe.llm import chunks, components, hashforest, langid, licenses, packing, pieces, products, sharding, simhash, vectors, warc
+from logframe.llm import chunks, common, components, hashforest, langid, licenses, packing, pieces, products, sharding, simhash, vectors, warc
 
 DOCS = "doc_id long, text string, lang string, fp int, digest string, key string, shard int, start int, score int, labels string"
 
@@ -507,3 +507,24 @@ def test_pieces_against_brute_force_and_back(spark):
     rows = {r.doc_id: r for r in pieces.digests(docs(spark, ODD)).collect()}
     assert all(r.round_trip and r.decoded_crc32 == zlib.crc32((ODD[k] or "").encode()) for k, r in rows.items())
     assert rows[0].n_ids == rows[1].n_ids == 0 and pieces.digests(docs(spark, [])).count() == 0
+
+
+# --- shared helpers
+
+
+def test_the_package_is_sent_to_workers_that_cannot_find_it(spark, monkeypatch, tmp_path):
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.delenv("PYTHONPATH", raising=False)
+    for _ in range(2):
+        common.with_package(spark)
+    assert sum(f.endswith("/logframe.zip") for f in spark.sparkContext.listFiles) == 1
+
+
+def test_only_local_sessions_get_a_folder_of_their_own(spark):
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    assert common.shared_folder(spark) == common.shared_folder(spark)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(Cluster())
