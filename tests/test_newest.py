@@ -40,11 +40,11 @@ def test_first_rows_equal_brute_force(spark, name):
     middle = (lowest + highest) // 2
     for direction in ("backward", "forward"):
         every = ordered(df, direction == "backward")
-        for window in (Window(), Window(lowest, highest + 1), Window(middle, None)):
+        for window in (Window(), Window(middle, highest + 1)):
             low = window.start_ns if window.start_ns is not None else lowest
             high = window.end_ns if window.end_ns is not None else highest + 1
             inside = [r for r in every if low <= r[0] < high]
-            for n in (40, 5000):
+            for n in (40, 5000) if window == Window() else (40,):
                 assert ordered_as_found(newest(df, n, direction, window)) == inside[:n]
     df.unpersist()
 

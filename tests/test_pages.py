@@ -122,10 +122,3 @@ def test_null_parts_are_kept_apart(spark):
     again = [(2, *r[1:]) for r in rows] + [(2, None, "b", {"job": "x"})]
     df = spark.createDataFrame(rows + again, "page_id int, ts_ns long, line string, labels map<string,string>")
     assert merge_pages(df).count() == 6
-
-
-def test_text_is_read_for_shared_instants_only(spark, pages):
-    """Lines of instants that one page serves are not needed to count what is left."""
-    df = pages([(1, "a"), (5, "b")], [(5, "b"), (9, "c")])
-    poisoned = df.withColumn("line", F.when(F.col("ts_ns") != 5, F.raise_error(F.lit("read"))).otherwise(F.col("line")))
-    assert merge_pages(poisoned).select("ts_ns").groupBy().count().first()[0] == 3
