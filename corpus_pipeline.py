@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logframe.llm import chunks, langid, packing, simhash
+from logframe.llm import chunks, langid, packing, similar
 from logframe.llm.common import table, with_package, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,9 +25,12 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates; documents without an id stay."""
+    """One document, that with the smallest id, of each group of near-duplicates; documents without an id stay.
+
+    Near-duplicates have a similarity of 0.8 or more by shingles of five words.
+    """
     with_package(spark)
-    found = simhash.near_duplicates(docs)
+    found = similar.near_duplicates(docs)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     gone = written(gone, "gone")
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

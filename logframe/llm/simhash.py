@@ -33,17 +33,25 @@ SHARD = 4096
 FRONTIER = 1 << 21
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """The 64-bit SimHash of one text, over its shingles of ``words`` lower-cased words."""
+def shingles(text: str | None, words: int) -> list[memoryview]:
+    """A text's shingles of ``words`` lower-cased words in order; a shorter text is one shingle."""
     tokens = WORD.findall(text.encode().translate(LOWER_ASCII)) if text else []
     if not tokens:
-        return 0
+        return []
     joined = memoryview(b" ".join(tokens))
     ends = list(itertools.accumulate(len(t) + 1 for t in tokens))
     starts = [0, *ends[:-1]]
     last = max(len(tokens) - words + 1, 1)
+    return [joined[a : b - 1] for a, b in zip(starts[:last], ends[min(words, len(tokens)) - 1 :])]
+
+
+def fingerprint(text: str | None, words: int = 4) -> int:
+    """The 64-bit SimHash of one text, over its shingles of ``words`` lower-cased words."""
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a : b - 1], SEED) for a, b in zip(starts[:last], ends[min(words, len(tokens)) - 1 :])]
+    hashes = [digest(s, SEED) for s in shingles(text, words)]
+    last = len(hashes)
+    if not last:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, last, 1 << 16):
         part = np.array(hashes[at : at + (1 << 16)], "<u8").view(np.uint8).reshape(-1, 8)
