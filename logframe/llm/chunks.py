@@ -1,9 +1,11 @@
 """Substring dedup by content-defined chunking.
 
-A gear rolling hash over the last ``WINDOW`` bytes decides where a text is cut, so cuts move with
-the content and an insertion changes the chunks near it only.  Chunks are compared by digest.  A
-chunk that a document with a smaller id has too is a repeat; neighbouring repeats form a run, and runs
-of ``least`` bytes or more are what is reported and taken out.  Shorter ones are ordinary phrases.
+A gear rolling hash over the last ``WINDOW`` bytes decides where a text is cut, so cuts depend on the
+content alone.  Neighbouring chunks are digested together, and digests that several documents have are
+shared.  A window of ``LEAST_WORDS`` words is looked up only if all the digests wholly inside it, past its
+first ``WINDOW`` bytes, are shared: in equal windows these are equal, so none is missed.  A window with
+no such digest (very short words, or one with too few cuts) is always looked up.  Windows are compared
+by digest of their bytes, and overlapping windows that a document with a smaller id has too form a passage.
 """
 
 from __future__ import annotations
@@ -15,16 +17,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from logframe.llm.common import text_rows, written
+from logframe.llm.common import runs, text_rows, written
 
 #: Bytes that the rolling hash sees.
 WINDOW = 16
-#: A cut where these bits are zero: every 8th byte. Bit 15 needs all of the window.
-MASK = np.uint32(0xE000)
-#: Shortest and longest chunk in bytes.
-SHORTEST, LONGEST = 10, 512
-#: Least bytes of a reported run: half of a passage of 50 words and more, as its ends lie inside chunks.
-LEAST_RUN = 150
+#: A cut where these bits are zero: every 16th byte. Bit 15 needs all of the window.
+MASK = np.uint32(0xF000)
+#: Longest chunk in bytes.
+LONGEST = 512
+#: Neighbouring chunks that are digested together.
+GRAM = 2
+#: Least words of a passage.
+LEAST_WORDS = 51
 #: A random number per byte value.
 GEAR = np.random.default_rng(2024).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -50,101 +54,166 @@ def cuts(data: bytes) -> list[int]:
             while data[last] & 0xC0 == 0x80:
                 last -= 1
             borders.append(last)
-        if at - last >= SHORTEST or at == len(raw) > last:
+        if at > last:
             borders.append(at)
             last = at
     return borders
 
 
-def chunks(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, digest, start, size`` of every chunk, in bytes of the UTF-8 text."""
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words: between white space; in scripts without it every character is one."""
+    raw = np.frombuffer(data, np.uint8)
+    blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    after = np.append(raw[1:], np.uint8(0))
+    alone = ((raw >= 0xE3) & (raw <= 0xE9)) | ((raw == 0xE0) & (after >= 0xB8) & (after <= 0xBB))  # Han, kana; Thai, Lao
+    start = ~blank & (np.append(True, blank[:-1])[: len(raw)] | alone)
+    start[3:] |= ~blank[3:] & alone[:-3]
+    end = ~blank & np.append((blank | start)[1:], True)[: len(raw)]
+    return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+
+def text_digest(data: bytes) -> int:
+    """What Spark's ``xxhash64`` gives for a text."""
+    return int(np.uint64(xxhash.xxh64_intdigest(data, 42)).view(np.int64))
+
+
+def grams(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, text_key, at, digest`` of every ``GRAM`` neighbouring chunks, ``at`` the first one's number."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for ids, texts in text_rows(batches):
-            keys, digests, starts, sizes = [], [], [], []
+            keys, names, places, digests = [], [], [], []
             for key, value in zip(ids, texts):
                 if key is None or not value:
                     continue
                 data = value.encode()
                 border = cuts(data)
                 view = memoryview(data)
-                keys.append(np.full(len(border) - 1, key, np.int64))
-                digests += [digest(view[a:b]) for a, b in zip(border[:-1], border[1:])]
-                starts.append(np.array(border[:-1], np.int32))
-                sizes.append(np.diff(np.array(border, np.int32)))
+                found = [digest(view[a:b]) for a, b in zip(border[:-GRAM], border[GRAM:])]
+                keys.append(np.full(len(found), key, np.int64))
+                names.append(np.full(len(found), text_digest(data), np.int64))
+                places.append(np.arange(len(found), dtype=np.int32))
+                digests += found
             if keys:
-                columns = [np.concatenate(keys), np.array(digests, np.uint64).view(np.int64), np.concatenate(starts), np.concatenate(sizes)]
-                yield pa.record_batch([pa.array(c) for c in columns], ["doc_id", "digest", "start", "size"])
+                columns = [np.concatenate(keys), np.concatenate(names), np.concatenate(places), np.array(digests, np.uint64).view(np.int64)]
+                yield pa.record_batch([pa.array(c) for c in columns], ["doc_id", "text_key", "at", "digest"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(split, "doc_id long, digest long, start int, size int")
+    return rows.mapInArrow(split, "doc_id long, text_key long, at int, digest long")
+
+
+def windows_of(data: bytes, shared: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the windows of ``least`` words that may stand elsewhere, given its shared grams."""
+    start, end = word_spans(data)
+    if len(start) < least:
+        return start[:0], end[:0]
+    a, b = start[: len(start) - least + 1], end[least - 1 :]
+    border = np.array(cuts(data))
+    own = candidates(np.frombuffer(data, np.uint8))
+    missing = np.ones(max(len(border) - GRAM, 0), np.int64)
+    missing[shared] = 0
+    before = np.append(0, np.cumsum(missing))
+    first = np.searchsorted(border, np.append(own, len(data))[np.searchsorted(own, a + WINDOW)])
+    last = np.searchsorted(border, b - 1, "right") - GRAM  # past the last gram inside
+    inside = last > first
+    may = ~inside | (before[np.where(inside, last, 0)] == before[np.where(inside, first, 0)])
+    return a[may], b[may]
+
+
+def passages(df: DataFrame, id: str, text: str, least: int) -> DataFrame:
+    """``doc_id, text_key, start, size, first_ids`` of every passage."""
+    found = grams(df, id, text)
+    shared = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    shared = written(shared.where("first_id < last_id").select(F.col("digest").alias("of")), "digests")
+    again = found.join(shared, found.digest == shared.of).groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("shared"))
+    again = again.select(F.col("doc_id").alias("__of"), F.col("text_key").alias("__key"), "shared")
+    rows = df.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= least))
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    joined = rows.join(again.hint("merge"), (F.col("doc_id") == F.col("__of")) & (F.col("text_key") == F.col("__key")), "left")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            for key, name, value, shared in zip(*(batch.column(k) for k in range(4))):
+                data = value.as_py().encode()
+                of = shared.values.to_numpy() if shared.is_valid else np.zeros(0, np.int64)
+                a, b = windows_of(data, of, least)
+                if len(a):
+                    view = memoryview(data)
+                    ws = np.array([digest(view[x:y]) for x, y in zip(a.tolist(), b.tolist())], np.uint64).view(np.int64)
+                    same = [np.full(len(a), k.as_py(), np.int64) for k in (key, name)]
+                    yield pa.record_batch([pa.array(c) for c in (ws, *same, a.astype(np.int32), b.astype(np.int32))], ["w", "doc_id", "text_key", "a", "b"])
+
+    windows = joined.select("doc_id", "text_key", "text", "shared").mapInArrow(look, "w long, doc_id long, text_key long, a int, b int")
+    windows = windows.repartition("w").sortWithinPartitions("w", "doc_id")
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, least_id = None, None  # of the last row
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ws, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            begin = runs(ws)
+            first = ids[begin[:-1]].copy()
+            if w == ws[0]:
+                first[0] = least_id
+            firsts = np.repeat(first, np.diff(begin))
+            w, least_id = ws[-1], first[-1]
+            later = pa.array(ids > firsts)
+            yield pa.record_batch([*batch.columns[1:], pa.array(firsts)], ["doc_id", "text_key", "a", "b", "first_id"]).filter(later)
+
+    again = windows.mapInArrow(seen, "doc_id long, text_key long, a int, b int, first_id long")
+    per_doc = again.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("a", "b", "first_id"))).alias("c"))
+
+    def join_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, name, c in zip(*(batch.column(k) for k in range(3))):
+                a, b, first = (c.values.field(k).to_numpy() for k in ("a", "b", "first_id"))
+                begin = np.flatnonzero(np.append(True, a[1:] >= b[:-1]))
+                for i, j in zip(begin, [*begin[1:], len(a)]):
+                    rows.append((key.as_py(), name.as_py(), int(a[i]), int(b[j - 1] - a[i]), np.unique(first[i:j]).tolist()))
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], ["doc_id", "text_key", "start", "size", "first_ids"])
 
+    return per_doc.mapInArrow(join_windows, "doc_id long, text_key long, start long, size long, first_ids array<long>")
 
-def repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_RUN) -> DataFrame:
-    """Passages that an earlier document has too: ``doc_id, start, size, first_ids``, one row per run.
 
-    ``start`` and ``size`` are in bytes; ``first_ids`` are the smallest ids that have the run's chunks.
-    Only digests and ids are shuffled, and equal digests are combined in the scan tasks; what is joined
-    on a digest that very many documents share is split by adaptive execution.  Null and empty texts, and
-    rows without an id, have no chunks.  Of rows that repeat an id, none counts as earlier than another.
-    """
-    found = chunks(df, id, text)
-    shared = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    shared = shared.where("first_id < last_id").select(F.col("digest").alias("of"), "first_id")
-    shared = written(shared, "digests")
-    again = found.join(shared, (found.digest == shared.of) & (found.doc_id > shared.first_id))
-    again = again.select("doc_id", F.struct("start", "size", "first_id").alias("c"))
-    per_doc = again.groupBy("doc_id").agg(F.array_sort(F.collect_list("c")).alias("c"))
+def repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
+    """Passages of ``least`` words and more that an earlier document has too: ``doc_id, start, size, first_ids``.
 
-    def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            lists = batch.column("c")
-            offsets = lists.offsets.to_numpy()
-            start, size, first = (lists.values.field(k).to_numpy() for k in ("start", "size", "first_id"))
-            for k, key in enumerate(batch.column("doc_id").to_pylist()):
-                a, b = offsets[k], offsets[k + 1]
-                s, e = start[a:b], start[a:b] + size[a:b]
-                begin = np.flatnonzero(np.append(True, s[1:] > np.maximum.accumulate(e)[:-1])) if b > a else []
-                for i, j in zip(begin, [*begin[1:], b - a]):
-                    if (length := int(e[i:j].max() - s[i])) >= least:
-                        rows.append((key, int(s[i]), length, np.unique(first[a + i : a + j]).tolist()))
-            columns = list(zip(*rows)) or [(), (), (), ()]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "start", "size", "first_ids"])
-
-    return per_doc.mapInArrow(join_runs, "doc_id long, start long, size long, first_ids array<long>")
+    ``start`` and ``size`` are in bytes, from the first word to the last; ``first_ids`` are the smallest ids that
+    have the windows of the passage.  Null and empty texts, and rows without an id, have no passages.  Of
+    rows that repeat an id, none counts as earlier than another, and each has its own passages.
+    """
+    return passages(df, id, text, least).drop("text_key")
 
 
 def without_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
-    """A text without the byte spans ``(start, size)``, each drawn in to the white space inside it."""
+    """A text without the byte spans ``(start, size)``."""
     if not text or not spans:
         return text
     data, out, at = text.encode(), [], 0
     for start, size in sorted(spans):
         end = start + size
-        if start > 0:
-            while start < end and not data[start - 1 : start].isspace():
-                start += 1
-        if end < len(data):
-            while end > start and not data[end - 1 : end].isspace():
-                end -= 1
         if start >= at:
             out.append(data[at:start])
             at = max(at, end)
     return b"".join([*out, data[at:]]).decode("utf-8", "ignore")
 
 
-def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_RUN) -> DataFrame:
+def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
     """``df`` with the repeated passages taken out of its text; every row and column stays.
 
     The first document that has a passage keeps it.  A row whose whole text repeats keeps an empty text.
     Texts move once, to the spans of their row, by the same join at every size.
     """
-    spans = repeats(df, id, text, least).groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    spans = written(spans.select(F.col("doc_id").alias("__of"), F.col("spans").alias("__spans")), "spans")
-    joined = df.join(spans.hint("merge"), F.col(id).cast("long") == F.col("__of"), "left")
+    spans = passages(df, id, text, least).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    spans = written(spans.select(F.col("doc_id").alias("__of"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans")), "spans")
+    joined = df.join(spans.hint("merge"), (F.col(id).cast("long") == F.col("__of")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__key")), "left")
 
     names = df.columns
 
