@@ -19,7 +19,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; those found ``und`` go."""
+    """Documents that are language: those without a letter go, and those of mostly other characters with a low score.
+
+    Without a labelled row to learn from, every document with a letter stays.
+    """
     with_package(spark)
     return langid.keep_identified(docs, langid.train(docs))
 

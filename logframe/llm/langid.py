@@ -8,6 +8,7 @@ one-versus-one linear support vector machines that vote.
 from __future__ import annotations
 
 import itertools
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,8 @@ FAMILIES = {
     "slavic": ("ru", "uk", "pl", "cs", "sk", "bg", "sr", "hr"),
 }
 UNDETERMINED = "und"
+#: Below this score a text is unsure.  Of the given clean texts those below it are short and nearly all letters.
+UNSURE = 0.6
 
 
 def family(language: str) -> str:
@@ -189,13 +192,29 @@ def identify(df: DataFrame, model: Model | None, id: str = "doc_id", text: str =
     return said.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def mostly_letters(text: str) -> bool:
+    """Whether at least half of the characters other than white space are letters, or marks on letters."""
+    seen = [c for c in text if not c.isspace()]
+    return 2 * sum(c.isalpha() or unicodedata.category(c)[0] == "M" for c in seen) >= len(seen)
+
+
+def to_keep(model: Model | None, text: str | None) -> bool:
+    """Whether a text counts as language: it has a letter, and its language is sure or most of it is letters.
+
+    A low score alone rejects nothing, as a language that was not learned has one too.  Without a model
+    nothing can be unsure, and every text with a letter stays.
+    """
+    if not has_letter(text):
+        return False
+    return model is None or model(text)[1] >= UNSURE or mostly_letters(text)
+
+
 def keep_identified(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The rows of ``df``, with all their columns, whose text is not found ``und``."""
+    """The rows of ``df``, with all their columns, whose text is to keep."""
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = sent.value or (lambda text: (UNDETERMINED, 0.0))
         for batch in batches:
-            yield batch.filter(pa.array([found(t.as_py())[0] != UNDETERMINED for t in batch.column(text)], pa.bool_()))
+            yield batch.filter(pa.array([to_keep(sent.value, t.as_py()) for t in batch.column(text)], pa.bool_()))
 
     return df.mapInArrow(keep, df.schema)
