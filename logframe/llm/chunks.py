@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from logframe.llm.common import runs, text_rows, written
+from logframe.llm.common import mapped, runs, text_rows, written
 
 #: Bytes that the rolling hash sees.
 WINDOW = 16
@@ -100,7 +100,7 @@ def grams(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
                 yield pa.record_batch([pa.array(c) for c in columns], ["doc_id", "text_key", "at", "digest"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(split, "doc_id long, text_key long, at int, digest long")
+    return rows.transform(mapped, split, "doc_id long, text_key long, at int, digest long")
 
 
 def windows_of(data: bytes, shared: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +146,7 @@ def passages(df: DataFrame, id: str, text: str, least: int) -> DataFrame:
                     same = [np.full(len(a), k.as_py(), np.int64) for k in (key, name)]
                     yield pa.record_batch([pa.array(c) for c in (ws, *same, a.astype(np.int32), b.astype(np.int32))], ["w", "doc_id", "text_key", "a", "b"])
 
-    windows = joined.select("doc_id", "text_key", "text", "shared").mapInArrow(look, "w long, doc_id long, text_key long, a int, b int")
+    windows = joined.select("doc_id", "text_key", "text", "shared").transform(mapped, look, "w long, doc_id long, text_key long, a int, b int")
     windows = windows.repartition("w").sortWithinPartitions("w", "doc_id")
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def passages(df: DataFrame, id: str, text: str, least: int) -> DataFrame:
             later = pa.array(ids > firsts)
             yield pa.record_batch([*batch.columns[1:], pa.array(firsts)], ["doc_id", "text_key", "a", "b", "first_id"]).filter(later)
 
-    again = windows.mapInArrow(seen, "doc_id long, text_key long, a int, b int, first_id long")
+    again = windows.transform(mapped, seen, "doc_id long, text_key long, a int, b int, first_id long")
     per_doc = again.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("a", "b", "first_id"))).alias("c"))
 
     def join_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +179,7 @@ def passages(df: DataFrame, id: str, text: str, least: int) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], ["doc_id", "text_key", "start", "size", "first_ids"])
 
-    return per_doc.mapInArrow(join_windows, "doc_id long, text_key long, start long, size long, first_ids array<long>")
+    return per_doc.transform(mapped, join_windows, "doc_id long, text_key long, start long, size long, first_ids array<long>")
 
 
 def repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
@@ -225,5 +225,5 @@ def drop_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", least: i
             data = {name: batch.column(name) for name in names} | {text: pa.array(texts, pa.string()) if isinstance(texts, list) else texts}
             yield pa.record_batch(list(data.values()), list(data))
 
-    return joined.select(*names, "__spans").mapInArrow(cut, df.schema)
+    return joined.select(*names, "__spans").transform(mapped, cut, df.schema)
 

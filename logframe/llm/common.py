@@ -9,11 +9,12 @@ import shutil
 import site
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: bytes.translate table that lower-cases A-Z and leaves every other byte.
@@ -36,9 +37,14 @@ def with_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df`` through ``function`` in Python workers that have this package: every operator's only way to them."""
+    with_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    with_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

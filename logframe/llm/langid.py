@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logframe.llm.common import text_rows
+from logframe.llm.common import mapped, text_rows
 
 DIM = 1 << 13
 #: Families of languages (fixed values); a language that is not listed is a family of its own.
@@ -159,7 +159,7 @@ def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
             kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["spread", "lang", "bins", "x"])
 
-    found = taken.select("spread", "lang", "text").mapInArrow(vectors, "spread long, lang string, bins binary, x binary")
+    found = taken.select("spread", "lang", "text").transform(mapped, vectors, "spread long, lang string, bins binary, x binary")
     by_language: dict[str, list[tuple[int, bytes, bytes]]] = {}
     for r in found.collect():
         by_language.setdefault(r.lang, []).append((r.spread, bytes(r.bins), bytes(r.x)))
@@ -188,7 +188,7 @@ def identify(df: DataFrame, model: Model | None, id: str = "doc_id", text: str =
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = df.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string"))
-    said = rows.mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    said = rows.transform(mapped, predict, "doc_id long, lang_pred string, score double")
     return said.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
@@ -217,4 +217,4 @@ def keep_identified(df: DataFrame, model: Model | None, text: str = "text") -> D
         for batch in batches:
             yield batch.filter(pa.array([to_keep(sent.value, t.as_py()) for t in batch.column(text)], pa.bool_()))
 
-    return df.mapInArrow(keep, df.schema)
+    return df.transform(mapped, keep, df.schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logframe.llm.common import text_rows, written
+from logframe.llm.common import mapped, text_rows, written
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -95,7 +95,7 @@ def pieces(df: DataFrame, size: int = 2048, id: str = "doc_id", text: str = "tex
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long"
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(cut, schema + ", ids binary" * keep_ids)
+    return rows.transform(mapped, cut, schema + ", ids binary" * keep_ids)
 
 
 def patterns(histogram: dict[int, int], size: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -174,4 +174,4 @@ def pack(df: DataFrame, size: int = 2048, **options) -> DataFrame:
             yield pa.record_batch(data, [*columns, "sequence_id", "offset"])
 
     schema = ", ".join(f"{c} {t}" for c, t in ranked.select(columns).dtypes)
-    return ranked.mapInArrow(place, schema + ", sequence_id long, offset long")
+    return ranked.transform(mapped, place, schema + ", sequence_id long, offset long")

@@ -20,7 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from logframe.llm.common import text_rows
+from logframe.llm.common import mapped, text_rows
 
 MARK = "▁"
 #: A run of blanks and the word behind it.
@@ -156,7 +156,7 @@ def encoded(df: DataFrame, id: str = "doc_id", text: str = "text", path: str | N
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(encode, "doc_id long, ids array<int>")
+    return rows.transform(mapped, encode, "doc_id long, ids array<int>")
 
 
 def decoded(df: DataFrame, id: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -170,7 +170,7 @@ def decoded(df: DataFrame, id: str = "doc_id", ids: str = "ids", path: str | Non
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     rows = df.select(F.col(id).cast("long").alias("doc_id"), F.col(ids).cast("array<int>"))
-    return rows.mapInArrow(decode, "doc_id long, text string")
+    return rows.transform(mapped, decode, "doc_id long, text string")
 
 
 def digests(df: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -194,4 +194,4 @@ def digests(df: DataFrame, id: str = "doc_id", text: str = "text", path: str | N
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(work, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
+    return rows.transform(mapped, work, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long, round_trip boolean")

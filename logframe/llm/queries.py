@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logframe.llm import chunks, hashforest, langid, licenses, packing, pieces, products, sharding, simhash, warc
+from logframe.llm import chunks, filteraudit, hashforest, langid, licenses, merkle, packing, pieces, products, sharding, simhash, warc
 from logframe.llm.common import table
 from logframe.llm.registry import query
 
@@ -125,3 +125,96 @@ def op4_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded into pieces and decoded again."""
     return pieces.digests(table(spark, sf_dir, "documents"))
+
+
+LOW_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def merkle_sql(inner: int = 6, outer: int = 4) -> str:
+    """The manifest level by level, for at most ``16 ** inner`` rows of a source and ``16 ** outer`` sources."""
+
+    def leaf(text: str) -> str:
+        columns = [text if name == "text" else name for name in merkle.FIELDS]
+        return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+    def level(k: str, s: str, p: str, i: str) -> list[str]:
+        """Runs of level ``p`` as ``k``r, nodes above as ``k``."""
+        return [
+            f"{i} AS (SELECT s, r // 16 AS r, c, list(h ORDER BY r) AS hs FROM {p} GROUP BY s, r // 16, c)",
+            f"{k} AS (SELECT s, r, (c + 15) // 16 AS c, CASE WHEN c = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM {i})",
+        ]
+
+    def fold(k: str, before: str, i: str, s: str, r: str, power: int) -> str:
+        at = f"CAST(({r} // {16**power}) % 16 AS BIGINT)"
+        left, right = f"array_to_string(hs[1:{at}], '')", f"array_to_string(hs[{at} + 2:], '')"
+        return (
+            f"{k} AS (SELECT {before}.* EXCLUDE (node, proof), CASE WHEN {i}.c = 1 THEN node ELSE sha256({left} || node || {right}) END AS node, "
+            f"proof || CASE WHEN {i}.c = 1 THEN '' ELSE {left} || {right} END AS proof "
+            f"FROM {before} JOIN {i} ON {i}.s IS NOT DISTINCT FROM {s} AND {i}.r = {r} // {16 ** (power + 1)})"
+        )
+
+    crc = (
+        "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+        "lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) "
+        "WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"
+    )
+    parts = [
+        f"d AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(LOW_TEXT)} AS low, coalesce({crc} % 5 = 0, false) AS hit FROM documents)",
+        "n0 AS (SELECT source AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS c, leaf AS h, doc_id, CASE WHEN hit THEN low ELSE leaf END AS start FROM d)",
+    ]
+    for k in range(inner):
+        parts += level(f"n{k + 1}", "s", f"n{k}", f"i{k}")
+    parts.append(f"m0 AS (SELECT 0 AS s, row_number() OVER (ORDER BY s NULLS FIRST) - 1 AS r, count(*) OVER () AS c, h, s AS name FROM n{inner})")
+    for k in range(outer):
+        parts += level(f"m{k + 1}", "s", f"m{k}", f"j{k}")
+    parts.append("f0 AS (SELECT n0.*, m0.h AS subroot, m0.r AS place, n0.start AS node, '' AS proof FROM n0 JOIN m0 ON m0.name IS NOT DISTINCT FROM n0.s)")
+    for k in range(inner):
+        parts.append(fold(f"f{k + 1}", f"f{k}", f"i{k}", f"f{k}.s", f"f{k}.r", k))
+    for k in range(outer):
+        parts.append(fold(f"f{inner + k + 1}", f"f{inner + k}", f"j{k}", "0", "place", k))
+    last = f"f{inner + outer}"
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, {last}.h AS leaf, subroot, m{outer}.h AS root, sha256(proof) AS proof_sha256, "
+        f"node AS folded_root, node = m{outer}.h AS verified FROM {last}, m{outer}"
+    )
+
+
+@query("op12_merkle", merkle_sql())
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all documents and the proof of every leaf."""
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+FILTER_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+l AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN w.doc_id > first THEN 16 ELSE 0 END AS mask
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+p(prefix, applied, letter, bit) AS (SELECT '', 0, '', 0
+  UNION ALL SELECT p.prefix || f.letter, p.applied + p.bit, f.letter, f.bit FROM p JOIN f ON (p.applied + p.bit) & f.bit = 0),
+s AS (SELECT part, prefix, letter,
+    coalesce(sum(n) FILTER (mask & (applied + bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & applied = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & applied <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & applied = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & applied = 0), 0) AS toxic_lost
+  FROM c, p WHERE prefix <> '' GROUP BY ALL),
+o AS (SELECT s.*, q.prefix AS filter_order, length(s.prefix) AS step FROM s JOIN p q ON length(q.prefix) = 5 AND starts_with(q.prefix, s.prefix))
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM o
+"""
+
+
+@query("op13_filteraudit", FILTER_SQL)
+def op13_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents in each of their orders."""
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

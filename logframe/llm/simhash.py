@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from logframe.llm.common import LOWER_ASCII, runs, text_rows, whole_groups, written
+from logframe.llm.common import LOWER_ASCII, mapped, runs, text_rows, whole_groups, written
 from logframe.llm.components import connected
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -68,7 +68,7 @@ def fingerprints(df: DataFrame, id: str = "doc_id", text: str = "text", words: i
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(compute, "doc_id long, fp long")
+    return rows.transform(mapped, compute, "doc_id long, fp long")
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -193,7 +193,7 @@ def links(fps: DataFrame, radius: int = 4, blocks: int = 6, shard: int = SHARD)
             yield pa.record_batch([pa.array(value[a]), pa.array(value[b])], ["a", "b"])
 
     key = ["c", "k", "kind", "i", "j"]
-    found = units.repartition(*key).sortWithinPartitions(*key).mapInArrow(search, "a long, b long")
+    found = units.repartition(*key).sortWithinPartitions(*key).transform(mapped, search, "a long, b long")
     near = dealt.where("core and fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
     return found.union(near)
 

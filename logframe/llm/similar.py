@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from logframe.llm.common import LOWER_ASCII, runs, text_rows, whole_groups, written
+from logframe.llm.common import LOWER_ASCII, mapped, runs, text_rows, whole_groups, written
 from logframe.llm.components import connected
 from logframe.llm.simhash import SEED, WORD, fingerprint, links, shingles
 
@@ -62,7 +62,7 @@ def profiles(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(fps), pa.array(nodes)], ["doc_id", "fp", "node"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(compute, "doc_id long, fp long, node long")
+    return rows.transform(mapped, compute, "doc_id long, fp long, node long")
 
 
 def common_shingles(df: DataFrame, id: str, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +89,7 @@ def common_shingles(df: DataFrame, id: str, text: str, words: int) -> tuple[np.n
             yield counted()
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    found = rows.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    found = rows.transform(mapped, count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
     top = found.orderBy(F.desc("n"), "h").limit(MOST).collect()
     by_hash = sorted((r.h & (2**64 - 1), r.n) for r in top)
     return np.array([h for h, _ in by_hash], np.uint64), np.array([n for _, n in by_hash], np.int64)
@@ -115,7 +115,7 @@ def prefixes(df: DataFrame, id: str, text: str, words: int, least: float) -> Dat
             yield pa.record_batch([pa.array([node_of(t) for t in texts], pa.int64()), pa.array(list(map(len, sets)), pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], ["node", "n", "hs"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.mapInArrow(compute, "node long, n int, hs array<long>").dropDuplicates(["node"])
+    return rows.transform(mapped, compute, "node long, n int, hs array<long>").dropDuplicates(["node"])
 
 
 def pairs_of_group(comp: np.ndarray, n: np.ndarray, i: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -146,7 +146,7 @@ def meeting(firsts: DataFrame, labels: DataFrame, least: float) -> DataFrame:
                     x, y = node[s:e][a], node[s:e][b]
                     yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
-    return rows.mapInArrow(search, "a long, b long").distinct()
+    return rows.transform(mapped, search, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, df: DataFrame, text: str, words: int, least: float) -> DataFrame:
@@ -158,7 +158,7 @@ def verified(pairs: DataFrame, df: DataFrame, text: str, words: int, least: floa
 
     pairs = written(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
-    texts = df.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).mapInArrow(named, "node long, t string")
+    texts = df.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).transform(mapped, named, "node long, t string")
     texts = written(texts.join(wanted, texts.node == wanted.w, "left_semi").groupBy("node").agg(F.min("t").alias("t")), "texts")
     left = texts.select(F.col("node").alias("ka"), F.col("t").alias("ta"))
     right = texts.select(F.col("node").alias("kb"), F.col("t").alias("tb"))
@@ -173,7 +173,7 @@ def verified(pairs: DataFrame, df: DataFrame, text: str, words: int, least: floa
                 keep.append(jaccard(own, set(map(bytes, shingles(t.as_py(), words)))) >= least - 1e-12)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(compare, "a long, b long")
+    return joined.transform(mapped, compare, "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8, radius: int = 4) -> DataFrame:

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from logframe.llm.common import mapped
+
 #: Bytes of a tile's rows as double precision numbers.
 TILE_BYTES = 96 << 20
 #: Lists that are merged at once.
@@ -98,7 +100,7 @@ def search(
                             found.append([{"score": y, "vec_id": x} for x, y in zip(v.tolist(), s.tolist())])
                 yield pa.record_batch([pa.array(keys, pa.int64()), pa.array([int(tile)] * len(keys), pa.int32()), pa.array(found, pa.list_(item))], ["query_id", "part", "top"])
 
-    lists = dealt.mapInArrow(scan, f"query_id long, part int, top array<struct<score:{kind},vec_id:long>>")
+    lists = dealt.transform(mapped, scan, f"query_id long, part int, top array<struct<score:{kind},vec_id:long>>")
     while True:
         merged = F.array_sort(F.flatten(F.collect_list("top")), lambda a, b: _order(a, b, largest))
         last_level = tiles <= FAN_IN

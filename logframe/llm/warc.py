@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logframe.llm.common import shared_path, written
+from logframe.llm.common import mapped, shared_path, written
 
 #: Lines of a compressed index block.
 BLOCK = 512
@@ -177,7 +177,7 @@ def write_archives(df: DataFrame, id: str = "page_id", url: str = "url", payload
             yield pa.record_batch(columns, ["page_id", "key", "file", "at", "size"])
         out.close()
 
-    return written(rows.mapInArrow(write, "page_id long, key string, file string, at long, size long"), "captures")
+    return written(rows.transform(mapped, write, "page_id long, key string, file string, at long, size long"), "captures")
 
 
 def write_index(captures: DataFrame) -> list[tuple[str, int, str]]:
@@ -210,7 +210,7 @@ def write_index(captures: DataFrame) -> list[tuple[str, int, str]]:
         out.close()
 
     ordered = captures.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
-    files = written(ordered.mapInArrow(write, "key string, page_id long, path string"), "files")
+    files = written(ordered.transform(mapped, write, "key string, page_id long, path string"), "files")
     found = [(r.key, r.page_id, r.path) for r in files.collect()]  # one row per index task
     return sorted(found, key=lambda r: sort_key(r[0], r[1]))
 
@@ -275,6 +275,6 @@ def look_up(files: list[tuple[str, int, str]], wanted: DataFrame) -> DataFrame:
 
     # neighbours in the index are asked for together; ids part the captures of a common URL
     dealt = wanted.select("page_id", "key").distinct().repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
-    return dealt.mapInArrow(read, schema)
+    return dealt.transform(mapped, read, schema)
 
 
