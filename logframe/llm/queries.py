@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logframe.llm import chunks, filteraudit, hashforest, langid, licenses, merkle, packing, pieces, products, sharding, simhash, warc
+from logframe.llm import chunks, filteraudit, hashforest, langid, licenses, merkle, minhash, packing, pieces, products, sharding, simhash, warc
 from logframe.llm.common import table
 from logframe.llm.registry import query
 
@@ -127,6 +127,27 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
 
 
+MINHASH_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(0, greatest(len(ws) - 3, 1)), lambda i: array_to_string(ws[i + 1:i + 4], ' ')))) END AS s FROM d),
+c AS (SELECT min(doc_id) AS node, s FROM g WHERE len(s) > 0 GROUP BY s),
+x AS (SELECT node, len(s) AS n, hash(unnest(s)) AS h FROM c),
+p AS (SELECT a.node AS a, b.node AS b FROM x a JOIN x b ON a.h = b.h AND a.node < b.node AND a.n * 100 >= 80 * b.n AND b.n * 100 >= 80 * a.n
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r(node, reached) AS (SELECT node, node FROM c UNION SELECT e.a, r.reached FROM r JOIN e ON e.b = r.node),
+k AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
+SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, coalesce(k.component_id, g.doc_id) AS component_id, g.doc_id = coalesce(k.component_id, g.doc_id) AS kept
+FROM g LEFT JOIN c ON c.s = g.s LEFT JOIN k ON k.node = c.node
+"""
+
+
+@query("op11_minhash", MINHASH_SQL)
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by the similarity of their shingle sets."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 LOW_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
