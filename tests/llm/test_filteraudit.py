@@ -1,0 +1,100 @@
+"""The filter audit against running every order of filters over the documents."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import re
+from collections import Counter
+
+from logframe.llm import filteraudit
+
+LABELS = "doc_id long, quality int, toxic int, mask int, part string"
+
+
+def plain_fails(rows):
+    first = {}
+    for key, text, _ in rows:
+        if key is not None:
+            first[text or ""] = min(key, first.get(text or "", key))
+    found = []
+    for key, text, _ in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        failed = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": key is not None and text in first and first[text] < key,
+        }
+        found.append({k for k, bad in failed.items() if bad})
+    return found
+
+
+def plain_audit(rows, labels):
+    good = {k for k, quality, _ in labels if quality == 1}
+    toxic = {k for k, _, bad in labels if bad == 1}
+    failed = plain_fails(rows)
+    found, removed = {}, Counter()
+    for part in {r[2] or "" for r in rows}:
+        mine = [(r[0], f) for r, f in zip(rows, failed) if (r[2] or "") == part]
+        for order in itertools.permutations("ABCDE"):
+            left = mine
+            for step, letter in enumerate(order, 1):
+                gone = [m for m in left if letter in m[1]]
+                before = len(mine) - len(left)
+                left = [m for m in left if letter not in m[1]]
+                failing = sum(letter in f for _, f in mine)
+                found[part, "".join(order), step] = [
+                    len(left), len(gone), failing - len(gone), sum(f == {letter} for _, f in mine),
+                    sum(k in good for k, _ in gone), sum(k in toxic for k, _ in gone),
+                ]
+                assert before + len(gone) + len(left) == len(mine)
+                removed[part, letter] += len(gone)
+    return {k: (*v, removed[k[0], k[1][k[2] - 1]]) for k, v in found.items()}
+
+
+def run(spark, rows, labels):
+    docs = spark.createDataFrame([(*r, 1, "m", 2) for r in rows], "doc_id long, text string, lang string, n int, mask string, good int")
+    said = spark.createDataFrame([(*r, 1, "p") for r in labels], LABELS)
+    got = filteraudit.audit(docs, said)
+    assert got.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len({r[:3] for r in rows})
+    return {r[:3]: r[3:] for r in rows}
+
+
+def test_every_order_against_running_the_filters(spark):
+    drawn = random.Random(3)
+    texts = [None, "", "  \n", "A B C", "#", "é" * 500, "Straße " * 300]
+    for k in range(60):
+        words = [drawn.choice(["a", "Bc", "C"]) if k % 3 == 0 else "w%d" % drawn.randrange(10**6) for _ in range(drawn.choice([50, 199, 200, 300]))]
+        words += ["#1"] * (k % 4 == 0) + ["UPPER"] * (10 * (k % 5 == 0))
+        texts.append(drawn.choice([" ", "\n", "\x0b"]).join(words))
+    texts += texts[:40] + texts[5:30]
+    rows = [(1000 - k, t, drawn.choice(["en", "de", None, ""])) for k, t in enumerate(texts)]
+    rows += [(1000, texts[0], "en"), (999, "again", "fr"), (999, "again", "fr"), (None, texts[20], "en"), (None, texts[20], "de")]
+    labels = [(k, drawn.choice([0, 1, None]), drawn.choice([0, 1, None])) for k in range(900, 1001)] + [(950, 1, 1), (None, 1, 1), (5, 1, 1)]
+    got = run(spark, rows, labels)
+    assert got == plain_audit(rows, labels)
+    assert len(got) == 4 * 600  # en, de, fr, none
+
+
+def test_bounds_of_the_filters():
+    def bits(text):
+        return filteraudit.failures(text)[0]
+
+    distinct = ["w%d" % k for k in range(400)]
+    assert bits(" ".join(distinct[:199])) == 1 and bits(" ".join(distinct[:200])) == 0
+    assert bits(" ".join(distinct[:150] * 2)) == 0 and bits(" ".join(distinct[:150] * 2 + ["w0"])) == 2
+    spaced = "\x1c".join(distinct)  # no blank in the sense of the filters
+    assert bits(spaced) & 1
+    long = "x" * 97 + " "
+    assert bits(" ".join(distinct) + " " + long + "AB") == 0 and bits("é" * 97 + "ABC") == 1 and bits("é" * 96 + "ABC") == 5
+
+
+def test_no_documents_and_no_labels(spark):
+    assert run(spark, [], [(1, 1, 1)]) == {}
+    got = run(spark, [(1, None, None), (2, None, None)], [])
+    assert got == plain_audit([(1, None, None), (2, None, None)], [])

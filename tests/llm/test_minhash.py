@@ -1,0 +1,123 @@
+"""MinHash near-duplicates against brute force over all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from logframe.llm import minhash
+from tests.llm.test_operators import ODD, docs, prose
+
+
+def shingle_set(text, words=4):
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    found = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return {" ".join(found[i : i + words]) for i in range(max(len(found) - words + 1, 1))} if found else set()
+
+
+def brute(ids, texts, percent=80, words=4):
+    """``{(id, n): component}`` by comparing every pair; rows that share an id are one document."""
+    sets = [shingle_set(t, words) for t in texts]
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((find(ids[i]), find(ids[j])))
+                root[b] = a
+    return {(i, len(s)): find(i) if s else i for i, s in zip(ids, sets)}
+
+
+def edited(text, rate, seed):
+    drawn = random.Random(seed)
+    return " ".join("e%d" % drawn.randrange(10**6) if drawn.random() < rate else w for w in text.split())
+
+
+def collected(df):
+    return {(r.doc_id, r.n_shingles): r.component_id for r in df.collect()}
+
+
+def test_components_against_brute_force(spark):
+    texts = list(ODD)
+    for k in range(12):
+        base = prose(100 + k, 20 + 40 * k, 5000)
+        texts += [base, base, base.upper(), *(edited(base, rate, 7 * k + n) for n, rate in enumerate((0.01, 0.02, 0.03, 0.05, 0.08)))]
+    texts += [prose(9, 20000), edited(prose(9, 20000), 0.02, 1), edited(prose(9, 20000), 0.06, 2)]
+    ids = [3000 - 3 * k for k in range(len(texts))]
+    got = minhash.near_duplicates(docs(spark, texts, ids))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    expected = brute(ids, texts)
+    assert collected(got) == expected
+    assert sum(i != c for (i, _), c in expected.items()) > 30
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got.collect())
+
+
+def test_pairs_at_the_bound_and_just_below(spark):
+    words = ["w%d" % k for k in range(200)]
+
+    def with_tail(shared, own, name):  # shingles that all have, and some of its own
+        return " ".join(words[: shared + 3] + [f"{name}{k}" for k in range(own)])
+
+    texts = [with_tail(80, 10, "a"), with_tail(80, 10, "b"), with_tail(79, 10, "c")]
+    expected = brute([1, 2, 3], texts)
+    assert expected == {(1, 90): 1, (2, 90): 1, (3, 89): 3}
+    assert collected(minhash.near_duplicates(docs(spark, texts, [1, 2, 3]))) == expected
+
+
+def test_a_chain_through_one_bucket_is_followed_from_other_centres(spark):
+    # neighbours are similar, the ends are not: no star around one centre finds the whole
+    words = ["c%d" % k for k in range(400)]
+    texts = [" ".join(words[5 * k : 5 * k + 103]) for k in range(50)]
+    ids = list(range(50))
+    random.Random(1).shuffle(ids)
+    assert set(brute(ids, texts).values()) == {0}
+    assert collected(minhash.near_duplicates(docs(spark, texts, ids))) == brute(ids, texts)
+
+
+def test_templated_texts_below_the_bound_stay_apart(spark):
+    base = prose(5, 300, 4000).split()
+    texts = [" ".join(w if (k * 7 + n) % 13 else f"t{k}x{n}" for n, w in enumerate(base)) for k in range(40)]
+    got = minhash.near_duplicates(docs(spark, texts))
+    assert collected(got) == brute(range(40), texts)
+    assert all(r.kept for r in got.collect())
+
+
+def test_repeated_rows_shared_and_missing_ids_and_empty_tables(spark):
+    base, other = prose(1, 50), prose(2, 50)
+    ids, texts = [7, 7, 5, 9, 9, None, None, 4], [base, other, other, None, "", base, None, "  "]
+    got = [(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs(spark, texts, ids)).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(7, 5, False), (7, 5, False), (5, 5, True), (9, 9, True), (9, 9, True), (None, None, True), (None, None, True), (4, 4, True)], key=str
+    )
+    assert minhash.near_duplicates(docs(spark, [])).count() == 0
+    assert minhash.near_duplicates(docs(spark, [None, ""])).where("component_id = doc_id").count() == 2
+
+
+def test_many_copies_give_no_pairs(spark):
+    copies = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(prose(3, 200)).alias("text"))
+    nodes = minhash.profiles(copies, "doc_id", "text", 4).select(F.lit(0).cast("long").alias("node"), "n", "hs")
+    assert minhash.crowded(nodes).count() == 0
+    assert {r.component_id for r in minhash.near_duplicates(copies).collect()} == {0}
+
+
+@pytest.mark.parametrize("size", [1, 3, 20, 90, 500])
+def test_bins_agree_as_often_as_sets_are_similar(size):
+    drawn = np.random.default_rng(size)
+    agree, similar = [], []
+    for _ in range(200):
+        a = drawn.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2)
+        b = np.unique(np.append(a[: max(1, int(size * 0.9))], drawn.integers(0, 1 << 63, size // 10, dtype=np.uint64) * np.uint64(2)))
+        a = np.unique(a)
+        agree.append((minhash.signature(a) == minhash.signature(b)).mean())
+        similar.append(len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
+    assert abs(np.mean(agree) - np.mean(similar)) < 0.03
+    assert len(minhash.bucket_keys(a)) == minhash.BANDS and len(minhash.bucket_keys(a[:0])) == 0
