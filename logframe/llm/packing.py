@@ -1,15 +1,16 @@
 """Packing of tokenized documents into sequences, shortest pack first.
 
 The lengths of all pieces are counted into a histogram of at most ``size`` bins.  Over that
-histogram, lengths are placed longest first, each into the packing patterns with the least room
-that still take it, so that only pattern counts change and no document is looked at.  The patterns
-are then joined back to the pieces by rank: the r-th piece of a length takes the r-th place that
-the patterns have for that length.
+histogram, lengths are placed longest first, each into the shortest pack there is, the one with most room, and
+into a new one only if it fits into none.  Only counts of packing patterns change and no document is looked at.
+The patterns are then joined back to the pieces by rank: the r-th piece of a length takes the r-th place
+that the patterns have for that length.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import re
 import zlib
 from collections import defaultdict
@@ -98,43 +99,56 @@ def pieces(df: DataFrame, size: int = 2048, id: str = "doc_id", text: str = "tex
     return rows.transform(mapped, cut, schema + ", ids binary" * keep_ids)
 
 
-def patterns(histogram: dict[int, int], size: int) -> list[tuple[int, tuple[int, ...]]]:
-    """``(count, lengths)`` of the packing patterns for the counted lengths, longest first.
+#: Lengths of a pattern in order, and how often each stands there.
+Pattern = tuple[tuple[int, int], ...]
 
-    A length goes into open patterns in the order of their room, least first, each taking as many
-    as it has sequences; what is left over opens new patterns.
+
+def patterns(histogram: dict[int, int], size: int) -> list[tuple[int, Pattern]]:
+    """``(count, pattern)`` for the counted lengths: what placing piece by piece, each into the pack with most room, gives.
+
+    All packs of a pattern are changed at once, and a new pack takes as many pieces of its length as there
+    are room and pieces for.  A length splits one pattern at most and opens two, so there are at most ``3 * size``.
     """
-    by_room: dict[int, list[tuple[int, tuple[int, ...]]]] = defaultdict(list)
+    by_room: dict[int, list[tuple[int, Pattern]]] = defaultdict(list)
+    rooms: list[int] = []  # a heap of those in use, negative
+
+    def put(room: int, count: int, pattern: Pattern) -> None:
+        if room and not by_room[room]:
+            heapq.heappush(rooms, -room)
+        by_room[room].append((count, pattern))
+
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
-        room = length
-        while left and room <= size:
-            if not by_room.get(room):
-                room += 1
-                continue
-            count, lengths = by_room[room].pop()
+        while left and rooms and -rooms[0] >= length:
+            room = -rooms[0]
+            count, pattern = by_room[room].pop()
+            if not by_room[room]:
+                heapq.heappop(rooms)
             used = min(count, left)
             if used < count:
-                by_room[room].append((count - used, lengths))
-            by_room[room - length].append((used, (*lengths, length)))
+                put(room, count - used, pattern)
+            *rest, (last, times) = pattern
+            put(room - length, used, (*rest, (last, times + 1)) if last == length else (*pattern, (length, 1)))
             left -= used
-            room = max(room, length)
-        if left:
-            by_room[size - length].append((left, (length,)))
-    return [p for room in sorted(by_room) for p in by_room[room] if p[0]]
+        most = size // length
+        if left >= most:
+            put(size - most * length, left // most, ((length, most),))
+        if left % most:
+            put(size - left % most * length, 1, ((length, left % most),))
+    return [p for room in sorted(by_room) for p in by_room[room]]
 
 
-def places(found: list[tuple[int, tuple[int, ...]]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per length: the first rank of each run of places, its first sequence, its offset there."""
-    runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+def places(found: list[tuple[int, Pattern]]) -> dict[int, tuple[np.ndarray, ...]]:
+    """Per length: the first rank of each run of places, its first sequence, its offset there, its places in each sequence."""
+    runs: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
     taken: dict[int, int] = defaultdict(int)
     sequence = 0
-    for count, lengths in found:
+    for count, pattern in found:
         offset = 0
-        for length in lengths:
-            runs[length].append((taken[length], sequence, offset))
-            taken[length] += count
-            offset += length
+        for length, times in pattern:
+            runs[length].append((taken[length], sequence, offset, times))
+            taken[length] += count * times
+            offset += length * times
         sequence += count
     return {length: tuple(np.array(x) for x in zip(*r)) for length, r in runs.items()}
 
@@ -166,10 +180,11 @@ def pack(df: DataFrame, size: int = 2048, **options) -> DataFrame:
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             order = np.argsort(length, kind="stable")
             for rows in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else []:
-                first, base, at = sent.value[int(length[rows[0]])]
+                first, base, at, times = sent.value[int(length[rows[0]])]
                 run = np.searchsorted(first, rank[rows], "right") - 1
-                sequence[rows] = base[run] + rank[rows] - first[run]
-                offset[rows] = at[run]
+                nth, again = np.divmod(rank[rows] - first[run], times[run])
+                sequence[rows] = base[run] + nth
+                offset[rows] = at[run] + again * length[rows]
             data = [batch.column(c) for c in columns] + [pa.array(sequence), pa.array(offset)]
             yield pa.record_batch(data, [*columns, "sequence_id", "offset"])
 

@@ -379,16 +379,68 @@ def test_pieces_fill_sequences(spark, size):
     assert packing.pack(docs(spark, [])).count() == 0
 
 
-def test_patterns_use_every_length_once():
+def plain_packs(histogram, size):
+    """Rooms left by placing piece by piece, longest first, into the pack with most room."""
+    rooms = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            most = max(range(len(rooms)), key=rooms.__getitem__, default=None)
+            if most is None or rooms[most] < length:
+                rooms.append(size - length)
+            else:
+                rooms[most] -= length
+    return sorted(rooms)
+
+
+def check_patterns(histogram, size):
+    found = packing.patterns(histogram, size)
+    used, rooms = collections.Counter(), []
+    for count, pattern in found:
+        filled = sum(length * times for length, times in pattern)
+        assert count > 0 and 0 < filled <= size
+        rooms += [size - filled] * count
+        for length, times in pattern:
+            used[length] += count * times
+    assert used == collections.Counter(histogram) and len(found) <= 3 * size
+    return sorted(rooms)
+
+
+def test_patterns_are_those_of_a_plain_packer():
     drawn = random.Random(1)
-    histogram = {k: drawn.randrange(1, 2000) for k in drawn.sample(range(1, 2049), 700)}
-    found = packing.patterns(histogram, 2048)
-    used = collections.Counter()
-    for count, lengths in found:
-        assert count > 0 and sum(lengths) <= 2048
-        for length in lengths:
-            used[length] += count
-    assert used == collections.Counter(histogram)
+    for case in range(60):
+        size = drawn.choice([16, 64, 300])
+        lengths = drawn.sample(range(1, size + 1), drawn.randrange(1, min(size, 20)))
+        histogram = {k: drawn.randrange(1, 40) for k in lengths}
+        assert check_patterns(histogram, size) == plain_packs(histogram, size)
+
+
+@pytest.mark.parametrize(
+    "histogram",
+    [
+        {5: 2000}, {301: 100_000}, {1: 5000}, {2048: 7, 1: 1}, {1025: 3000, 1: 10}, {k: 250 for k in range(20, 61)},
+        {k: int(3000 / k) for k in range(8, 400)}, {k: 1 + 7919 * k % 2000 for k in range(1, 2049, 3)}, {1500: 900, 500: 2000, 40: 9000},
+    ],
+)
+def test_padding_is_within_what_the_longest_length_can_leave(histogram):
+    rooms = check_patterns(histogram, 2048)
+    # no packer does with fewer than the tokens fill, or than there are pieces of more than half
+    tokens = sum(k * n for k, n in histogram.items())
+    over_half = sum(n for k, n in histogram.items() if 2 * k > 2048)
+    waste = max((2048 % k for k in histogram), default=0)
+    assert len(rooms) <= max(over_half, -(-tokens // (2048 - waste))) * 1.1 + 1
+
+
+def test_short_texts_fill_few_sequences(spark):
+    rows = packing.pack(docs(spark, ["w w w w"] * 2000 + [None] * 10)).collect()
+    lengths = {r.length for r in rows}
+    assert len({r.sequence_id for r in rows}) == -(-sum(r.length for r in rows) // 2048) and len(rows) == 2010
+    ends = collections.defaultdict(list)
+    for r in rows:
+        ends[r.sequence_id].append((r.offset, r.offset + r.length))
+    for spans in ends.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and spans[-1][1] <= 2048
+    assert len(lengths) == 2
 
 
 # --- vectors
