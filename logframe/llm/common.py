@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import re
 import shutil
@@ -20,6 +21,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: bytes.translate table that lower-cases A-Z and leaves every other byte.
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+#: The tables written since the innermost ``scratch`` began.
+made: list[str] = []
+
 
 def with_package(spark: SparkSession) -> SparkSession:
     """``spark`` with this package at hand in the Python workers.
@@ -69,14 +73,38 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once into the shared folder and read back.
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` computed once into the shared folder and read back, and where it lies.
 
     The copy cuts the lineage, survives the loss of executors, and tells the planner its size.
     """
     path = shared_path(df.sparkSession, name)
+    made.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once into the shared folder and read back."""
+    return written_at(df, name)[0]
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that ``written`` made, once nothing reads them any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written inside when it ends.  What is read after it must lie elsewhere."""
+    before, made[:] = list(made), []
+    try:
+        yield
+    finally:
+        removed(spark, *made)
+        made[:] = before
 
 
 def lower_ascii(text: Column) -> Column:
