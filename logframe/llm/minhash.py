@@ -1,38 +1,41 @@
 """Near-duplicates by MinHash: one permutation, optimal densification, banded buckets, star-shaped candidates.
 
-A set of shingles is hashed once, the hash space is split into ``BANDS * ROWS`` bins and the least hash of
+A set of shingles is hashed once, the hash space is split into ``BINS`` bins and the least hash of
 each bin is its value; an empty bin takes the value of the first filled bin on a random walk of its own, the
 same for every set, so that a bin of two sets agrees with the probability of their similarity.  ``ROWS`` bins form the key of
-a bucket in their band.  At a similarity of 0.8 a pair shares no bucket once in 300,000 pairs.
+a bucket in each of ``BANDS`` bands.  At a similarity of 0.8 a pair shares no bucket once in 300,000 pairs.
 
 Rows of a bucket are never paired with each other but with centres: a first one, and in every
-further round four times as many, of different components, among the rows left.  A pair counts only after the full sets
-were compared.  A centre has then met its whole bucket and leaves it, and a bucket whose rows are one component is
-done, so every pair of a bucket that could still change the result is compared and copies never are.
+further round four times as many, of different components, among the rows left.  One bit of every bin tells how
+similar a row and a centre are nearly, and those that are plainly apart form no pair: one in a million at the bound does.  A pair
+counts only after the full sets were compared.  A centre has then met its whole bucket and leaves it, and a
+bucket whose rows are one component is done, so whatever could still change the result is compared and copies never are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import count
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logframe.llm.common import mapped, text_rows, written
 from logframe.llm.components import connected
 from logframe.llm.simhash import SEED, shingles
 
-BANDS, ROWS = 24, 4
-BINS = BANDS * ROWS
+BANDS, ROWS, BINS = 24, 4, 512
 #: Each further round has so many times the centres.
 MORE = 4
 
 _drawn = np.random.default_rng(11)
-#: The walk of every bin over all bins.
+#: The walk of every bin over all bins, and where on it each bin comes.
 WALKS = np.array([_drawn.permutation(BINS) for _ in range(BINS)])
+PLACES = WALKS.argsort(1)
 #: The least hash of every bin.
 EDGES = np.array([(b << 64) // BINS for b in range(BINS)], np.uint64)
 FACTORS = _drawn.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -48,25 +51,45 @@ def signature(own: np.ndarray) -> np.ndarray:
     """The value of every bin for a set of sorted distinct hashes, which is not empty."""
     at = np.searchsorted(own, EDGES)
     filled = at < np.append(at[1:], len(own))
+    have, empty = np.flatnonzero(filled), np.flatnonzero(~filled)
     donor = np.arange(BINS)
-    empty = np.flatnonzero(~filled)
-    donor[empty] = WALKS[empty, filled[WALKS[empty]].argmax(1)]
+    if len(have) <= BINS // 4:
+        donor[empty] = have[PLACES[np.ix_(empty, have)].argmin(1)]
+    else:
+        step = 0
+        while len(empty):
+            donor[empty] = WALKS[empty, step]
+            empty, step = empty[~filled[donor[empty]]], step + 1
     return own[at[donor]]
 
 
-def bucket_keys(own: np.ndarray) -> np.ndarray:
-    """The bucket of every band, for a set of sorted distinct hashes."""
-    if not len(own):
-        return np.zeros(0, np.int64)
-    return (signature(own).reshape(BANDS, ROWS) * FACTORS).sum(1).view(np.int64)
+def bucket_keys(values: np.ndarray) -> np.ndarray:
+    """The bucket of every band."""
+    return (values[: BANDS * ROWS].reshape(BANDS, ROWS) * FACTORS).sum(1).view(np.int64)
+
+
+def sketch(values: np.ndarray) -> np.ndarray:
+    """One bit of every bin, as signed 64-bit numbers."""
+    return np.packbits((values & np.uint64(1)).astype(bool)).view(np.int64)
+
+
+def most_apart(percent: int) -> int:
+    """Bits that two sketches at the bound differ in, and five and a half standard deviations more."""
+    p = (1 - percent / 100) / 2
+    return int(BINS * p + 5.5 * (BINS * p * (1 - p)) ** 0.5) + 1
+
+
+def apart(a: str, b: str) -> Column:
+    """Differing bits of two sketches."""
+    return reduce(add, (F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(BINS // 64)))
 
 
 def profiles(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """``doc_id, n, key, fp, hs``: the size of every row's set, its digest, the text's SimHash, its buckets."""
+    """``doc_id, n, key, fp, hs, sketch``: the size of every row's set, its digest, the text's SimHash, its buckets and bits."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_rows(batches):
-            sizes, keys, prints, buckets = [], [], [], []
+            sizes, keys, prints, buckets, bits = [], [], [], [], []
             for value in texts:
                 every = hashes(value, words)
                 ones = sum(np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64) for part in np.split(every, range(1 << 16, len(every), 1 << 16)))
@@ -74,12 +97,15 @@ def profiles(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
                 own = np.unique(every)
                 sizes.append(len(own))
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
-                buckets.append(bucket_keys(own))
-            columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(prints, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, ["doc_id", "n", "key", "fp", "hs"])
+                values = signature(own) if len(own) else None
+                buckets.append(None if values is None else bucket_keys(values))
+                bits.append(None if values is None else sketch(values))
+            longs = pa.list_(pa.int64())
+            columns = [pa.array(c, t) for c, t in zip((ids, sizes, keys, prints, buckets, bits), (pa.int64(), pa.int64(), pa.binary(), pa.int64(), longs, longs))]
+            yield pa.record_batch(columns, ["doc_id", "n", "key", "fp", "hs", "sketch"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.transform(mapped, compute, "doc_id long, n long, key binary, fp long, hs array<long>")
+    return rows.transform(mapped, compute, "doc_id long, n long, key binary, fp long, hs array<long>, sketch array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -122,11 +148,12 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, links: DataFrame, close: DataFrame | None = None) -> DataFrame:
-    """``node, label``: the component of every node of ``nodes(node, n, hs)`` that is linked.
+    """``node, label``: the component of every node of ``nodes(node, n, hs, sketch)`` that is linked.
 
     ``texts(node, t)`` are the texts of the table, ``links(a, b)`` hold anyway, ``close(a, b)`` are further candidates.
     """
-    rows = written(crowded(nodes), "buckets")
+    found = crowded(nodes)
+    rows = written(found.join(nodes.select("node", "sketch"), "node"), "buckets")
     wanted = rows.select(F.col("node").alias("of"))
     if close is not None:
         wanted = wanted.union(close.select("a")).union(close.select("b"))
@@ -135,17 +162,19 @@ def components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, lin
     if close is not None:
         links = links.union(written(verified(close, known, words, percent), "links"))
     labels = connected(links)
+    near = (apart("sketch", "bits") <= most_apart(percent)) & (100 * F.least("n", "size") >= percent * F.greatest("n", "size"))
+    bucket = Window.partitionBy("h")
     for turn in count():
-        rows = labelled(rows.select("h", "node", "n"), labels)
-        mixed = rows.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        rows = written(rows.join(mixed.select("h"), "h", "left_semi"), "mixed")
-        if rows.isEmpty():
-            return labels
+        rows = written(labelled(rows.select("h", "node", "n", "sketch"), labels), "rows")
         slot = F.pmod(F.xxhash64("label", F.lit(turn)), F.lit(MORE**turn))
-        chosen = rows.groupBy("h", slot.alias("slot")).agg(F.min(F.struct("node", "n", "label")).alias("c"))
-        chosen = written(chosen.select("h", F.col("c.node").alias("centre"), F.col("c.n").alias("size"), F.col("c.label").alias("own")), "centres")
-        fits = (100 * F.least("n", "size") >= percent * F.greatest("n", "size")) & (F.col("label") != F.col("own"))
-        pairs = rows.join(chosen, "h").where(fits).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+        chosen = rows.groupBy("h", slot.alias("slot")).agg(F.min("node").alias("centre"), F.min("label").alias("low"), F.max("label").alias("high"))
+        chosen = chosen.withColumn("mixed", F.min("low").over(bucket) < F.max("high").over(bucket)).where("mixed")
+        chosen = rows.join(chosen.select("h", F.col("centre").alias("node")), ["h", "node"])
+        chosen = written(chosen.select("h", F.col("node").alias("centre"), F.col("n").alias("size"), F.col("sketch").alias("bits"), F.col("label").alias("own")), "centres")
+        if chosen.isEmpty():
+            return labels
+        pairs = rows.join(chosen, "h").where(near & (F.col("label") != F.col("own")))
+        pairs = pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -154,6 +183,7 @@ def components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, lin
         if not found.isEmpty():
             links = links.union(found)
             labels = connected(links)
+        rows = rows.join(chosen.select("h").distinct(), "h", "left_semi")
         rows = rows.join(chosen.select("h", F.col("centre").alias("node")), ["h", "node"], "left_anti")
 
 
@@ -177,7 +207,7 @@ def texts_of(df: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def resolved(rows: DataFrame, search: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of ``rows(doc_id, n, key, hs)``.
+    """``doc_id, n_shingles, component_id, kept`` of ``rows(doc_id, n, key, hs, sketch)``.
 
     ``search`` gives the components of the nodes, given those that share an id.  The node of a set is the
     smallest id that has it, so the least node of a component is its smallest id.
@@ -185,7 +215,7 @@ def resolved(rows: DataFrame, search: Callable[[DataFrame, DataFrame], DataFrame
     named = rows.where("doc_id IS NOT NULL AND n > 0")
     first = written(named.groupBy("key").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")), "first")
     of = first.select(F.col("key").alias("k"), "node")
-    nodes = named.join(of, (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("node"))).select("node", "n", "hs")
+    nodes = named.join(of, (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("node"))).select("node", "n", "hs", "sketch")
     twice = named.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("doc_id")
     shared = named.select("doc_id", "key").join(twice, "doc_id", "left_semi").join(of, F.col("key") == F.col("k")).select("doc_id", "node")
     links = shared.join(shared.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")).where("a <> b")

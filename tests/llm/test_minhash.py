@@ -109,6 +109,20 @@ def test_many_copies_give_no_pairs(spark):
     assert {r.component_id for r in minhash.near_duplicates(copies).collect()} == {0}
 
 
+def differing(sets):
+    a, b = (minhash.sketch(minhash.signature(np.unique(s))).view(np.uint64) for s in sets)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def test_sketches_of_similar_sets_are_never_far_apart():
+    drawn, most = np.random.default_rng(2), 0
+    for k in range(3000):
+        both = drawn.integers(0, 1 << 64, 8 * (1 + k % 90), dtype=np.uint64)
+        most = max(most, differing([np.append(both, drawn.integers(0, 1 << 64, len(both) // 8, dtype=np.uint64)) for _ in range(2)]))
+    assert 60 < most <= minhash.most_apart(80) == 89
+    assert differing(drawn.integers(0, 1 << 64, (2, 300), dtype=np.uint64)) > 180
+
+
 @pytest.mark.parametrize("size", [1, 3, 20, 90, 500])
 def test_bins_agree_as_often_as_sets_are_similar(size):
     drawn = np.random.default_rng(size)
@@ -120,4 +134,4 @@ def test_bins_agree_as_often_as_sets_are_similar(size):
         agree.append((minhash.signature(a) == minhash.signature(b)).mean())
         similar.append(len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
     assert abs(np.mean(agree) - np.mean(similar)) < 0.03
-    assert len(minhash.bucket_keys(a)) == minhash.BANDS and len(minhash.bucket_keys(a[:0])) == 0
+    assert len(minhash.bucket_keys(minhash.signature(a))) == minhash.BANDS
