@@ -206,23 +206,24 @@ def texts_of(df: DataFrame, id: str, text: str) -> DataFrame:
     return df.select(F.col(id).cast("long").alias("node"), F.col(text).cast("string").alias("t"))
 
 
-def resolved(rows: DataFrame, search: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of ``rows(doc_id, n, key, hs, sketch)``.
+def resolved(rows: DataFrame, search: Callable[[DataFrame, DataFrame], DataFrame], blank: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of ``rows(doc_id, n, key, hs, sketch)``; ``blank`` makes empty sets equal.
 
     ``search`` gives the components of the nodes, given those that share an id.  The node of a set is the
     smallest id that has it, so the least node of a component is its smallest id.
     """
-    named = rows.where("doc_id IS NOT NULL AND n > 0")
+    takes_part = F.col("doc_id").isNotNull() & ((F.col("n") > 0) | blank)
+    named = rows.where(takes_part)
     first = written(named.groupBy("key").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")), "first")
     of = first.select(F.col("key").alias("k"), "node")
-    nodes = named.join(of, (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("node"))).select("node", "n", "hs", "sketch")
+    nodes = named.join(of, (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("node"))).drop("k", "key", "doc_id")
     twice = named.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("doc_id")
     shared = named.select("doc_id", "key").join(twice, "doc_id", "left_semi").join(of, F.col("key") == F.col("k")).select("doc_id", "node")
     links = shared.join(shared.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
     labels = search(nodes, written(links.distinct(), "shared"))
     found = labelled(first, labels).where("last <> node OR label <> node").select(F.col("key").alias("k"), "label")
     found = written(found, "components")
-    whole = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("key")).alias("key"))
+    whole = rows.select("doc_id", "n", F.when(takes_part, F.col("key")).alias("key"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id")
     joined = whole.join(found, F.col("key") == F.col("k"), "left").select("doc_id", F.col("n").alias("n_shingles"), component)
     return joined.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

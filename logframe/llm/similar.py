@@ -1,199 +1,35 @@
-"""Near-duplicates by exact similarity: the Jaccard similarity of sets of word shingles is at least a bound.
+"""Near-duplicates by SimHash, made whole: the Jaccard similarity of sets of word shingles is at least a bound.
 
-SimHash links within a few bits are the first candidates and connect copies and groups of near copies.
-What they miss comes from a prefix join: of two sets of n and more shingles that meet the bound, the first
-n - ceil(bound * n) + 1 shingles in one order of all shingles overlap, so texts meet at one of these.
-The order puts the most common shingles last.  Pairs that are connected already are not looked at again, and
-every other candidate of either kind counts only after its texts were compared, so no pair
-at the bound is missed and none below it is linked.
+SimHash links within a few bits are the first candidates and connect copies and groups of close copies.  The
+fingerprints of edited copies differ in more bits, so MinHash buckets find what they miss.  Candidates of
+either kind count only after the full sets were compared; pairs that are connected already are not looked at again.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from logframe.llm.common import LOWER_ASCII, mapped, runs, text_rows, whole_groups, written
-from logframe.llm.components import connected
-from logframe.llm.simhash import SEED, WORD, fingerprint, links, shingles
-
-#: Hashes counted together in a task.
-COUNTED = 1 << 22
-#: A shingle in this many texts is common, and the most common shingles known.
-COMMON, MOST = 32, 1 << 16
-#: Pairs formed together.
-PAIRS = 1 << 20
-
-
-def node_of(text: str | None) -> int:
-    """The digest of a text's lower-cased words, as a signed number."""
-    words = WORD.findall(text.encode().translate(LOWER_ASCII)) if text else []
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
-
-
-def hashes(text: str | None, words: int) -> np.ndarray:
-    """The distinct hashes of a text's shingles, sorted."""
-    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)], np.uint64))
-
-
-def needed(n: int, least: float) -> int:
-    """The overlap that a set of ``n`` needs with any other."""
-    return math.ceil(least * n - 1e-9)
-
-
-def jaccard(a: set, b: set) -> float:
-    """The share of common elements; of two empty sets, 1."""
-    both = len(a & b)
-    return both / (len(a) + len(b) - both) if a or b else 1.0
-
-
-def profiles(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """``doc_id, fp, node`` of every row."""
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_rows(batches):
-            fps = np.array([fingerprint(t, words) for t in texts], "<u8").view("<i8")
-            nodes = np.array([node_of(t) for t in texts], np.int64)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(fps), pa.array(nodes)], ["doc_id", "fp", "node"])
-
-    rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.transform(mapped, compute, "doc_id long, fp long, node long")
-
-
-def common_shingles(df: DataFrame, id: str, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles by hash, and their counts.  They only order the shingles, so near figures do:
-
-    a task puts out what it meets more than once.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def counted() -> pa.RecordBatch:
-            found, many = np.unique(np.concatenate(held), return_counts=True)
-            return pa.record_batch([pa.array(found[many > 1].view(np.int64)), pa.array(many[many > 1])], ["h", "n"])
-
-        for _, texts in text_rows(batches):
-            for t in texts:
-                held.append(hashes(t, words))
-                size += len(held[-1])
-                if size >= COUNTED:
-                    yield counted()
-                    held, size = [], 0
-        if held:
-            yield counted()
-
-    rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    found = rows.transform(mapped, count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
-    top = found.orderBy(F.desc("n"), "h").limit(MOST).collect()
-    by_hash = sorted((r.h & (2**64 - 1), r.n) for r in top)
-    return np.array([h for h, _ in by_hash], np.uint64), np.array([n for _, n in by_hash], np.int64)
-
-
-def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
-    """The first shingles of a set that must meet those of any set similar to it, in the common order."""
-    weight = np.zeros(len(own), np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-        weight = np.where(common[at] == own, counts[at], 0)
-    return own[np.lexsort((own, weight))][: len(own) - needed(len(own), least) + 1] if len(own) else own
-
-
-def prefixes(df: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
-    """``node, n, hs``: the size of every text's set and its prefix, once per node."""
-    sent = df.sparkSession.sparkContext.broadcast(common_shingles(df, id, text, words))  # at most MOST entries
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_rows(batches):
-            sets = [hashes(t, words) for t in texts]
-            firsts = [prefix(s, *sent.value, least).view(np.int64) for s in sets]
-            yield pa.record_batch([pa.array([node_of(t) for t in texts], pa.int64()), pa.array(list(map(len, sets)), pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], ["node", "n", "hs"])
-
-    rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.transform(mapped, compute, "node long, n int, hs array<long>").dropDuplicates(["node"])
-
-
-def pairs_of_group(comp: np.ndarray, n: np.ndarray, i: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows, sorted by ``n``, of different components whose sizes and places allow the bound."""
-    low = np.searchsorted(n, np.ceil(least * n - 1e-9))
-    many = np.arange(len(n)) - low
-    for part in np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(many) // PAIRS)) + 1):
-        b = np.repeat(part, many[part])
-        a = np.arange(len(b)) + np.repeat(low[part] - np.cumsum(many[part]) + many[part], many[part])
-        most = np.minimum(n[a] - i[a], n[b] - i[b])
-        ok = (comp[a] != comp[b]) & (most >= np.ceil(least / (1 + least) * (n[a] + n[b]) - 1e-9))
-        yield a[ok], b[ok]
-
-
-def meeting(firsts: DataFrame, labels: DataFrame, least: float) -> DataFrame:
-    """``a, b``: nodes of different components that share a shingle of their prefixes."""
-    named = firsts.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-    named = named.select("node", F.coalesce("label", "node").alias("comp"), "n", F.posexplode("hs").alias("i", "h"))
-    rows = named.select("h", "n", "comp", "node", "i").repartition("h").sortWithinPartitions("h", "n")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for data in whole_groups(batches, 1):
-            h, n, comp, node, i = (data.column(k).to_numpy() for k in range(5))
-            starts = runs(h)
-            mixed = np.minimum.reduceat(comp, starts[:-1]) < np.maximum.reduceat(comp, starts[:-1])
-            for s, e in zip(starts[:-1][mixed], starts[1:][mixed]):
-                for a, b in pairs_of_group(comp[s:e], n[s:e], i[s:e], least):
-                    x, y = node[s:e][a], node[s:e][b]
-                    yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
-    return rows.transform(mapped, search, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, df: DataFrame, text: str, words: int, least: float) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose texts have the similarity.  Only texts of some pair move."""
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.record_batch([pa.array([node_of(t.as_py()) for t in batch.column(0)], pa.int64()), batch.column(0)], ["node", "t"])
-
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
-    texts = df.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).transform(mapped, named, "node long, t string")
-    texts = written(texts.join(wanted, texts.node == wanted.w, "left_semi").groupBy("node").agg(F.min("t").alias("t")), "texts")
-    left = texts.select(F.col("node").alias("ka"), F.col("t").alias("ta"))
-    right = texts.select(F.col("node").alias("kb"), F.col("t").alias("tb"))
-    joined = pairs.join(left, pairs.a == left.ka).join(right, pairs.b == right.kb).select("a", "b", "ta", "tb")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            last, own, keep = None, set(), []
-            for a, s, t in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != last:
-                    last, own = a, set(map(bytes, shingles(s.as_py(), words)))
-                keep.append(jaccard(own, set(map(bytes, shingles(t.as_py(), words)))) >= least - 1e-12)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return joined.transform(mapped, compare, "a long, b long")
+from logframe.llm.common import written
+from logframe.llm.minhash import components, profiles, resolved, texts_of
+from logframe.llm.simhash import links as simhash_links
 
 
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8, radius: int = 4) -> DataFrame:
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, radius: int = 4) -> DataFrame:
     """One row per row of ``df``: ``doc_id, component_id``, the smallest id of the row's component.
 
-    Rows are linked if their sets of ``words``-word shingles have a Jaccard similarity of ``least`` or
-    more.  Texts of the same words are one node; texts without words are equal.  Rows without an id take part.
+    Rows are linked if their sets of ``words``-word shingles have a Jaccard similarity of ``percent`` or
+    more.  Rows of equal sets are one node; texts without words are equal.  A row without an id has no component.
     """
-    docs = written(profiles(df, id, text, words), "profiles")
-    nodes = written(docs.groupBy("node").agg(F.min("doc_id").alias("root"), F.min("fp").alias("fp")), "nodes")
-    first = written(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "fingerprints")
-    left = first.select(F.col("fp").alias("fa"), F.col("rep").alias("ra"))
-    right = first.select(F.col("fp").alias("fb"), F.col("rep").alias("rb"))
-    near = written(links(first.select("fp"), radius), "links")
-    across = near.join(left, near.a == left.fa).join(right, near.b == right.fb).select("ra", "rb")
-    alike = nodes.join(left, nodes.fp == left.fa).where("node <> ra").select("ra", F.col("node").alias("rb"))
-    close = across.union(alike).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-    edges = written(verified(close, df, text, words, least), "near")
-    rest = meeting(prefixes(df, id, text, words, least), connected(edges), least)
-    labels = connected(edges.union(verified(rest, df, text, words, least)))
-    grouped = nodes.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("node", "root", F.coalesce("label", "node").alias("label"))
-    found = grouped.join(grouped.groupBy("label").agg(F.min("root").alias("component_id")), "label").select(F.col("node").alias("of"), "component_id")
-    return docs.join(written(found, "components"), F.col("node") == F.col("of")).select("doc_id", "component_id")
+    rows = written(profiles(df, id, text, words), "profiles")
+
+    def search(nodes: DataFrame, known: DataFrame) -> DataFrame:
+        first = written(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "fingerprints")
+        left = first.select(F.col("fp").alias("fa"), F.col("rep").alias("ra"))
+        right = first.select(F.col("fp").alias("fb"), F.col("rep").alias("rb"))
+        near = written(simhash_links(first.select("fp"), radius), "near")
+        across = near.join(left, near.a == left.fa).join(right, near.b == right.fb).select("ra", "rb")
+        alike = nodes.join(left, nodes.fp == left.fa).where("node <> ra").select("ra", F.col("node").alias("rb"))
+        close = across.union(alike).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+        return components(nodes, texts_of(df, id, text), words, percent, known, written(close, "close"))
+
+    return resolved(rows, search, blank=True).select("doc_id", "component_id")
