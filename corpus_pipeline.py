@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logframe.llm import chunks, langid, packing, similar
-from logframe.llm.common import table, with_package, written
+from logframe.llm.common import removed, scratch, shared_path, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -23,7 +23,6 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Without a labelled row to learn from, every document with a letter stays.
     """
-    with_package(spark)
     return langid.keep_identified(docs, langid.train(docs))
 
 
@@ -32,7 +31,6 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Near-duplicates have a similarity of 0.8 or more by shingles of five words.
     """
-    with_package(spark)
     found = similar.near_duplicates(docs)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     gone = written(gone, "gone")
@@ -41,13 +39,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages that an earlier one has too."""
-    with_package(spark)
     return chunks.drop_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of 2048 tokens."""
-    with_package(spark)
     return packing.pack(docs)
 
 
@@ -63,8 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and reread."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written to the shared folder and reread; what they left there is removed."""
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        path = shared_path(spark, "stage-" + name.replace(" ", "-"))
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        removed(spark, *last)
+        last = [path]
     return docs
