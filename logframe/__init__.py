@@ -4,11 +4,15 @@ from logframe.functions.timebounds import Window, explicit_window, time_filter
 from logframe.model import label_column, labels_key_of, log_table
 from logframe.operators import (
     DEFAULT_LIMIT,
+    bytes_over_time,
+    bytes_rate,
+    count_over_time,
     label_names,
     label_values,
     merge_pages,
     merge_pages_limited,
     newest,
+    rate,
     refine_logs,
     scan_logs,
     series,
@@ -30,6 +34,9 @@ __all__ = [
     "DEFAULT_LIMIT",
     "Window",
     "attach",
+    "bytes_over_time",
+    "bytes_rate",
+    "count_over_time",
     "explicit_window",
     "label_column",
     "label_names",
@@ -43,6 +50,7 @@ __all__ = [
     "parse_streams",
     "parse_string_array",
     "payload_rejects",
+    "rate",
     "read_logs",
     "read_payloads",
     "refine_logs",
