@@ -6,9 +6,10 @@ same for every set, so that a bin of two sets agrees with the probability of the
 a bucket in each of ``BANDS`` bands.  At a similarity of 0.8 a pair shares no bucket once in 300,000 pairs.
 
 Rows of a bucket are never paired with each other but with centres: a first one, and in every
-further round four times as many, of different components, among the rows left.  One bit of every bin tells how
-similar a row and a centre are nearly, and those that are plainly apart form no pair: one in a million at the bound does.  A pair
-counts only after the full sets were compared.  A centre has then met its whole bucket and leaves it, and a
+further round sixteen times as many, of different components, among the rows left.  Two sketches tell how similar a row
+and a centre are nearly, and those that are plainly apart form no pair: the parities of the hashes in ``PARITIES`` classes,
+which never differ in more places than the sets do and tell most of sets of hundreds, and one bit of every bin,
+which tells most of larger ones.  One pair in a million at the bound is taken for apart.  A pair counts only after the full sets were compared.  A centre has then met its whole bucket and leaves it, and a
 bucket whose rows are one component is done, so whatever could still change the result is compared and copies never are.
 """
 
@@ -29,8 +30,11 @@ from logframe.llm.components import connected
 from logframe.llm.simhash import SEED, shingles
 
 BANDS, ROWS, BINS = 24, 4, 512
+PARITIES = 1024
+#: Standard deviations that a sketch may be off.
+DEVIATIONS = 5.5
 #: Each further round has so many times the centres.
-MORE = 4
+MORE = 16
 
 _drawn = np.random.default_rng(11)
 #: The walk of every bin over all bins, and where on it each bin comes.
@@ -73,23 +77,41 @@ def sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits((values & np.uint64(1)).astype(bool)).view(np.int64)
 
 
+def parities(own: np.ndarray) -> np.ndarray:
+    """Whether the number of hashes of each class is odd, as signed 64-bit numbers."""
+    odd = np.bincount((own >> np.uint64(20) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def most_apart(percent: int) -> int:
-    """Bits that two sketches at the bound differ in, and five and a half standard deviations more."""
+    """Bits that two sketches at the bound differ in, and some standard deviations more."""
     p = (1 - percent / 100) / 2
-    return int(BINS * p + 5.5 * (BINS * p * (1 - p)) ** 0.5) + 1
+    return int(BINS * p + DEVIATIONS * (BINS * p * (1 - p)) ** 0.5) + 1
+
+
+def most_odd(sizes: Column, percent: int) -> Column:
+    """Parities that two sets of together so many hashes can differ in at the bound.
+
+    They differ in at most so many hashes; as many balls thrown into the classes leave so many odd, give or take some deviations.
+    """
+    m = PARITIES
+    apart = F.floor(sizes * (100 - percent) / (100 + percent))
+    one, two = F.pow(F.lit(1 - 2 / m), apart), F.pow(F.lit(1 - 4 / m), apart)
+    variance = F.greatest(m / 4 * (1 - one * one) + m * (m - 1) / 4 * (two - one * one), F.lit(0.0))
+    return F.least(apart, m / 2 * (1 - one) + DEVIATIONS * F.sqrt(variance) + 1)
 
 
-def apart(a: str, b: str) -> Column:
+def apart(a: str, b: str, bits: int) -> Column:
     """Differing bits of two sketches."""
-    return reduce(add, (F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(BINS // 64)))
+    return reduce(add, (F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(bits // 64)))
 
 
 def profiles(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """``doc_id, n, key, fp, hs, sketch``: the size of every row's set, its digest, the text's SimHash, its buckets and bits."""
+    """``doc_id, n, key, fp, hs, sketch, odd``: the size of every row's set, its digest, the text's SimHash, its buckets and sketches."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_rows(batches):
-            sizes, keys, prints, buckets, bits = [], [], [], [], []
+            sizes, keys, prints, buckets, bits, odd = [], [], [], [], [], []
             for value in texts:
                 every = hashes(value, words)
                 ones = sum(np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64) for part in np.split(every, range(1 << 16, len(every), 1 << 16)))
@@ -100,12 +122,13 @@ def profiles(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
                 values = signature(own) if len(own) else None
                 buckets.append(None if values is None else bucket_keys(values))
                 bits.append(None if values is None else sketch(values))
+                odd.append(parities(own))
             longs = pa.list_(pa.int64())
-            columns = [pa.array(c, t) for c, t in zip((ids, sizes, keys, prints, buckets, bits), (pa.int64(), pa.int64(), pa.binary(), pa.int64(), longs, longs))]
-            yield pa.record_batch(columns, ["doc_id", "n", "key", "fp", "hs", "sketch"])
+            columns = [pa.array(c, t) for c, t in zip((ids, sizes, keys, prints, buckets, bits, odd), (pa.int64(), pa.int64(), pa.binary(), pa.int64(), longs, longs, longs))]
+            yield pa.record_batch(columns, ["doc_id", "n", "key", "fp", "hs", "sketch", "odd"])
 
     rows = df.select(F.col(id).cast("long"), F.col(text).cast("string"))
-    return rows.transform(mapped, compute, "doc_id long, n long, key binary, fp long, hs array<long>, sketch array<long>")
+    return rows.transform(mapped, compute, "doc_id long, n long, key binary, fp long, hs array<long>, sketch array<long>, odd array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -148,12 +171,12 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, links: DataFrame, close: DataFrame | None = None) -> DataFrame:
-    """``node, label``: the component of every node of ``nodes(node, n, hs, sketch)`` that is linked.
+    """``node, label``: the component of every node of ``nodes(node, n, hs, sketch, odd)`` that is linked.
 
     ``texts(node, t)`` are the texts of the table, ``links(a, b)`` hold anyway, ``close(a, b)`` are further candidates.
     """
     found = crowded(nodes)
-    rows = written(found.join(nodes.select("node", "sketch"), "node"), "buckets")
+    rows = written(found.join(nodes.select("node", "sketch", "odd"), "node"), "buckets")
     wanted = rows.select(F.col("node").alias("of"))
     if close is not None:
         wanted = wanted.union(close.select("a")).union(close.select("b"))
@@ -162,15 +185,16 @@ def components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, lin
     if close is not None:
         links = links.union(written(verified(close, known, words, percent), "links"))
     labels = connected(links)
-    near = (apart("sketch", "bits") <= most_apart(percent)) & (100 * F.least("n", "size") >= percent * F.greatest("n", "size"))
+    near = (100 * F.least("n", "size") >= percent * F.greatest("n", "size")) & (apart("sketch", "bits", BINS) <= most_apart(percent))
+    near = near & (apart("odd", "parity", PARITIES) <= most_odd(F.col("n") + F.col("size"), percent))
     bucket = Window.partitionBy("h")
     for turn in count():
-        rows = written(labelled(rows.select("h", "node", "n", "sketch"), labels), "rows")
+        rows = written(labelled(rows.select("h", "node", "n", "sketch", "odd"), labels), "rows")
         slot = F.pmod(F.xxhash64("label", F.lit(turn)), F.lit(MORE**turn))
         chosen = rows.groupBy("h", slot.alias("slot")).agg(F.min("node").alias("centre"), F.min("label").alias("low"), F.max("label").alias("high"))
         chosen = chosen.withColumn("mixed", F.min("low").over(bucket) < F.max("high").over(bucket)).where("mixed")
         chosen = rows.join(chosen.select("h", F.col("centre").alias("node")), ["h", "node"])
-        chosen = written(chosen.select("h", F.col("node").alias("centre"), F.col("n").alias("size"), F.col("sketch").alias("bits"), F.col("label").alias("own")), "centres")
+        chosen = written(chosen.select("h", F.col("node").alias("centre"), F.col("n").alias("size"), F.col("sketch").alias("bits"), F.col("odd").alias("parity"), F.col("label").alias("own")), "centres")
         if chosen.isEmpty():
             return labels
         pairs = rows.join(chosen, "h").where(near & (F.col("label") != F.col("own")))
@@ -207,7 +231,7 @@ def texts_of(df: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def resolved(rows: DataFrame, search: Callable[[DataFrame, DataFrame], DataFrame], blank: bool = False) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of ``rows(doc_id, n, key, hs, sketch)``; ``blank`` makes empty sets equal.
+    """``doc_id, n_shingles, component_id, kept`` of ``rows(doc_id, n, key, hs, sketch, odd)``; ``blank`` makes empty sets equal.
 
     ``search`` gives the components of the nodes, given those that share an id.  The node of a set is the
     smallest id that has it, so the least node of a component is its smallest id.

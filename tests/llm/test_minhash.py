@@ -123,6 +123,19 @@ def test_sketches_of_similar_sets_are_never_far_apart():
     assert differing(drawn.integers(0, 1 << 64, (2, 300), dtype=np.uint64)) > 180
 
 
+@pytest.mark.parametrize("size", [9, 90, 360, 900, 3600, 18000])
+def test_parities_of_similar_sets_are_never_far_apart(spark, size):
+    drawn = np.random.default_rng(size)
+    found = []
+    for _ in range(200):
+        both = drawn.integers(0, 1 << 64, 8 * size // 9, dtype=np.uint64)
+        sets = [np.append(both, drawn.integers(0, 1 << 64, size // 9, dtype=np.uint64)) for _ in range(2)]
+        a, b = (minhash.parities(s).view(np.uint64) for s in sets)
+        found.append(int(np.bitwise_count(a ^ b).sum()))
+    (most,) = spark.range(1).select(minhash.most_odd(F.lit(2 * size), 80)).first()
+    assert max(found) <= most <= max(found) * 1.35 + 1
+
+
 @pytest.mark.parametrize("size", [1, 3, 20, 90, 500])
 def test_bins_agree_as_often_as_sets_are_similar(size):
     drawn = np.random.default_rng(size)
