@@ -7,6 +7,8 @@ from logframe.operators import (
     bytes_over_time,
     bytes_rate,
     count_over_time,
+    detected_fields,
+    detected_patterns,
     label_names,
     label_values,
     merge_pages,
@@ -15,17 +17,23 @@ from logframe.operators import (
     rate,
     refine_logs,
     scan_logs,
+    scan_table,
     series,
 )
 from logframe.sources import (
     Attached,
     attach,
+    compact_logs,
+    indexed_series,
+    land_batch,
     parse_series,
     parse_streams,
     parse_string_array,
     payload_rejects,
     read_logs,
     read_payloads,
+    refresh_index,
+    refresh_text_index,
     write_logs,
 )
 
@@ -36,12 +44,17 @@ __all__ = [
     "attach",
     "bytes_over_time",
     "bytes_rate",
+    "compact_logs",
     "count_over_time",
+    "detected_fields",
+    "detected_patterns",
     "explicit_window",
+    "indexed_series",
     "label_column",
     "label_names",
     "label_values",
     "labels_key_of",
+    "land_batch",
     "log_table",
     "merge_pages",
     "merge_pages_limited",
@@ -54,7 +67,10 @@ __all__ = [
     "read_logs",
     "read_payloads",
     "refine_logs",
+    "refresh_index",
+    "refresh_text_index",
     "scan_logs",
+    "scan_table",
     "series",
     "time_filter",
     "write_logs",

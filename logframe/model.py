@@ -12,6 +12,7 @@ one per promoted label    STRING                  NULL where the stream lacks th
 ``labels``                MAP<STRING,STRING>      all labels of the stream
 ``structured_metadata``   MAP<STRING,STRING>      per entry, empty when absent
 ``labels_key``            STRING                  canonical JSON of ``labels``
+``stream_id`` (at rest)   BIGINT                  hash of ``labels_key``
 ========================  ======================  =====================================
 
 A label is promoted by giving it a top-level STRING column of its name.  Parquet
@@ -38,8 +39,9 @@ LINE = "line"
 LABELS = "labels"
 METADATA = "structured_metadata"
 LABELS_KEY = "labels_key"
+STREAM_ID = "stream_id"
 
-RESERVED_COLUMNS = (TENANT, DAY, TS_NS, TIMESTAMP, LINE, LABELS, METADATA, LABELS_KEY)
+RESERVED_COLUMNS = (TENANT, DAY, TS_NS, TIMESTAMP, LINE, LABELS, METADATA, LABELS_KEY, STREAM_ID)
 
 STRING_MAP = "map<string,string>"
 
@@ -64,6 +66,11 @@ def labels_key_of(df: DataFrame) -> Column:
     return F.col(LABELS_KEY) if LABELS_KEY in df.columns else canonical_map(F.col(LABELS))
 
 
+def stream_id_of(labels_key: Column) -> Column:
+    """The number that entries at rest carry for their label set."""
+    return F.xxhash64(labels_key)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -154,9 +161,11 @@ def _map_without_nulls(values: Mapping[str, Column]) -> Column:
 
 
 def with_layout_columns(df: DataFrame) -> DataFrame:
-    """Add ``day`` and ``labels_key`` where missing, as tables at rest carry them."""
+    """Add ``day``, ``labels_key`` and ``stream_id`` where missing, as tables at rest carry them."""
     if LABELS_KEY not in df.columns:
         df = df.withColumn(LABELS_KEY, canonical_map(F.col(LABELS)))
+    if STREAM_ID not in df.columns:
+        df = df.withColumn(STREAM_ID, stream_id_of(F.col(LABELS_KEY)))
     if DAY not in df.columns:
         df = df.withColumn(DAY, day_of(F.col(TS_NS)))
     return df

@@ -20,7 +20,7 @@ _ENTRY = "__entry"
 _KEY = [TS_NS, _ENTRY]
 
 
-def _digest(df: DataFrame) -> Column:
+def entry_digest(df: DataFrame) -> Column:
     """Labels and line of an entry; NULL differs from every text."""
     parts = [F.coalesce(F.concat(F.lit("="), part), F.lit("-")) for part in (labels_key_of(df), F.col(LINE))]
     return F.sha2(F.concat(F.length(parts[0]).cast("string"), *parts), 256)
@@ -41,7 +41,7 @@ def merge_pages(pages: DataFrame, page: str = "page_id") -> DataFrame:
     instants = pages.groupBy(F.col(TS_NS).alias("s_ts")).agg(F.min(name).alias("first"), F.max(name).alias("last"))
     instants = instants.where(~F.col("first").eqNullSafe(F.col("last"))).select("s_ts", F.lit(True).alias("__shared"))
     marked = pages.join(instants, F.col(TS_NS).eqNullSafe(F.col("s_ts")), "left").drop("s_ts")
-    tagged = marked.withColumn(_ENTRY, F.when(F.col("__shared"), _digest(pages)))
+    tagged = marked.withColumn(_ENTRY, F.when(F.col("__shared"), entry_digest(pages)))
 
     counted = tagged.where("__shared").groupBy(*_KEY, F.col(quoted(page)).alias("page")).agg(F.count("*").alias("copies"))
     copies = counted.select(*_KEY, F.struct("copies", "page").alias("held"))

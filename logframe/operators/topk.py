@@ -1,10 +1,12 @@
 """The newest (or oldest) n rows, exactly, by one plan for every size of input.
 
-* Rows are counted per time bucket, combined in the scan tasks; only the counts of at most
+* A table at rest is visited day by day from the newest in groups of growing size, until the days together hold
+  n rows of the selection.  These counts are jobs, run when the scan is built; the days beyond are never read.
+* Of what is left, rows are counted per time bucket, combined in the scan tasks; only the counts of at most
   some ten thousand buckets move.  The bucket in which the n-th row lies gives a cut-off instant, a
-  scalar subquery: the plan stays lazy, and at run time Spark pushes it into the Parquet
-  scan and its ``day`` partitions.
-* What lies past the cut-off is sorted in the scan tasks, and each keeps its first n rows.  It may
+  scalar subquery that Spark pushes into the Parquet scan at run time.  A table without days is not
+  counted but read once.
+* What is read is sorted in the scan tasks, and each keeps its first n rows.  It may
   still be much, when very many rows share one instant, so the kept rows of ``FAN_IN`` tasks are
   cut to n once more before the last merge.
 """
@@ -12,10 +14,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from logframe.functions.timebounds import Window, day_of, time_filter
+from logframe.functions.timebounds import NANOS_PER_DAY, Window, day_of, time_filter
 from logframe.model import DAY, LINE, METADATA, TS_NS, canonical_map, labels_key_of, quoted
 
 DIRECTIONS = ("backward", "forward")
@@ -24,6 +27,8 @@ DIRECTIONS = ("backward", "forward")
 BUCKET_BITS = 16
 OPEN_SHIFT = 42
 FAN_IN = 64
+#: The largest group of days that is counted by itself: beyond some years without enough rows all is read.
+MOST_DAYS = 1 << 11
 # Spark numbers the rows of a task in the lower 33 bits.
 _ROW_BITS = (1 << 33) - 1
 
@@ -59,7 +64,41 @@ def newest(
     backward = check_direction(direction) == "backward"
     check_limit(n)
     timed = in_window(df, window)
-    return first_rows(past_cut_off(timed, n, backward, window), n, backward, tie_breakers)
+    if DAY in df.columns:
+        timed = past_cut_off(days_with(timed, n, backward, window), n, backward, window)
+    return first_rows(timed, n, backward, tie_breakers)
+
+
+def days_with(df: DataFrame, n: int, backward: bool, window: Window = Window()) -> DataFrame:
+    """The days from the newest (or oldest) on that hold ``n`` rows together, or all.
+
+    Groups of 1, 2, 4, ... days are counted one after the other, from the end of the window that the direction names; without
+    that end nothing is left out.  Each group reads what the selection needs, and no text besides.
+    """
+    end = window.end_ns if backward else window.start_ns
+    if end is None:
+        return df
+    first = (end - 1 if backward else end) // NANOS_PER_DAY
+    other = window.start_ns if backward else window.end_ns
+    last = None if other is None else (other if backward else other - 1) // NANOS_PER_DAY
+    days, found, size = 0, 0, 1
+    sign = -1 if backward else 1
+    while size <= MOST_DAYS and (last is None or sign * (last - first) > days):
+        group = sorted((first + sign * days, first + sign * (days + size - 1)))
+        found += df.where(_day_between(*group)).count()
+        days, size = days + size, 2 * size
+        if found >= n:
+            edge = first + sign * (days - 1)
+            return df.where(F.col(DAY) >= _day(edge) if backward else F.col(DAY) <= _day(edge))
+    return df
+
+
+def _day(number: int) -> Column:
+    return F.lit(date(1970, 1, 1) + timedelta(days=number))
+
+
+def _day_between(low: int, high: int) -> Column:
+    return (F.col(DAY) >= _day(low)) & (F.col(DAY) <= _day(high))
 
 
 def in_window(df: DataFrame, window: Window) -> DataFrame:
@@ -106,10 +145,10 @@ def past_cut_off(
     if backward:
         limit = F.coalesce(first, F.lit(-(1 << 63)))
         past = df.where(F.col(TS_NS) >= limit)
-        return past.where(F.col(DAY) >= day_of(limit)) if DAY in df.columns else past
-    limit = F.coalesce(first + F.lit((1 << shift) - 1), F.lit((1 << 63) - 1))
-    past = df.where(F.col(TS_NS) <= limit)
-    return past.where(F.col(DAY) <= day_of(limit)) if DAY in df.columns else past
+        return past.where(F.col(DAY) >= F.coalesce(day_of(first), F.lit("0001-01-01").cast("date"))) if DAY in df.columns else past
+    last = first + F.lit((1 << shift) - 1)
+    past = df.where(F.col(TS_NS) <= F.coalesce(last, F.lit((1 << 63) - 1)))
+    return past.where(F.col(DAY) <= F.coalesce(day_of(last), F.lit("9999-12-31").cast("date"))) if DAY in df.columns else past
 
 
 def _shift(window: Window) -> int:

@@ -28,6 +28,7 @@ from logframe.model import (
     quoted,
 )
 from logframe.operators.discover import label_names, series_of
+from logframe.sources.series_index import has_index, indexed_series
 from logframe.sources.tables import read_logs
 
 DEFAULT_TENANT = "public"
@@ -83,7 +84,8 @@ def attach(
 
     ``labels`` pins the promoted columns, an empty list promotes none; left out, one
     job finds the names present, for all tenants.  ``tenants`` gives one set of views per
-    entry.  ``start``/``end`` bound all views.
+    entry.  ``start``/``end`` bound all views.  For a path whose table has a side table of label sets the
+    names and the views of labels and series come from that, as it is at that moment; attach again to refresh them.
     """
     df = read_logs(spark, source) if isinstance(source, str) else source
     wanted = string_list(tenants)
@@ -92,12 +94,15 @@ def attach(
     predicate = time_filter(explicit_window(start, end, now), df)
     bounded = df if predicate is None else df.where(predicate)
     attached = Attached(alias, {})
-    found = _discovered(bounded, wanted) if labels is None else {}
+    known = bounded
+    if isinstance(source, str) and has_index(spark, source):
+        known = indexed_series(spark, source, start=start, end=end, now=now, tenants=wanted)
+    found = _discovered(known, wanted) if labels is None else {}
     for tenant in wanted or [DEFAULT_TENANT]:
         # Always a filter: Spark refuses to insert into a view that is not a bare table.
         own = bounded.where(F.col(TENANT) == tenant) if wanted else bounded.where(F.col(TS_NS).isNotNull())
         attached.labels[tenant] = check_label_names(found[tenant] if labels is None else string_list(labels))
-        _register(own, attached, tenant)
+        _register(own, own if known is bounded else known.where(F.col(TENANT) == tenant) if wanted else known, attached, tenant)
     return attached
 
 
@@ -112,11 +117,11 @@ def _discovered(df: DataFrame, tenants: list[str]) -> dict[str, list[str]]:
     return {tenant: sorted(labels) for tenant, labels in found.items()}
 
 
-def _register(df: DataFrame, attached: Attached, tenant: str) -> None:
+def _register(df: DataFrame, known: DataFrame, attached: Attached, tenant: str) -> None:
     names = attached.labels[tenant]
     columns = [promoted(label_column(df, name), name) for name in names]
     time_columns = [TIMESTAMP, TS_NS, *([DAY] if DAY in df.columns else [])]
     logs = df.select(*time_columns, LINE, *columns, LABELS, METADATA)
     logs.createOrReplaceTempView(attached.view_name("logs", tenant))
-    label_names(df).createOrReplaceTempView(attached.view_name("labels", tenant))
-    series_of(df, names).createOrReplaceTempView(attached.view_name("series", tenant))
+    label_names(known).createOrReplaceTempView(attached.view_name("labels", tenant))
+    series_of(known, names).createOrReplaceTempView(attached.view_name("series", tenant))

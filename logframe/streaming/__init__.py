@@ -1,5 +1,6 @@
-"""Log tables as streams: landing captured payloads, and following a table with the same predicates."""
+"""Structured Streaming: landing captured payloads, following a log table, merging pages as they arrive."""
 
-from logframe.streaming.ingest import ingest_payloads, log_stream, payload_stream
+from logframe.streaming.ingest import ingest_payloads, log_stream, payload_stream, tail_logs
+from logframe.streaming.pages import merge_pages_stream
 
-__all__ = ["ingest_payloads", "log_stream", "payload_stream"]
+__all__ = ["ingest_payloads", "log_stream", "merge_pages_stream", "payload_stream", "tail_logs"]
