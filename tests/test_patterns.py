@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from logframe import detected_fields, detected_patterns
+from tests.conftest import BASE_NS, SECOND
+
+ALL = [("job", "=~", ".+")]
+WHOLE = {"start": 0, "end": 2**62}
+
+
+def plain_patterns(lines, depth, most):
+    """A tree walked level by level, in memory."""
+    tokens = [tuple(re.sub("[A-Za-z_]*[0-9][A-Za-z0-9_]*", "<_>", line).split(" ")) for line in lines]
+    for level in range(depth):
+        children = defaultdict(set)
+        for t in tokens:
+            if len(t) > level:
+                children[len(t), t[:level]].add(t[level])
+        tokens = [t[:level] + ("<_>",) + t[level + 1 :] if len(t) > level and len(children[len(t), t[:level]]) > most else t for t in tokens]
+    return Counter(" ".join(t) for t in tokens)
+
+
+@pytest.mark.parametrize("depth, most", [(0, 0), (1, 2), (3, 2), (6, 4), (6, 0), (4, 40)])
+def test_patterns_equal_a_tree_in_memory(logs, depth, most):
+    drawn = random.Random(depth)
+    words = ["get", "put", "user", "failed", "ok", "é", "", "retry"]
+    lines = [" ".join([drawn.choice(words), f"id={drawn.randrange(99)}", drawn.choice(words + [f"n{k}" for k in range(5)])][: drawn.randrange(1, 4)] + [drawn.choice(words)] * drawn.randrange(3)) for _ in range(300)]
+    lines += ["", " ", "0xff and 12.5.7 a1b2", "no variable here"]
+    got = detected_patterns(logs([(BASE_NS + k, line, {"job": "a"}) for k, line in enumerate(lines)]), ALL, depth=depth, most=most, **WHOLE)
+    rows = got.collect()
+    assert Counter({r.pattern: r.entries for r in rows}) == plain_patterns(lines, depth, most)
+    assert len({r.pattern for r in rows}) == len(rows) and min(r.first_ns for r in rows) == BASE_NS and max(r.last_ns for r in rows) == BASE_NS + len(lines) - 1
+
+
+def test_patterns_by_label_and_line_filter(logs):
+    rows = [(BASE_NS + k * SECOND, f"sent {k} letters", {"job": "mail" if k % 2 else "shop"}) for k in range(10)] + [(BASE_NS, "queue empty", {"job": "mail"})]
+    got = detected_patterns(logs(rows), '{job=~".+"} |= "letters"', by=["job"], **WHOLE)
+    assert {(r.job, r.pattern, r.entries, r.last_ns) for r in got.collect()} == {("mail", "sent <_> letters", 5, BASE_NS + 9 * SECOND), ("shop", "sent <_> letters", 5, BASE_NS + 8 * SECOND)}
+    assert detected_patterns(logs(rows), [("job", "=", "none")], **WHOLE).count() == 0
+    for bad in ({"depth": -1}, {"most": 1.5}, {"by": ["line"]}):
+        with pytest.raises(ValueError):
+            detected_patterns(logs(rows), ALL, **bad)
+
+
+def test_fields(logs):
+    lines = ['a=1 b="x y" c=true {d=1.5,e=}', "a=-2 b=z c=false (d=2)", "a=3 a=3 x=1e5 no_field 9=8 f.g-h=q", "url=http://h/p?k=v"]
+    got = detected_fields(logs([(BASE_NS + k, line, {"job": "a"}) for k, line in enumerate(lines)]), ALL, **WHOLE)
+    assert {(r.field, r.kind, r.entries, r.distinct_values) for r in got.collect()} == {
+        ("a", "int", 4, 3), ("b", "string", 2, 2), ("c", "boolean", 2, 2), ("d", "float", 2, 2), ("e", "string", 1, 1),
+        ("x", "float", 1, 1), ("f.g-h", "string", 1, 1), ("url", "string", 1, 1),
+    }
