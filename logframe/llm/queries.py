@@ -59,7 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def license_sql() -> str:
-    """The licence scan by comparing every line with every template."""
+    """The licence scan by comparing every block of words with every template."""
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     places = " || ".join(
         "list_transform(list_filter(range(0, len(ws)), lambda i: "
@@ -67,14 +67,15 @@ def license_sql() -> str:
         + f"), lambda i: {{'at': i, 'label': '{label}'}})"
         for phrase, label in licenses.PHRASES
     )
-    templates = ", ".join(f"({licenses.template_words(t)}, '{label}')" for t, label in licenses.TEMPLATES)
+    templates = ", ".join(f"({t.words}, {t.needed}, {t.block}, {'NULL' if t.name is None else repr(t.name)}, '{t.label}')" for t in licenses.as_sets())
     return f"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
-w AS (SELECT k, doc_id, low, regexp_extract_all(low, '{pattern}') AS ws FROM d),
+w AS (SELECT k, doc_id, regexp_extract_all(low, '{pattern}') AS ws FROM d),
 p AS (SELECT k, doc_id, len(ws) AS n_words, {places} AS places FROM w),
-t(tw, label) AS (VALUES {templates}),
-b AS (SELECT k, regexp_extract_all(unnest(string_split_regex(low, '[\\n\\r]')), '{pattern}') AS bw FROM d),
-m AS (SELECT k, label, len(list_intersect(tw, bw)) / len(tw) AS share FROM b, t WHERE len(list_intersect(tw, bw)) >= ceil(0.8 * len(tw) - 1e-9)),
+t(tw, a, block, name, label) AS (VALUES {templates}),
+c AS (SELECT k, ws, t.*, unnest(range(0, len(ws))) AS i FROM w JOIN t ON len(list_intersect(tw, ws)) >= a),
+b AS (SELECT k, label, tw, a, name, ws[i + 1:i + block] AS bw FROM c WHERE list_contains(tw, ws[i + 1])),
+m AS (SELECT k, label, len(list_intersect(tw, bw)) / len(tw) AS share FROM b WHERE len(list_intersect(tw, bw)) >= a AND (name IS NULL OR list_contains(bw, name))),
 g AS (SELECT k, list(DISTINCT label) AS of_templates, max(share) AS share FROM m GROUP BY k),
 j AS (SELECT *, list_transform(places, lambda x: x.at) AS ats, list_distinct(list_transform(places, lambda x: x.label)) AS base FROM p LEFT JOIN g USING (k))
 SELECT doc_id, n_words, len(places) AS n_base, list_min(ats) AS first_word, list_max(ats) AS last_word,

@@ -269,12 +269,14 @@ def brute_labels(text):
         p = phrase.split()
         base += [(i, label) for i in range(len(words)) if words[i : i + len(p)] == p]
     best = {}
-    for line in re.split("[\n\r]", low):
-        have = set(find(line))
-        for template, label in licenses.TEMPLATES:
-            want = set(licenses.template_words(template))
+    for template, label in licenses.TEMPLATES:
+        length, want = len(find(template.lower())), set(find(template.lower()))
+        few = len(want) < licenses.NAMED
+        for i in range(len(words)):
+            have = set(words[i : i + (length if few else -(-5 * length // 4))])
             share = len(want & have) / len(want)
-            if share >= 0.8 - 1e-9:
+            named = not few or licenses.NAMES.get(label, "") in have | {""}
+            if share >= 0.8 - 1e-9 and named:
                 best[label] = max(share, best.get(label, 0))
     at = [i for i, _ in base]
     of_base = sorted({v for _, v in base})
@@ -299,6 +301,36 @@ def test_licenses_against_brute_force(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+WRAPPED = {
+    "mit": "/*\n * Permission is hereby granted, free of charge, to any person obtaining\n * a copy of this software and associated documentation\n * files (the \"Software\"), to deal in the Software",
+    "bsd": "# Redistribution and use in source and binary forms, with or\n# without modification, are permitted provided that the following\n# conditions are met:",
+    "gpl": "This program is free software: you can redistribute it and/or\r\nmodify it under the terms of the GNU General\r\nPublic License as published",
+    "apache-2.0": "Licensed under the Apache\n License, Version 2.0 (the \"License\"); you\n may not use this file except in\n compliance with the License.",
+}
+
+
+def test_wrapped_headers_are_found_and_scattered_words_are_not(spark):
+    false = [
+        "software is not released under the apache licence",
+        "the mit people were released and under no license apache said version of 2 others was 0 licensed to them",
+        " ".join(prose(5, 200) + f" {w}" for w in template_order("Released under the MIT License")) * 5,
+        "released under the new license",
+    ]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan(docs(spark, [*WRAPPED.values(), *false])).collect()}
+    assert all(label in got[k] for k, label in enumerate(WRAPPED))
+    assert all(got[k] == [""] for k in range(len(WRAPPED), len(got)))
+
+
+def template_order(text):
+    return text.lower().split()
+
+
+def test_a_word_repeated_very_often_is_no_burden(spark):
+    text = "mit " * 60_000 + "Released under the MIT License " + "mit the " * 20_000
+    (row,) = licenses.scan(docs(spark, [text])).collect()
+    assert (row.n_words, row.labels, row.n_base, row.first_word) == (100_005, "mit", 1, 60_003)
+
+
 def test_native_operators_run_no_python(spark):
     table = docs(spark, ["mit license", "b"])
     for df in (licenses.scan(table), sharding.shard(table)):
