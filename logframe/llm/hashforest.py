@@ -93,7 +93,7 @@ def neighbours(df: DataFrame, id: str = "vec_id", vector: str = "embedding", eve
 
     ``score`` is the Euclidean distance of the original vectors in double precision; ties go to the smaller
     id.  Every row is indexed.  Rows without an id and vectors that are null, empty, all zero, or hold null or
-    non-finite components take no part.  Of rows that repeat an id the one with the smallest vector stands
-    for all.  Fewer than ``k`` other rows give fewer results, and an empty table none.
+    non-finite components take no part.  Rows equal in id and vector are one; rows of one id with different
+    vectors are all candidates, and as queries they are asked together.  Fewer than ``k`` other rows give fewer results, and an empty table none.
     """
     return search(df, id, vector, every, k, False, "double", False, Forest, find)

@@ -54,7 +54,8 @@ def search(
 
     Queries are the rows whose id is divisible by ``every``.  ``build(ids, matrix)`` makes a tile's index
     and ``find(index, query ids, query matrix, k)`` gives each query's best ids and scores in it, without
-    the query's own row.  Vectors are compared with those of the same length.
+    rows of the query's own id.  Vectors are compared with those of the same length.  Rows equal in id and vector
+    are one; rows of one id with different vectors are all candidates, and as queries they are asked together.
     """
     spark = df.sparkSession
     rows = df.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v") if "array<float>" != dict(df.dtypes)[vector] else F.col(vector).alias("v"))
@@ -81,15 +82,13 @@ def search(
                 part = batch.slice(a, b - a)
                 if tile_of[a] != tile:
                     tile, held, index, last = tile_of[a], [], None, None
-                ids = part.column(2).to_numpy()
-                fresh = np.append(True, ids[1:] != ids[:-1]) & (ids != last if last is not None else True)
-                last = ids[-1]
                 if side[a] == 0:
+                    fresh, last = unlike(part, last)
                     held.append(part.filter(pa.array(fresh)))
                     continue
                 if index is None:
-                    index, last = indexed(held, build), ids[-1]
-                    held, fresh = [], np.append(True, ids[1:] != ids[:-1])
+                    index, held, last = indexed(held, build), [], None
+                fresh, last = unlike(part, last)
                 part = part.filter(pa.array(fresh))
                 keys, found = [], []
                 for rows, m in matrices(part.column(3)):
@@ -113,6 +112,16 @@ def search(
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "t.vec_id", "t.score")
 
 
+def unlike(part: pa.RecordBatch, last: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Which rows of a sorted part differ from the row before in id or vector, and its last row."""
+    ids, vectors = part.column(2).to_numpy(), part.column(3)
+    fresh = np.append(True, ids[1:] != ids[:-1])
+    fresh[0] = last is None or last[0] != ids[0] or last[1] != vectors[0].as_py()
+    for i in np.flatnonzero(~fresh[1:]) + 1:  # rows that repeat an id
+        fresh[i] = vectors[int(i)].as_py() != vectors[int(i) - 1].as_py()
+    return fresh, (ids[-1], vectors[-1].as_py())
+
+
 def indexed(held: list[pa.RecordBatch], build) -> dict[int, object]:
     """A tile's index by vector length."""
     parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}

@@ -509,6 +509,29 @@ def test_products_against_brute_force(spark):
     assert [(r.vec_id, r.score) for r in huge] == [(1, products.LIMIT), (2, -products.LIMIT - 1)]
 
 
+def test_rows_that_share_an_id_all_take_part(spark):
+    drawn = random.Random(8)
+    rows = [(k % 150, [drawn.randrange(-9, 9) / 8, drawn.randrange(-9, 9) / 8, drawn.randrange(1, 9) / 8]) for k in range(400)]
+    rows += rows[:60]
+    distinct = sorted({(k, tuple(v)) for k, v in rows})
+    scaled = [(k, [int(np.floor(1024 * x)) for x in v]) for k, v in distinct]
+    want, near = [], []
+    for q in (0, 100):
+        scored = sorted((-sum(a * b for a, b in zip(u, v)), k) for i, u in scaled if i == q for k, v in scaled if k != q)[:10]
+        want += [(q, r, k, -s) for r, (s, k) in enumerate(scored, 1)]
+        apart = sorted((float(np.sqrt(np.square(np.subtract(u, v)).sum())), k) for i, u in distinct if i == q for k, v in distinct if k != q)[:10]
+        near += [(q, r, d) for r, (d, _) in enumerate(apart, 1)]
+    assert sorted(tuple(r) for r in products.top_products(embeddings(spark, rows)).collect()) == want
+    got = sorted((r.query_id, r["rank"], r.score) for r in hashforest.neighbours(embeddings(spark, rows)).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in near] and all(a[2] >= b[2] - 1e-12 for a, b in zip(got, near))
+
+
+def test_products_of_the_largest_numbers(spark):
+    rows = [(0, [1e306, 1.0]), (1, [1.7e308, 2.0]), (2, [-1e306, 0.5]), (3, [0.0, 7.0]), (4, [5e-324, 3.0])]
+    got = [(r.vec_id, r.score) for r in products.top_products(embeddings(spark, rows, "double")).collect()]
+    assert got == [(1, products.LIMIT), (3, 7 * 1024 * 1024), (4, 3 * 1024 * 1024), (2, -products.LIMIT - 1)]
+
+
 def test_neighbours_are_near_and_exactly_measured(spark):
     rows = vector_rows(900, 16, 2)
     valid = {k: np.array(v) for k, v in usable(rows, False).items()}
