@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from logframe.llm.common import lower_ascii, written
+from logframe.llm.common import lower_ascii, ranked, written
 
 FANOUT = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -43,22 +43,6 @@ def tree_of(group: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
 
 
-def ranked(df: DataFrame, *order: str) -> DataFrame:
-    """``df`` with ``rank``, from 0 within its ``tree`` in the given order, and ``count``, the tree's rows.
-
-    Rows are sorted by ranges, so a tree of any size is dealt over many tasks; a row's rank is its
-    place among its tree's rows in its task and the number of those in tasks before.
-    """
-    dealt = df.repartitionByRange("tree", *order).sortWithinPartitions("tree", *order)
-    dealt = dealt.withColumn("task", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
-    dealt = written(dealt, "ordered")
-    parts = dealt.groupBy("tree", "task").agg(F.min("at").alias("first"), F.count("*").alias("n"))
-    tree = Window.partitionBy("tree")
-    before = F.coalesce(F.sum("n").over(tree.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.select("tree", "task", (before - F.col("first")).alias("shift"), F.sum("n").over(tree).alias("count"))
-    return dealt.join(parts, ["tree", "task"]).withColumn("rank", F.col("at") + F.col("shift")).drop("at", "task", "shift")
-
-
 def grow(nodes: DataFrame) -> tuple[DataFrame | None, DataFrame]:
     """Records ``digest, children`` of the trees over ``nodes(tree, rank, count, digest)``, and their tops.
 

@@ -11,13 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from logframe.llm.common import written
+from logframe.llm.common import ranked, written
 
 CELLS = 4096
-#: Bits of an id within a block of numbered rows, and within a group of blocks.
-BLOCK, SUPER = 10, 20
 
 
 @dataclass(frozen=True)
@@ -121,9 +119,9 @@ def capacity_and_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
 def shard(df: DataFrame, shards: int = 16, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Put every row of ``df`` into a shard: ``doc_id, size, text_crc32, shard, slot``.
 
-    ``size`` is the text's UTF-8 bytes plus 1.  Rows of equal texts stay together, and so do rows that
-    share an id.  The largest shard is as small as contiguous shards of such groups can be.  Slots
-    number a shard's rows by id, from 0 without a gap.  A null text has size 1, the check sum
+    ``size`` is the text's UTF-8 bytes plus 1.  Rows of equal texts stay together, rows that share an id only if
+    their texts are equal.  The largest shard is as small as contiguous shards of such groups can be.  Slots
+    number a shard's rows by id, from 0 without a gap, dealt by ranges whatever the ids are like.  A null text has size 1, the check sum
     of no bytes, and is not equal to the empty text; a row without an id counts as id -1.  Fewer groups
     than shards leave shards empty, and an empty table gives no rows.  Only id and text are read.
     """
@@ -143,17 +141,7 @@ def shard(df: DataFrame, shards: int = 16, id: str = "doc_id", text: str = "text
     _, cuts = capacity_and_cuts(groups.select("key", "total"), shards)
     at = sum((F.when(F.col("key") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
     of = groups.select(F.col("digest").alias("of"), at.cast("int").alias("shard"))
-    dealt = base.join(of, base.digest == of.of).select("doc_id", "size", "text_crc32", "shard", key.alias("key"))
-    dealt = written(dealt.withColumn("block", F.shiftright("key", BLOCK)), "dealt")
-
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = dealt.groupBy("shard", "block").agg(F.count("*").alias("n"))
-    blocks = written(blocks.withColumn("super", F.shiftright("block", SUPER - BLOCK)), "blocks")
-    supers = blocks.groupBy("shard", "super").agg(F.sum("n").alias("n"))
-    supers = supers.select("shard", "super", F.coalesce(F.sum("n").over(before.partitionBy("shard").orderBy("super")), F.lit(0)).alias("base"))
-    inner = F.coalesce(F.sum("n").over(before.partitionBy("shard", "super").orderBy("block")), F.lit(0))
-    starts = blocks.withColumn("inner", inner).join(supers, ["shard", "super"])
-    starts = written(starts.select("shard", "block", (F.col("base") + F.col("inner")).alias("start")), "starts")
-    nth = F.row_number().over(Window.partitionBy("shard", "block").orderBy("key", "text_crc32"))
-    numbered = dealt.join(starts, ["shard", "block"]).withColumn("slot", F.col("start") + nth - 1)
-    return numbered.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
+    dealt = base.join(of, base.digest == of.of).select("doc_id", "size", "text_crc32", F.col("shard").alias("tree"), key.alias("key"))
+    # Rows that nothing tells apart are parted by the task they come from.
+    numbered = ranked(dealt.withColumn("spread", F.spark_partition_id()), "key", "text_crc32", "spread")
+    return numbered.select("doc_id", "size", "text_crc32", F.col("tree").alias("shard"), F.col("rank").alias("slot"))

@@ -34,6 +34,8 @@ from logframe.llm.common import mapped, shared_path, written
 
 #: Lines of a compressed index block.
 BLOCK = 512
+#: Lines of an index file; bytes of records, or captures, that one task looks up.
+FILE_LINES, TASK_BYTES, TASK_LINES = 1 << 20, 256 << 20, 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 #: At the end of an index file: where its directory begins, and the directory's bytes.
 PLACE = "<QQ"
@@ -180,6 +182,11 @@ def write_archives(df: DataFrame, id: str = "page_id", url: str = "url", payload
     return written(rows.transform(mapped, write, "page_id long, key string, file string, at long, size long"), "captures")
 
 
+def tasks_for(df: DataFrame, load: Column, most: int) -> int:
+    """Tasks for some load, one for every core at least: what index rows take themselves says little of it."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-(df.agg(load).first()[0] or 0) // most))
+
+
 def write_index(captures: DataFrame) -> list[tuple[str, int, str]]:
     """Sort ``captures`` into index files; the upper level: first key and id, and path of every file, in order."""
     folder = shared_path(captures.sparkSession, "index")
@@ -209,7 +216,7 @@ def write_index(captures: DataFrame) -> list[tuple[str, int, str]]:
             yield pa.record_batch([pa.array([first[0][0]]), pa.array([first[0][1]], pa.int64()), pa.array([out.path])], ["key", "page_id", "path"])
         out.close()
 
-    ordered = captures.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    ordered = captures.repartitionByRange(tasks_for(captures, F.count("*"), FILE_LINES), "key", "page_id").sortWithinPartitions("key", "page_id")
     files = written(ordered.transform(mapped, write, "key string, page_id long, path string"), "files")
     found = [(r.key, r.page_id, r.path) for r in files.collect()]  # one row per index task
     return sorted(found, key=lambda r: sort_key(r[0], r[1]))
@@ -223,6 +230,7 @@ def sort_key(key: str, page: int | None) -> tuple[bytes, int]:
 def look_up(files: list[tuple[str, int, str]], wanted: DataFrame) -> DataFrame:
     """Read the captures ``wanted(page_id, key)`` back through the index; a capture that is not there gives no row.
 
+    With a column ``size``, the bytes of a capture's record, the work is dealt by bytes, else by captures.
     Returns ``page_id, payload_bytes, payload_digest, record_type, refers_to, payload``.
     """
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -274,7 +282,8 @@ def look_up(files: list[tuple[str, int, str]], wanted: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     # neighbours in the index are asked for together; ids part the captures of a common URL
-    dealt = wanted.select("page_id", "key").distinct().repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    tasks = tasks_for(wanted, F.sum("size"), TASK_BYTES) if "size" in wanted.columns else tasks_for(wanted, F.count("*"), TASK_LINES)
+    dealt = wanted.select("page_id", "key").distinct().repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
     return dealt.transform(mapped, read, schema)
 
 

@@ -201,6 +201,17 @@ def test_look_up_over_several_blocks_and_files(spark):
     assert warc.write_index(warc.write_archives(pages.limit(0))) == []
 
 
+def test_archives_are_looked_up_by_several_tasks(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    captures = warc.write_archives(pages)
+    files = warc.write_index(captures)
+    assert len(files) >= 4 and [f[:2] for f in files] == sorted((f[:2] for f in files), key=lambda f: warc.sort_key(*f))
+    found = warc.look_up(files, captures)
+    rows = found.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(rows) >= 4 and sum(r["count"] for r in rows) == pages.count() and max(r["count"] for r in rows) < pages.count() / 2
+    assert warc.tasks_for(captures, F.sum("size"), 1000) > warc.tasks_for(captures, F.sum("size"), 1 << 40) == spark.sparkContext.defaultParallelism
+
+
 def test_url_key(spark):
     urls = ["http://www.A.example.org:8080/X?b=1#t", "https://b.org", "", None, "ftp://u.de/ a"]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(warc.url_key(F.col("u"))).collect()]
@@ -256,6 +267,25 @@ def test_shards_keep_groups_and_number_rows(spark):
     assert sharding.shard(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["hashed", "null", "same"])
+def test_slots_do_not_depend_on_the_ids(spark, kind):
+    n = 60_000
+    doc_id = {"hashed": F.xxhash64("id"), "null": F.lit(None).cast("long"), "same": F.lit(7).cast("long")}[kind]
+    table = spark.range(0, n, 1, 8).select(doc_id.alias("doc_id"), F.lit("a").alias("text") if kind == "same" else F.concat(F.lit("t"), F.col("id") % 5000).alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be put together
+    try:
+        found = common.written(sharding.shard(table, 4).withColumn("task", F.spark_partition_id()), "slots")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spread = found.groupBy("task").count().collect()
+    slots = found.groupBy("shard").agg(F.min("slot").alias("low"), F.max("slot").alias("high"), F.count("*").alias("n"), F.countDistinct("slot").alias("d")).collect()
+    assert sum(r.n for r in slots) == n and all((r.low, r.high + 1) == (0, r.n) and r.d == r.n for r in slots)
+    assert len(spread) >= 4 and max(r["count"] for r in spread) < n / 2
+    if kind == "hashed":
+        order = found.where("doc_id IS NOT NULL").selectExpr("shard", "slot", "lag(doc_id) OVER (PARTITION BY shard ORDER BY slot) < doc_id AS up")
+        assert order.where("NOT up").count() == 0
+
+
 # --- licenses
 
 
