@@ -2,9 +2,9 @@
 
 A gear rolling hash over the last ``WINDOW`` bytes decides where a text is cut: of every ``CHOICE`` words in a row
 the one with the best hash begins a chunk, so cuts depend on the content around them alone, move with it, and every
-stretch of ``LEAST_WORDS`` words holds a whole chunk.  Chunks are dealt by digest, and each learns an
-earlier document that has it.  Chunks in a row that one earlier document has in the same row are a passage
-as they are.  What a passage has beyond its whole chunks, and passages put together from several documents, are found
+stretch of ``LEAST_WORDS`` words determines ``GRAM`` whole chunks in a row.  So many neighbouring chunks, a single one being
+too common, are dealt by their digest and learn an earlier document that has them.  Chunks in a row that one earlier document has
+in the same row are a passage as they are.  What a passage has beyond its whole chunks, and passages put together from several documents, are found
 by windows of ``LEAST_WORDS`` words: such a window is looked up by digest if the chunks that it determines are shared
 and no row of chunks holds it.  A window inside such a row is not looked up: an earlier document has it.
 """
@@ -26,7 +26,9 @@ WINDOW = 16
 #: A cut is liked best where these bits are zero: every 16th byte. Bit 15 needs all of the window.
 MASK = np.uint32(0xF000)
 #: Of so many words in a row one begins a chunk.
-CHOICE = 10
+CHOICE = 9
+#: Neighbouring chunks that are digested together.
+GRAM = 2
 #: Longest chunk in bytes; longer ones, of very long words, are cut at this distance.
 LONGEST = 512
 #: Least words of a passage.
@@ -121,7 +123,7 @@ def text_digest(data: bytes) -> int:
 
 
 def split(df: DataFrame, id: str, text: str, least: int) -> DataFrame:
-    """``digest, doc_id, text_key, at`` of every chunk of the texts that have ``least`` words, ``at`` its number."""
+    """``digest, doc_id, text_key, at`` of ``GRAM`` neighbouring chunks of the texts that have ``least`` words, ``at`` the first one's number."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -135,8 +137,8 @@ def split(df: DataFrame, id: str, text: str, least: int) -> DataFrame:
                 if len(parts.start) < least:
                     continue
                 view, border = memoryview(data), parts.border.tolist()
-                digests.append(np.array([digest(view[a:b]) for a, b in zip(border, border[1:])], np.uint64).view(np.int64))
-                size = len(border) - 1
+                digests.append(np.array([digest(view[a:b]) for a, b in zip(border, border[GRAM:])], np.uint64).view(np.int64))
+                size = len(digests[-1])
                 keys.append(np.full(size, key, np.int64))
                 names.append(np.full(size, text_digest(data), np.int64))
                 places.append(np.arange(size, dtype=np.int32))
@@ -148,7 +150,7 @@ def split(df: DataFrame, id: str, text: str, least: int) -> DataFrame:
 
 
 def holders(rows: DataFrame) -> DataFrame:
-    """The chunks that several documents have, each with the place of an earlier document's: -1 if there is none.
+    """The chunks (with their neighbours) that several documents have, each with the place of an earlier document's: -1 if there is none.
 
     Rows are dealt by ranges of digest and document, so that a chunk of very many documents is dealt over several tasks.
     A task takes its first and its last digest for shared, as those may go on in another, and the first holder that it sees itself.
@@ -199,7 +201,7 @@ def rows_of_chunks(parts: Layout, at: np.ndarray, src_id: np.ndarray, src_key: n
     begin = np.flatnonzero(np.append(True, ~goes_on)) if len(at) else np.zeros(0, np.int64)
     last = np.append(begin[1:], len(at)) - 1
     first_word = np.searchsorted(parts.start, parts.border[at[begin]])
-    last_word = np.searchsorted(parts.end, parts.border[at[last] + 1], "right") - 1
+    last_word = np.searchsorted(parts.end, parts.border[at[last] + GRAM], "right") - 1
     good = (src_at[begin] >= 0) & (last_word - first_word + 1 >= least)
     return first_word[good], last_word[good], src_id[begin][good]
 
@@ -209,8 +211,8 @@ def windows_of(parts: Layout, at: np.ndarray, least: int) -> np.ndarray:
 
     A window determines a chunk if the words that decide on its ends, and the bytes that their hashes see, lie inside.
     """
-    n, chunks = len(parts.start), len(parts.border) - 1
-    before, after = np.searchsorted(parts.start[parts.cut], parts.border[:-1], "right") - 1, np.searchsorted(parts.start[parts.cut], parts.border[1:])
+    n, chunks = len(parts.start), max(len(parts.border) - GRAM, 0)
+    before, after = np.searchsorted(parts.start[parts.cut], parts.border[:chunks], "right") - 1, np.searchsorted(parts.start[parts.cut], parts.border[GRAM:])
     low, high = np.full(chunks, -1), np.full(chunks, n + least)
     if len(parts.cut):
         word = parts.cut[np.maximum(before, 0)] - CHOICE + 1

@@ -25,9 +25,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logframe.llm.common import mapped, text_rows, written
+from logframe.llm.common import LOWER_ASCII, mapped, text_rows, written
 from logframe.llm.components import connected
-from logframe.llm.simhash import SEED, shingles
+from logframe.llm.simhash import SEED
 
 BANDS, ROWS, BINS = 24, 4, 512
 PARITIES = 1024
@@ -42,13 +42,43 @@ WALKS = np.array([_drawn.permutation(BINS) for _ in range(BINS)])
 PLACES = WALKS.argsort(1)
 #: The least hash of every bin.
 EDGES = np.array([(b << 64) // BINS for b in range(BINS)], np.uint64)
+#: Odd, so that no hash of a word is lost.
+PLACE = np.uint64(0x9E3779B97F4A7C15)
+#: Hashes of words that a Python worker keeps.
+MOST_WORDS = 1 << 19
 FACTORS = _drawn.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+class WordHashes(dict):
+    """The hashes of words, each computed when it is first met."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, SEED)
+        return found
+
+
+_words = WordHashes()
+
+
 def hashes(text: str | None, words: int) -> np.ndarray:
-    """The hashes of a text's shingles in order, repeats included."""
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(s, SEED) for s in shingles(text, words)], np.uint64)
+    """The hashes of a text's shingles of lower-cased words in order, repeats included; fewer words are one shingle.
+
+    A shingle's hash is made of those of its words and their places, so that every word is hashed once.
+    """
+    tokens = text.encode().translate(LOWER_ASCII).split() if text else []  # at the six ASCII blanks alone
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    of_words = np.fromiter(map(_words.__getitem__, tokens), np.uint64, len(tokens))
+    size = min(words, len(tokens))
+    last = len(tokens) - size + 1
+    h = np.full(last, size, np.uint64)
+    for k in range(size):
+        h = (h + of_words[k : k + last]) * PLACE
+        h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(32)
 
 
 def signature(own: np.ndarray) -> np.ndarray:

@@ -86,3 +86,56 @@ def test_two_texts_under_one_id(spark):
     assert sorted(r.text for r in chunks.drop_repeats(table).where("doc_id = 5").collect()) == sorted(["b ", other, other])
     one = spark.createDataFrame([("é x",)], "t string").select(F.xxhash64("t")).first()[0]
     assert one == chunks.text_digest("é x".encode())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_of_several_holders_against_brute_force(spark, seed):
+    """Texts put together from pieces of others, of short and long words, with hot pieces and edits."""
+    drawn = random.Random(seed)
+    pool = [drawn_words(100 * seed + k, drawn.randrange(20, 160), "abcdefgh" if k % 3 else "ab", drawn.randrange(1, 7)) for k in range(14)]
+    texts = []
+    for k in range(60):
+        parts = []
+        for _ in range(drawn.randrange(1, 5)):
+            words = pool[min(int(drawn.expovariate(0.4)), 13)].split(" ")
+            at = drawn.randrange(max(len(words) - 30, 1))
+            part = words[at : at + drawn.randrange(10, 140)]
+            if drawn.random() < 0.3:
+                part[drawn.randrange(len(part))] = "edit%d" % drawn.randrange(9)
+            parts += part + [drawn_words(drawn.randrange(10**6), drawn.randrange(4), "xyz", 3)] * (drawn.random() < 0.5)
+        texts.append(" ".join(p for p in parts if p))
+    want = brute_repeats(texts)
+    assert len(want) > 5 and spans_of(chunks.repeats(docs(spark, texts)).collect()) == want
+
+
+def test_a_window_determines_chunks_wherever_it_stands():
+    """Every window of words finds the same grams inside itself in any context."""
+    drawn = random.Random(6)
+    for size in (1, 2, 3, 5, 9):
+        passage = drawn_words(size, 51, "abcdefghij", size)
+        found = []
+        for k in range(12):
+            text = " ".join(w for w in (drawn_words(50 + k, drawn.randrange(40), "klmn", 4), passage, drawn_words(90 + k, drawn.randrange(40), "klmn", 3)) if w).encode()
+            parts = chunks.layout(text)
+            first = int(parts.start.searchsorted(text.index(passage.encode())))
+            none = chunks.windows_of(parts, parts.border[:0], 51)
+            assert not none[first]  # some gram is determined, and it is not shared
+            inside = [(a, b) for a, b in zip(parts.border, parts.border[chunks.GRAM :]) if parts.start[first] + 16 <= a and b <= parts.end[first + 50]]
+            found.append({text[a:b] for a, b in inside})
+        assert set.intersection(*found)
+
+
+def test_a_passage_in_every_document_is_no_one_tasks_work(spark):
+    passage = prose(1, 120, 10**9)
+    texts = [f"{prose(10 + k, 3, 10**9)} {passage} {prose(5000 + k, 3, 10**9)}" for k in range(1500)]
+    table = docs(spark, texts)
+    rows = chunks.split(table, "doc_id", "text", 51)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shared = chunks.holders(rows).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+        found = chunks.repeats(table).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    total = sum(r["count"] for r in shared)
+    assert len(shared) >= 6 and max(r["count"] for r in shared) < 0.3 * total
+    assert {r.doc_id for r in found} == set(range(1, 1500)) and all(r.size == len(passage) for r in found)
