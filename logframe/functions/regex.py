@@ -14,21 +14,22 @@ import re
 # preceded by a backslash to stand for themselves.
 SPECIAL_CHARACTERS = "\\.+*?()|[]{}^$"
 
-# RE2 names for character classes inside brackets.
+# RE2 names for character classes inside brackets. Those with letters are ranges, as only
+# ranges take in the two letters of other scripts that fold to ASCII ones.
 _POSIX_CLASSES = {
-    "alnum": r"\p{Alnum}",
-    "alpha": r"\p{Alpha}",
-    "ascii": r"\p{ASCII}",
+    "alnum": r"0-9A-Za-z",
+    "alpha": r"A-Za-z",
+    "ascii": r"\x00-\x7F",
     "blank": r"\p{Blank}",
     "cntrl": r"\p{Cntrl}",
     "digit": r"\p{Digit}",
-    "graph": r"\p{Graph}",
-    "lower": r"\p{Lower}",
-    "print": r"\p{Print}",
+    "graph": r"!-~",
+    "lower": r"a-z",
+    "print": r" -~",
     "punct": r"\p{Punct}",
     "space": r"\p{Space}",
-    "upper": r"\p{Upper}",
-    "word": r"\w",
+    "upper": r"A-Z",
+    "word": r"0-9A-Za-z_",
     "xdigit": r"\p{XDigit}",
 }
 
@@ -44,15 +45,15 @@ _ESCAPES = {
     "D": r"\D",
     "s": r"[\t\n\f\r ]",
     "S": r"[^\t\n\f\r ]",
-    "w": r"\w",
-    "W": r"\W",
+    "w": r"[0-9A-Za-z_]",
+    "W": r"[^0-9A-Za-z_]",
     "A": r"\A",
     "z": r"\z",
     # Java would count letters and digits of all scripts as parts of a word here.
     "b": r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))",
     "B": r"(?:(?<=\w)(?=\w)|(?<!\w)(?!\w))",
 }
-_IN_CLASS = {c: j for c, j in _ESCAPES.items() if c not in "sSAzbB"} | {"s": r"\t\n\f\r "}
+_IN_CLASS = {c: j for c, j in _ESCAPES.items() if c not in "sSAzbBw"} | {"s": r"\t\n\f\r ", "w": "0-9A-Za-z_"}
 
 # The general categories, and the scripts that are passed on.
 _CATEGORIES = (
@@ -83,7 +84,7 @@ def _posix_class(pattern: str, at: int) -> tuple[str, int] | None:
         return None
     java = _POSIX_CLASSES[m.group(2)]
     if m.group(1):
-        java = "\\" + java[1].swapcase() + java[2:]
+        java = r"\P" + java[2:] if java.startswith(r"\p") else f"[^{java}]"
     return java, m.end()
 
 
