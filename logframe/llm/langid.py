@@ -130,16 +130,19 @@ def held_out(id) -> F.Column:
     return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 500) -> Model | None:
+def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 500, languages: int = 60) -> Model | None:
     """A model from at most ``per_language`` rows of each language, or ``None`` if there are none to learn from.
 
+    The ``languages`` with most rows are learned (ties: the first by name): machines are as many as pairs of them.
+
     The rows come from those that are not held out and have id, language, and a text with a letter.
     Of each language, those with the smallest hashes are taken; the languages are counted over all rows
     first, so that about as many rows as needed leave the tasks, as sparse feature vectors of bounded size.
     """
     rows = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), held_out(id).alias("out"))
     rows = rows.where("not out and id is not null and lang is not null and text is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    counts = {r.lang: r.n for r in common.collect()}
     if not counts:
         return None
     # a share of each language that holds per_language rows or more but for chance; the rest is cut below
