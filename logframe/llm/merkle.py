@@ -11,6 +11,7 @@ Requests that share digits share the descent, so every record is opened once.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -43,10 +44,10 @@ def tree_of(group: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
 
 
-def grow(nodes: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """Records ``digest, children`` of the trees over ``nodes(tree, rank, count, digest)``, and their tops.
+def grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Records ``digest, children`` of the trees over ``nodes(tree, rank, count, digest)`` by height from 1 on, and their tops.
 
-    The tops are ``tree, digest, height``.  No records (None) if no tree has two nodes.  Every level is a sixteenth of the one below.
+    The tops are ``tree, digest, height``.  Every level is a sixteenth of the one below.
     """
     most = nodes.agg(F.max("count")).first()[0] or 0
     height, records = 0, []
@@ -59,15 +60,7 @@ def grow(nodes: DataFrame) -> tuple[DataFrame | None, DataFrame]:
         nodes = written(run, "nodes")
         records.append(nodes.select("digest", "children"))
         tops.append(nodes.where("count = 1").select("tree", "digest", F.lit(height).alias("height")))
-    return union(records), union(tops)
-
-
-def union(parts: list[DataFrame]) -> DataFrame | None:
-    """The parts, one after the other."""
-    whole = None
-    for part in parts:
-        whole = part if whole is None else whole.union(part)
-    return whole
+    return records, reduce(DataFrame.union, tops)
 
 
 def others(children: Column, digit: Column) -> Column:
@@ -76,28 +69,26 @@ def others(children: Column, digit: Column) -> Column:
     return F.struct(join(F.slice(children, 1, digit)).alias("left"), join(F.slice(children, digit + 2, FANOUT)).alias("right"))
 
 
-def descend(frontier: DataFrame, records: DataFrame | None, requests: DataFrame, height: int, stop: int) -> DataFrame:
+def descend(frontier: DataFrame, records: list[DataFrame], requests: DataFrame | None, stop: int) -> DataFrame:
     """``frontier(tree, prefix, digest, height, path, ...)`` taken down to ``stop`` levels above the nodes asked for.
 
     ``prefix`` are the digits chosen so far and ``path`` the segments collected; only children that have
-    a node of ``requests(tree, rank)`` below them are followed.  Equal records are one.
+    a node of ``requests(tree, rank)`` below them are followed, all of them without requests.  Equal records are one.
     """
     rest = [c for c in frontier.columns if c not in ("tree", "prefix", "digest", "height", "path")]
-    asked = []
-    for level in range(height):
-        wider = requests if level == 0 else asked[-1].select("tree", F.floor(F.col("rank") / FANOUT).alias("rank"))
-        asked.append(written(wider.select("tree", "rank").distinct(), "asked") if level >= stop else wider.select("tree", "rank"))
-    for level in range(height, stop, -1):
-        here = frontier.where(F.col("height") == level)
-        known = records.dropDuplicates(["digest"])
-        child = here.join(known, "digest").select("*", F.posexplode("children").alias("digit", "child"))
+    asked = [] if requests is None else [requests.select("tree", "rank").distinct()]
+    for _ in range(len(records) - 1 if asked else 0):
+        asked.append(written(asked[-1].select("tree", F.floor(F.col("rank") / FANOUT).alias("rank")).distinct(), "asked"))
+    for height in range(len(records), stop, -1):
+        known = records[height - 1].dropDuplicates(["digest"])
+        child = frontier.where(F.col("height") == height).join(known, "digest").select("*", F.posexplode("children").alias("digit", "child"))
         child = child.select(
-            "tree", (F.col("prefix") * FANOUT + F.col("digit")).alias("prefix"), F.col("child").alias("digest"), F.lit(level - 1).alias("height"),
+            "tree", (F.col("prefix") * FANOUT + F.col("digit")).alias("prefix"), F.col("child").alias("digest"), F.lit(height - 1).alias("height"),
             F.concat("path", F.array(others(F.col("children"), F.col("digit")))).alias("path"), *rest,
         )
-        wanted = asked[level - 1].select("tree", F.col("rank").alias("prefix"))
-        child = child.join(wanted, ["tree", "prefix"], "left_semi")
-        frontier = written(frontier.where(F.col("height") < level).select(child.columns).union(child), "frontier")
+        if asked:
+            child = child.join(asked[height - 1].withColumnRenamed("rank", "prefix"), ["tree", "prefix"], "left_semi")
+        frontier = written(frontier.where(F.col("height") < height).select(child.columns).union(child), "frontier")
     return frontier
 
 
@@ -107,9 +98,9 @@ class Manifest:
 
     #: ``tree, rank, count, digest`` and the columns kept of every row.
     leaves: DataFrame
-    #: ``digest, children`` inside the groups, and over the groups.
-    inner: DataFrame | None
-    outer: DataFrame | None
+    #: ``digest, children`` by height from 1 on, inside the groups and over the groups.
+    inner: list[DataFrame]
+    outer: list[DataFrame]
     #: ``tree, digest, height, rank`` of every group, ``rank`` its place among them.
     groups: DataFrame
     #: ``digest, height`` of the whole, no row for an empty table.
@@ -128,27 +119,25 @@ def build(leaves: DataFrame, *order: str) -> Manifest:
     return Manifest(nodes, inner, outer, groups, written(root.select("digest", "height"), "root"))
 
 
-def prove(manifest: Manifest, requests: DataFrame) -> DataFrame:
-    """``requests(tree, rank, ...)`` with ``subroot``, ``root`` and ``segments`` of the leaf.
+def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
+    """``requests(tree, rank, ...)``, all leaves if left out, with ``subroot``, ``root`` and ``segments`` of the leaf.
 
     ``segments`` go from the leaf's own run to the root: the digests joined to the left and to the right of the way.
     """
-    def tallest(tops: DataFrame) -> int:
-        return tops.agg(F.max("height")).first()[0] or 0
-
     none = F.array().cast("array<struct<left:string,right:string>>")
-    asked = manifest.groups.join(requests.select("tree").distinct(), "tree", "left_semi")
+    asked = manifest.groups if requests is None else manifest.groups.join(requests.select("tree").distinct(), "tree", "left_semi")
     root = manifest.root.select(F.lit("").alias("tree"), F.lit(0).cast("long").alias("prefix"), "digest", "height", none.alias("path"), F.col("digest").alias("root"))
-    over = descend(root, manifest.outer, asked.select(F.lit("").alias("tree"), "rank"), tallest(manifest.root), 0)
+    over = descend(root, manifest.outer, None if requests is None else asked.select(F.lit("").alias("tree"), "rank"), 0)
     over = over.select(F.col("prefix").alias("rank"), "path", "root").join(asked, "rank")
     under = over.select("tree", F.lit(0).cast("long").alias("prefix"), "digest", "height", "path", "root", F.col("digest").alias("subroot"))
-    under = descend(under, manifest.inner, requests.select("tree", "rank"), tallest(manifest.groups), 1)
-    if manifest.inner is None:
-        runs = under.withColumn("children", F.lit(None).cast("array<string>"))
+    under = descend(under, manifest.inner, None if requests is None else requests.select("tree", "rank"), 1)
+    if manifest.inner:
+        runs = under.join(manifest.inner[0].dropDuplicates(["digest"]), "digest", "left")
     else:
-        runs = under.join(manifest.inner.dropDuplicates(["digest"]), "digest", "left")
+        runs = under.withColumn("children", F.lit(None).cast("array<string>"))
     runs = runs.select("tree", "prefix", "children", "path", "root", "subroot")
-    found = requests.withColumn("prefix", F.floor(F.col("rank") / FANOUT)).join(runs, ["tree", "prefix"])
+    leaves = manifest.leaves if requests is None else requests
+    found = leaves.withColumn("prefix", F.floor(F.col("rank") / FANOUT)).join(runs, ["tree", "prefix"])
     digit = (F.col("rank") % FANOUT).cast("int")
     own = F.when(F.col("children").isNull(), none).otherwise(F.array(others(F.col("children"), digit)))
     return found.withColumn("segments", F.concat(own, F.reverse("path"))).drop("prefix", "children", "path")
@@ -177,7 +166,7 @@ def audit(df: DataFrame, id: str = "doc_id", group: str = "source", text: str =
     start = F.when(hit, leaf(fields, **{text: lower_ascii(F.col(text))})).otherwise(leaf(fields))
     leaves = df.select(F.col(id).alias("id"), tree_of(group).alias("tree"), leaf(fields).alias("digest"), start.alias("start"))
     manifest = build(written(leaves, "rows"), "id")
-    found = prove(manifest, manifest.leaves)
+    found = prove(manifest)
     return found.select(
         F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root",
         proof_digest(F.col("segments")).alias("proof_sha256"), folded(F.col("start"), F.col("segments")).alias("folded_root"),
