@@ -16,16 +16,29 @@ BATCH = "batch"
 COMPACTED = "compacted"
 #: Bytes of a compacted file.
 FILE_BYTES = 128 << 20
+#: Estimated bytes in memory for a write task, and tasks beyond which an estimate is no estimate.
+TASK_BYTES, MOST_TASKS = 512 << 20, 1 << 20
 
 
 def partition_columns(df: DataFrame) -> list[str]:
     return [name for name in (TENANT, DAY) if name in df.columns]
 
 
+def write_tasks(df: DataFrame) -> int | None:
+    """Write tasks for the size that Catalyst estimates, if it wants more than the session's shuffle partitions.
+
+    Estimates that say nothing, as after joins of large tables, are passed over.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = -(-size // TASK_BYTES)
+    return tasks if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) < tasks <= MOST_TASKS else None
+
+
 def laid_out_by_time(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows ranged over tasks by tenant, day and time, streams together inside a task."""
     laid_out = with_layout_columns(df).withColumn("__spread", F.spark_partition_id())
     keys = [*partition_columns(laid_out), TS_NS, "__spread"]
+    partitions = partitions or write_tasks(df)
     ranged = laid_out.repartitionByRange(*([partitions] if partitions else []), *keys).drop("__spread")
     return ranged.sortWithinPartitions(*partition_columns(ranged), LABELS_KEY, TS_NS)
 
@@ -38,7 +51,7 @@ def write_logs(df: DataFrame, path: str, *, mode: str = "errorifexists", partiti
     task a row comes from: it lets even identical entries split, and unlike a random
     number it stays the same when a lost task is run again.  Inside a file streams lie
     together, which gives row groups with few distinct labels.  ``partitions`` is the
-    number of write tasks (the session's shuffle partitions by default).
+    number of write tasks (by default the session's shuffle partitions, more where the estimated size asks for more).
     """
     ranged = laid_out_by_time(df, partitions)
     ranged.write.mode(mode).partitionBy(*partition_columns(ranged)).parquet(path)

@@ -1,15 +1,16 @@
 """The text index of a log table at rest: which trigrams of bytes the lines of every file hold.
 
-A Bloom filter per file (one per read task of a file), in the folder ``_grams`` of the table.  A scan for
-a literal reads only the files all of whose trigrams may be there.  Rows belong to a file and its size; files that the index
-does not know are read, so a stale index loses nothing.
+A Bloom filter per file (one per read task of a file) in blocks of ``BLOCK`` bytes, sorted by block, in the folder ``_grams`` of
+the table: looking a text up reads the few blocks that its trigrams fall into.  A scan for a literal then reads only
+the files all of whose trigrams may be there.  Rows belong to a file and its size; files that the index does not know are
+read, so a stale index loses nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,11 @@ from logframe.sources.tables import stored_schema
 
 #: Bits of a filter: 512 KB before compression, for a file of some 100 MB.
 BITS = 22
-SCHEMA = "file string, size bigint, grams binary"
+#: Bytes of a filter that are stored together; those without a bit are left out.
+BLOCK = 4096
+#: The block that every known file has, if only to say so.
+KNOWN = -1
+SCHEMA = "file string, size bigint, block int, grams binary"
 
 
 def text_index_path(path: str) -> str:
@@ -42,7 +47,10 @@ def gram_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     file, size, bits = None, None, None
 
     def whole() -> pa.RecordBatch:
-        return pa.record_batch([pa.array([file]), pa.array([size], pa.int64()), pa.array([np.packbits(bits).tobytes()])], ["file", "size", "grams"])
+        blocks = np.packbits(bits).reshape(-1, BLOCK)
+        used = np.flatnonzero(blocks.any(1))
+        grams = [b"", *(blocks[k].tobytes() for k in used)]
+        return pa.record_batch([pa.array([file] * len(grams)), pa.array([size] * len(grams), pa.int64()), pa.array([KNOWN, *used.tolist()], pa.int32()), pa.array(grams, pa.binary())], ["file", "size", "block", "grams"])
 
     for batch in batches:
         names, sizes, lines = (batch.column(k) for k in range(3))
@@ -77,7 +85,8 @@ def refresh_text_index(spark: SparkSession, path: str, *, column: str = LINE) ->
     if found:
         df = spark.read.schema(stored_schema(spark, path)).option("basePath", path).parquet(*found)
         rows = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.coalesce(F.col(column), F.lit("")).alias("line"))
-        rows.mapInArrow(gram_filters, SCHEMA).write.mode("append").option("parquet.page.size", 1 << 20).parquet(text_index_path(path))
+        filters = rows.mapInArrow(gram_filters, SCHEMA).sortWithinPartitions("block")
+        filters.write.mode("append").option("parquet.block.size", 16 << 20).parquet(text_index_path(path))
     return len(found)
 
 
@@ -91,9 +100,17 @@ def literals_of(line_filters: Iterable[LineFilter]) -> list[str]:
     return found
 
 
-def _may_hold(literal: str) -> Column:
-    """Whether a filter has all trigrams of a text."""
-    bits = np.unique(places(np.frombuffer(literal.encode(), np.uint8))).tolist()
+def _asked(literals: Iterable[str]) -> dict[int, list[int]]:
+    """The bits of all trigrams of some texts, by block."""
+    found: dict[int, list[int]] = {}
+    for literal in literals:
+        for at in np.unique(places(np.frombuffer(literal.encode(), np.uint8))).tolist():
+            found.setdefault(at // (8 * BLOCK), []).append(at % (8 * BLOCK))
+    return found
+
+
+def _has(bits: list[int]) -> Column:
+    """Whether a block has some bits."""
     byte = lambda at: F.conv(F.hex(F.substring("grams", at // 8 + 1, 1)), 16, 10).cast("int")
     return reduce(and_, (byte(at).bitwiseAND(F.lit(128 >> at % 8)) != 0 for at in bits))
 
@@ -103,9 +120,12 @@ def files_with(spark: SparkSession, path: str, literals: Iterable[str]) -> list[
     literals = [text for text in literals if len(text.encode()) >= 3]
     if not literals or not exists(spark, text_index_path(path)):
         return None
-    rows = spark.read.schema(SCHEMA).parquet(text_index_path(path))
-    hit = reduce(and_, map(_may_hold, literals))
-    without = rows.groupBy("file", "size").agg(F.max(hit).alias("may")).where("NOT may").select("file", "size")
+    asked = _asked(literals)
+    rows = spark.read.schema(SCHEMA).parquet(text_index_path(path)).where(F.col("block").isin([KNOWN, *asked]))
+    hit = reduce(or_, ((F.col("block") == block) & _has(bits) for block, bits in asked.items()))
+    # A line lies in one part of a file, so the blocks of that part all have their bits.
+    hits = rows.groupBy("file", "size").agg(F.countDistinct(F.when(hit, F.col("block"))).alias("hits"))
+    without = hits.where(F.col("hits") < len(asked)).select("file", "size")
     files = table_files(spark, path).select("file", "size")
     kept = sorted(r.file for r in files.join(without, ["file", "size"], "left_anti").select("file").collect())
     return None if len(kept) == files.count() else kept

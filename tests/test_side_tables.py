@@ -287,3 +287,20 @@ def test_unknown_files_are_read(spark, tmp_path):
     land_batch(entries(spark, 100, 200), path, "b2")
     assert scan_table(spark, path, '{job="api"} |= "needle 150"', limit=None, **WINDOW).count() == 1
     assert text_index.literals_of([("regex", "a+needle.*x"), ("not contains", "gone"), ("prefix", "ab"), ("suffix", "tail")])[-1] == "tail"
+
+
+def test_a_look_up_reads_few_blocks(spark, texts):
+    path, _ = texts
+    rows = spark.read.parquet(text_index.text_index_path(path))
+    asked = text_index._asked(["only needle"])
+    assert 0 < len(asked) <= 9 and rows.where(F.col("block").isin(list(asked))).count() < rows.count() / 4
+    assert rows.where(F.length("grams") > text_index.BLOCK).count() == 0
+
+
+def test_write_tasks_follow_the_size(spark, monkeypatch):
+    df = spark.range(1_000_000)
+    assert tables.write_tasks(df) is None
+    monkeypatch.setattr(tables, "TASK_BYTES", 100_000)
+    assert tables.write_tasks(df) == 80
+    monkeypatch.setattr(tables, "MOST_TASKS", 10)
+    assert tables.write_tasks(df) is None
