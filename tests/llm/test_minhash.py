@@ -91,6 +91,18 @@ def test_templated_texts_below_the_bound_stay_apart(spark):
     assert all(r.kept for r in got.collect())
 
 
+def test_two_large_components_of_one_bucket_are_done_in_few_rounds(spark, monkeypatch):
+    base = prose(8, 400, 10**6).split()
+    half = [w if k % 9 else f"other{k}" for k, w in enumerate(base)]  # too far from the first for a link, near enough to be compared
+    texts = [" ".join(w if n != 5 * k + 2 else f"e{k}" for n, w in enumerate(words)) for words in (base, half) for k in range(60)]
+    rounds, real = [], minhash.verified
+    monkeypatch.setattr(minhash, "verified", lambda *a: rounds.append(1) or real(*a))
+    monkeypatch.setattr(minhash, "most_apart", lambda percent: 512)
+    monkeypatch.setattr(minhash, "most_odd", lambda sizes, percent: F.lit(1024.0))
+    assert collected(minhash.near_duplicates(docs(spark, texts))) == brute(range(120), texts)
+    assert len(rounds) <= 4
+
+
 def test_repeated_rows_shared_and_missing_ids_and_empty_tables(spark):
     base, other = prose(1, 50), prose(2, 50)
     ids, texts = [7, 7, 5, 9, 9, None, None, 4], [base, other, other, None, "", base, None, "  "]
