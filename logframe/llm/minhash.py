@@ -6,7 +6,7 @@ same for every set, so that a bin of two sets agrees with the probability of the
 a bucket in each of ``BANDS`` bands.  At a similarity of 0.8 a pair shares no bucket once in 300,000 pairs.
 
 Rows of a bucket are never paired with each other but with centres: a first one, and in every
-further round sixteen times as many among the rows left, each for the rows of other components.  Two sketches tell how similar a row
+further round sixteen times as many among the rows left, of different components; from the fourth round on several of one.  Two sketches tell how similar a row
 and a centre are nearly, and those that are plainly apart form no pair: the parities of the hashes in ``PARITIES`` classes,
 which never differ in more places than the sets do and tell most of sets of hundreds, and one bit of every bin,
 which tells most of larger ones.  One pair in a million at the bound is taken for apart.  A pair counts only after the full sets were compared.  A centre has then met its whole bucket and leaves it, and a
@@ -220,8 +220,8 @@ def components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, lin
     bucket = Window.partitionBy("h")
     for turn in count():
         rows = written(labelled(rows.select("h", "node", "n", "sketch", "odd"), labels), "rows")
-        # Several centres of one component too: of two large ones every member meets the other's.
-        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(MORE ** min(turn, 12)))
+        # One of a component at first, as the first link of a row spares it the others; then more, for large components that stay apart.
+        slot = F.struct(F.pmod(F.xxhash64("label", F.lit(turn)), F.lit(MORE ** min(turn, 12))), F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(4 ** min(max(turn - 2, 0), 24))))
         chosen = rows.groupBy("h", slot.alias("slot")).agg(F.min("node").alias("centre"), F.min("label").alias("low"), F.max("label").alias("high"))
         chosen = chosen.withColumn("mixed", F.min("low").over(bucket) < F.max("high").over(bucket)).where("mixed")
         chosen = rows.join(chosen.select("h", F.col("centre").alias("node")), ["h", "node"])
