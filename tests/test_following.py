@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from logframe import compact_logs, indexed_series, land_batch, log_table, merge_pages, read_logs, refresh_index
 from logframe.sources.series_index import stale_units
 from logframe.streaming import ingest_payloads, log_stream, merge_pages_stream, payload_stream, tail_logs
-from logframe.streaming import ingest
+from logframe.streaming import ingest, pages as pages_module
 from tests.conftest import BASE_NS, SECOND
 from tests.test_streaming import payload, run
 
@@ -165,3 +167,43 @@ def test_what_is_kept_does_not_grow(spark, tmp_path):
     merged, states = arrive(spark, str(tmp_path / "in"), pages, tmp_path, "30 seconds", "bounded")
     assert counted(merged) == Counter((BASE_NS + n * SECOND, f"l{n}", (("job", "a"),)) for n in range(105))
     assert max(states) <= 60 and states[-1] < 105
+
+
+def test_entries_are_kept_in_groups(spark, tmp_path):
+    """Many entries of one instant are few states, each one call of Python a batch."""
+    pages = [[(BASE_NS, f"l{n}", {"job": "a"}, {}, f"p{k}") for n in range(700 * k, 700 * k + 1400)] for k in range(2)]
+    merged, states = arrive(spark, str(tmp_path / "in"), pages, tmp_path, "1 hour", "grouped")
+    assert counted(merged) == Counter((BASE_NS, f"l{n}", (("job", "a"),)) for n in range(2100))
+    assert max(states) <= pages_module.GROUPS
+
+
+def test_entries_of_one_group_are_forgotten_one_by_one(spark, tmp_path, monkeypatch):
+    """Copies count across files, and what is older than the delay leaves a group that goes on."""
+    monkeypatch.setattr(pages_module, "GROUPS", 1)
+    pages = [[(BASE_NS + (20 * k + i) * SECOND, f"l{20 * k + i}", {"job": "a"}, {}, f"p{k}") for i in range(25) for _ in range(1 + i % 2)] for k in range(4)]
+    merged, states = arrive(spark, str(tmp_path / "in"), pages, tmp_path, "30 seconds", "one")
+    table = page_table(spark.createDataFrame([r for p in pages for r in p], PAGE))
+    assert counted(merged) == counted(merge_pages(table)) and max(states) == 1
+
+    class State:
+        def __init__(self, text, timed_out, passed):
+            self.text, self.hasTimedOut, self.passed, self.timeout = text, timed_out, passed, None
+            self.getCurrentWatermarkMs, self.setTimeoutTimestamp = lambda: passed, lambda at: setattr(self, "timeout", at)
+
+        exists = property(lambda self: self.text is not None)
+        get = property(lambda self: (self.text,))
+
+        def update(self, value):
+            self.text = value[0]
+
+        def remove(self):
+            self.text = None
+
+    rows = pd.DataFrame({"entry": ["a", "b", "a", "a"], "instant": [5, 9, 5, 5], "page": ["p", "p", "q", "p"], "ts_ns": 0, "line": list("wxyz"), "labels_key": "{}", "metadata": "{}"})
+    state = State(None, False, 0)
+    out = list(pages_module._new_copies((0,), [rows.iloc[:2], rows.iloc[2:]], state))
+    assert [line for frame in out for line in frame["line"]] == ["w", "x", "z"] and state.timeout == 6
+    state = State(state.text, True, 7)
+    assert list(pages_module._new_copies((0,), [], state)) == [] and list(json.loads(state.text)) == ["b"] and state.timeout == 10
+    state = State(state.text, True, 10)
+    assert list(pages_module._new_copies((0,), [], state)) == [] and not state.exists
