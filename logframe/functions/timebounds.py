@@ -137,8 +137,8 @@ def timestamp_of(ts_ns: Column) -> Column:
 
 def ns_of_timestamp(timestamp_ntz: Column) -> Column:
     """Nanoseconds of a UTC TIMESTAMP_NTZ, whatever the session zone is."""
-    since = (timestamp_ntz - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")).cast("interval second")
-    return (since.cast("decimal(18,6)") * F.lit(1_000_000)).cast("bigint") * F.lit(NANOS_PER_MICRO)
+    since = timestamp_ntz - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return F.call_function("div", since, F.expr("INTERVAL '0.000001' SECOND")) * F.lit(NANOS_PER_MICRO)
 
 
 def _utc_day(ns: int) -> date:

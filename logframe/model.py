@@ -128,6 +128,10 @@ def log_table(
     computed from, if there is one: time windows are then stated on it too, so that
     the scan can prune.  ``keep`` passes further columns through.
     """
+    # What maps are made of is computed once, before them, and not again for every place that it has there.
+    given = {}
+    labels, metadata = (_named(values, kind, given) for kind, values in (("label", labels), ("meta", metadata)))
+    df = df.select("*", *given.values())
     columns = [] if tenant is None else [tenant.cast("string").alias(TENANT)]
     columns += [
         ts_ns.cast("bigint").alias(TS_NS),
@@ -153,13 +157,37 @@ def log_table(
     return df.select(*columns, *(F.col(quoted(name)) for name in keep))
 
 
+def _named(values, kind: str, given: dict[str, Column]):
+    """The values of a map as columns, which are put into ``given``; other values as they are."""
+    if not isinstance(values, Mapping):
+        return values
+    names = {name: f"__{kind}_{k}" for k, name in enumerate(values)}
+    given.update({names[name]: value.cast("string").alias(names[name]) for name, value in values.items()})
+    return {name: F.col(names[name]) for name in names}
+
+
+#: Up to so many values a map without nulls is a choice among all its forms, which is compiled; filtering a map is interpreted.
+_CHOSEN = 3
+
+
 def _map_without_nulls(values: Mapping[str, Column]) -> Column:
     if not values:
         return empty_map()
-    pairs = [part for name, value in values.items() for part in (F.lit(name), value.cast("string"))]
+    values = {name: value.cast("string") for name, value in values.items()}
+    if len(values) <= _CHOSEN:
+        return _map_of_present(list(values.items()), [])
+    pairs = [part for name, value in values.items() for part in (F.lit(name), value)]
     return F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
 
 
+def _map_of_present(values: list[tuple[str, Column]], pairs: list[Column]) -> Column:
+    """The map of ``pairs`` and of those values that are not null."""
+    if not values:
+        return F.create_map(*pairs) if pairs else empty_map()
+    (name, value), *others = values
+    return F.when(value.isNull(), _map_of_present(others, pairs)).otherwise(_map_of_present(others, [*pairs, F.lit(name), value]))
+
+
 def with_layout_columns(df: DataFrame) -> DataFrame:
     """Add ``day``, ``labels_key`` and ``stream_id`` where missing, as tables at rest carry them."""
     if LABELS_KEY not in df.columns:

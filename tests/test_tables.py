@@ -236,3 +236,27 @@ def test_stored_time_column_is_bounded_too(spark, tmp_path):
     scan = scan_logs(table, [("job", "=", "api")], start="2024-01-02", end="2024-01-03", limit=None)
     assert scan.count() == 24
     assert "GreaterThanOrEqual(at,2024-01-02T00:00)" in plan_facts(scan)["PushedFilters"][0]
+
+
+def test_maps_are_compiled_and_their_values_computed_once(spark):
+    rows = spark.createDataFrame([(a, b, j) for a in ("x", None) for b in ("y", None) for j in ('{"k": 1}', "{}")], "a string, b string, j string")
+    values = {"a": F.col("a"), "b": F.col("b"), "k": F.get_json_object("j", "$.k")}
+    more = {**values, "c": F.lit(7)}
+    for labels in (values, more):
+        table = log_table(rows, ts_ns=F.lit(1), line=F.lit("l"), labels=labels, metadata=labels, keep=["j"])
+        for r in table.collect():
+            given = {"a": r.a, "b": r.b, "k": "1" if "1" in r.j else None} | ({"c": "7"} if "c" in labels else {})
+            assert r.labels == r.structured_metadata == {name: value for name, value in given.items() if value is not None}
+    table = log_table(rows, ts_ns=F.lit(1), line=F.lit("l"), labels={"a": F.col("a")}, metadata=values)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "map_filter" not in plan and plan.count("get_json_object(") == 1
+
+
+def test_nanoseconds_of_stored_times(spark):
+    from logframe.functions.timebounds import ns_of_timestamp
+
+    given = ["1969-12-31 23:59:59.999999", "1970-01-01 00:00:00.000001", "2024-03-10 02:30:00.123457", "1700-01-01 00:00:00", "2262-04-11 23:47:16.854775", None]
+    df = spark.createDataFrame([(k, text) for k, text in enumerate(given)], "k int, text string").withColumn("ns", ns_of_timestamp(F.col("text").cast("timestamp_ntz")))
+    found = [r.ns for r in df.orderBy("k").collect()]
+    assert found == [-1000, 1000, 1710037800123457000, -8520336000 * 10**9, 9223372036854775000, None]
+    assert "decimal" not in formatted_plan(df)
