@@ -68,7 +68,10 @@ def refresh_index(spark: SparkSession, path: str, *, rebuild: bool = False) -> l
     found = stale_units(spark, path)
     if found:
         df = read_units(spark, path, found)
-        rows = counted_series(df.withColumn("unit", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")), "unit")
+        files = counted_series(df.withColumn("file", F.col("_metadata.file_path")), "file")
+        unit = F.regexp_replace("file", "/[^/]*$", "").alias("unit")  # of a file, not of each of its entries
+        merged = files.groupBy(unit, TENANT, DAY, LABELS_KEY, STREAM_ID)
+        rows = merged.agg(F.sum("entries").alias("entries"), F.min("first_ns").alias("first_ns"), F.max("last_ns").alias("last_ns"))
         rows = rows.join(units(spark, path), "unit").select("unit", "print", *COLUMNS)
         rows.write.mode("append").parquet(index_path(path))
     return found

@@ -304,3 +304,16 @@ def test_write_tasks_follow_the_size(spark, monkeypatch):
     assert tables.write_tasks(df) == 80
     monkeypatch.setattr(tables, "MOST_TASKS", 10)
     assert tables.write_tasks(df) is None
+
+
+def test_folders_are_named_per_file_and_not_per_entry(spark, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "logs"), []
+    land_batch(entries(spark, 0, 400), path, "b1", partitions=20)
+    counted = series_index.counted_series
+    monkeypatch.setattr(series_index, "counted_series", lambda df, *keys: plans.append(formatted_plan(counted(df, *keys))) or counted(df, *keys))
+    refresh_index(spark, path)
+    assert len(plans) == 1 and "regexp_replace" not in plans[0]
+    rows = spark.read.parquet(series_index.index_path(path))
+    assert rows.count() == rows.select("unit", "tenant", "day", "labels_key").distinct().count()
+    assert rows.select("unit").distinct().count() < len(list(Path(path).rglob("batch=*/*.parquet")))
+    assert counts(indexed_series(spark, path)) == counts(read_logs(spark, path))
